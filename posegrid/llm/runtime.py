@@ -9,7 +9,6 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 #: Widest block of text handled at once inside a Python worker, in code points.
 BLOCK_CHARS = 1 << 21
@@ -91,26 +90,3 @@ def map_blocks(
     import pyarrow.compute  # noqa: F401  (binds pa.compute for the closure)
 
     return df.mapInArrow(run, schema)
-
-
-def cut_points(df: DataFrame, key: str, parts: int) -> list:
-    """Existing key values that cut the table into about even ordered ranges.
-
-    Reads only the key column.  At most ``parts - 1`` values reach the driver.
-    """
-    if parts < 2:
-        return []
-    probs = [i / parts for i in range(1, parts)]
-    row = df.where(F.col(key).isNotNull()).agg(
-        F.percentile_approx(key, probs, F.lit(100 * parts)).alias("p")
-    ).first()
-    return sorted(set(row["p"] or []))
-
-
-def range_id(key: str, cuts: list):
-    """0 for null and keys below the first cut, then one more per cut passed."""
-    if not cuts:
-        return F.lit(0)
-    return F.coalesce(
-        F.size(F.filter(F.lit(cuts), lambda c: c <= F.col(key))), F.lit(0)
-    ).cast("int")
