@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import map_blocks
+from .runtime import filter_rows, map_blocks
 from .shingles import mix
 
 Q = 8
@@ -220,3 +220,21 @@ def contaminated(
         part = map_blocks(cols, make, MATCHES)
         found = part if found is None else found.unionByName(part)
     return found
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The rows that hold no benchmark item, with all their columns."""
+    for block in item_blocks(benchmark, item_id_col, item_text_col):
+        shared = docs.sparkSession.sparkContext.broadcast(Index(block))
+
+        def make(shared=shared):
+            index = shared.value
+
+            def run(texts: list) -> list[bool]:
+                found = {m[0] for m in index.matches([normalise(t) for t in texts])}
+                return [i not in found for i in range(len(texts))]
+
+            return run
+
+        docs = filter_rows(docs, make, text_col)
+    return docs

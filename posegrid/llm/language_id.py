@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import map_blocks
+from .runtime import filter_rows, map_blocks
 
 #: Hash buckets (a power of two) and n-gram orders.
 BUCKET_BITS = 14
@@ -179,3 +179,20 @@ def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
 
     cols = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return map_blocks(cols, make, PREDICTED)
+
+
+def keep_identified(docs: DataFrame, model: Model, *, text_col: str = "text", least_score: float = 0.5) -> DataFrame:
+    """The rows whose language is known with at least that score; rows without
+    a letter, null texts and undecided ones go."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def make():
+        held = shared.value
+
+        def run(texts: list) -> list[bool]:
+            preds, scores = held.score(texts)
+            return [p != "und" and s >= least_score for p, s in zip(preds, scores)]
+
+        return run
+
+    return filter_rows(docs, make, text_col)

@@ -234,3 +234,11 @@ def near_duplicates(
     return result.select("doc_id", "n_shingles", own.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
+
+
+def keep_one(docs: DataFrame, *, shingle_words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """All rows but those whose document links, directly or not, to one of a
+    lesser id; rows with a null id stay.  All columns pass through."""
+    found = near_duplicates(docs, shingle_words=shingle_words, percent=percent, id_col=id_col, text_col=text_col)
+    gone = found.where("not kept").select(F.col("doc_id").alias("_gone"))
+    return docs.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")

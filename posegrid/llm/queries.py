@@ -13,6 +13,7 @@ from . import (
     chat_format,
     decontaminate,
     fingerprint,
+    html_text,
     language_id,
     minhash,
     span_dedup,
@@ -89,6 +90,11 @@ def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edited_likeness(_read(spark, sf_dir, "documents"))
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = html_text.page_texts(_read(spark, sf_dir, "pages"))
+    return texts.select("page_id", F.length("text").cast("long").alias("n_chars"), "text")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
@@ -100,6 +106,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_token_files": op7_token_files,
         "op8_span_dedup": op8_span_dedup,
         "op9_fingerprint": op9_fingerprint,
+        "op10_html_text": op10_html_text,
     }
 
 

@@ -90,3 +90,22 @@ def map_blocks(
     import pyarrow.compute  # noqa: F401  (binds pa.compute for the closure)
 
     return df.mapInArrow(run, schema)
+
+
+def filter_rows(df: DataFrame, make: Callable[[], Callable[[list], list[bool]]], text: str = "text") -> DataFrame:
+    """Keep the rows for which a function of the text column's values says so;
+    all columns pass through.  ``make`` is as in ``map_blocks``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fn = make()
+        for batch in batches:
+            column = batch.column(batch.schema.get_field_index(text))
+            sizes = [n or 0 for n in pa.compute.utf8_length(column).to_pylist()]
+            for part in blocks(sizes):
+                piece = batch.slice(part.start, part.stop - part.start)
+                keep = fn(column.slice(part.start, part.stop - part.start).to_pylist())
+                yield piece.filter(pa.array(keep, type=pa.bool_()))
+
+    import pyarrow.compute  # noqa: F401
+
+    return df.mapInArrow(run, df.schema)
