@@ -266,8 +266,10 @@ def read_files(manifest: DataFrame, folder: str) -> DataFrame:
                         yield _rows(rows)
 
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    sums = manifest.select("file", F.coalesce(F.sum("n_ids").over(earlier), F.lit(0)).alias("start"))
-    return sums.repartition("file").select("file", "start").mapInArrow(run, READ)
+    sums = manifest.select("part", "file", F.coalesce(F.sum("n_ids").over(earlier), F.lit(0)).alias("start"))
+    n_files = max(1, manifest.count())
+    placed = sums.withColumn("at", F.row_number().over(Window.orderBy("part")) - 1)
+    return placed.repartitionById(n_files, F.col("at")).select("file", "start").mapInArrow(run, READ)
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
