@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import binascii
 import functools
+import os
 import struct
 import uuid
 from array import array
@@ -174,6 +175,7 @@ def _encoder(path: str) -> tuple[bpe.Memo, str | None]:
     The library's merges never cross a pre-token, so each distinct one is
     encoded once; the values are ids as bytes.
     """
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(path)
