@@ -167,7 +167,6 @@ class Vocabulary:
         return [p for p in parts if p >= 0]
 
 
-@functools.lru_cache(maxsize=2)
 def from_ranks(path: str) -> Vocabulary:
     """A rank file: base64 bytes and rank a line.  Any two tokens whose bytes
     joined are a token merge, at that token's rank."""
@@ -183,7 +182,6 @@ def from_ranks(path: str) -> Vocabulary:
     return Vocabulary(tokens, pairs, None)
 
 
-@functools.lru_cache(maxsize=2)
 def from_json(path: str) -> tuple[Vocabulary, dict[str, int]]:
     """A byte-level BPE model file; also its added special tokens."""
     with open(path, encoding="utf-8") as f:
@@ -207,7 +205,7 @@ class Memo:
     looked up moves to the younger one, and the older one goes when that is full.
     """
 
-    def __init__(self, work: Callable[[list[str]], list], limit: int = 1 << 18):
+    def __init__(self, work: Callable[[list[str]], list], limit: int = 1 << 17):
         self.work, self.limit = work, limit
         self.young: dict[str, object] = {}
         self.old: dict[str, object] = {}

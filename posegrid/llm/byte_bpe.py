@@ -10,7 +10,6 @@ repeated rows and ids pass through; other columns are ignored.
 
 from __future__ import annotations
 
-import functools
 import hashlib
 from array import array
 
@@ -19,12 +18,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bpe, pretoken
-from .runtime import map_blocks
+from .runtime import held, map_blocks
 
-@functools.lru_cache(maxsize=1)
 def codec_of(path: str, kinds: bytes) -> "Codec":
     """Kept by a Python worker from task to task."""
-    return Codec(path, kinds)
+    return held(("codec", path), lambda: Codec(path, kinds))
 
 
 ENCODED = "doc_id long, ids binary, n_tokens long, piece_ends array<int>"
@@ -83,7 +81,7 @@ def encode(docs: DataFrame, ranks_path: str, *, id_col: str = "doc_id", text_col
         return run
 
     cols = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return map_blocks(cols, make, ENCODED)
+    return map_blocks(cols, make, ENCODED, keeps=True)
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
@@ -98,7 +96,7 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
 
         return run
 
-    return map_blocks(encoded.select("doc_id", "ids", F.lit(None).cast("string").alias("text")), make, "doc_id long, text string")
+    return map_blocks(encoded.select("doc_id", "ids", F.lit(None).cast("string").alias("text")), make, "doc_id long, text string", keeps=True)
 
 
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -123,4 +121,4 @@ def round_trip(docs: DataFrame, ranks_path: str, *, id_col: str = "doc_id", text
         return run
 
     cols = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return map_blocks(cols, make, DIGESTS)
+    return map_blocks(cols, make, DIGESTS, keeps=True)

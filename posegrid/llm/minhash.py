@@ -46,7 +46,7 @@ from .runtime import durable, map_blocks
 
 BANDS, ROWS = 48, 6
 #: Members of a bucket that one task compares with as many others.
-BLOCK = 512
+BLOCK = 256
 _ROUND = 0xA24BAED4963EE407
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -11,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Widest block of text handled at once inside a Python worker, in code points.
-BLOCK_CHARS = 1 << 21
+BLOCK_CHARS = 1 << 19
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -45,6 +47,31 @@ def scratch(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/posegrid-{what}-{uuid.uuid4().hex}"
 
 
+_HELD: dict[tuple, object] = {}
+
+
+def held(key: tuple | None, build: Callable[[], object] | None = None) -> object:
+    """One large object a Python worker keeps from task to task.
+
+    Workers outlive operators: asking for another one, or for none, gives the
+    memory of the last one back to the system.
+    """
+    if key not in _HELD and _HELD:
+        _HELD.clear()
+        _trim()
+    if key is not None and key not in _HELD:
+        _HELD[key] = build()
+    return _HELD.get(key)
+
+
+def _trim() -> None:
+    gc.collect()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def blocks(sizes: list[int], limit: int = BLOCK_CHARS) -> Iterator[slice]:
     """Slices of consecutive rows whose sizes sum to about ``limit``."""
     start = total = 0
@@ -62,11 +89,13 @@ def map_blocks(
     make: Callable[[], Callable[[dict[str, list]], dict[str, list]]],
     schema: str,
     text: str = "text",
+    keeps: bool = False,
 ) -> DataFrame:
     """Apply a column-wise function to blocks of rows of bounded text size.
 
     ``make`` builds the function once per Python worker task; it takes and
     returns plain lists by column.  The input's columns arrive as they are.
+    ``keeps`` says that ``make`` asks for an object by ``held``.
     """
     out_type = df.sparkSession.createDataFrame([], schema).schema
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -74,6 +103,8 @@ def map_blocks(
     arrow = to_arrow_schema(out_type)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps:
+            held(None)
         fn = make()
         for batch in batches:
             at = batch.schema.get_field_index(text)
@@ -97,6 +128,7 @@ def filter_rows(df: DataFrame, make: Callable[[], Callable[[list], list[bool]]],
     all columns pass through.  ``make`` is as in ``map_blocks``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held(None)
         fn = make()
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(text))

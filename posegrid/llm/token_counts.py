@@ -19,15 +19,13 @@ and repeated or null ids pass through as they are; other columns are ignored.
 
 from __future__ import annotations
 
-import functools
-
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bpe, pretoken
 from .bpe import NEVER
-from .runtime import map_blocks
+from .runtime import held, map_blocks
 
 #: Bytes that run side by side at once.
 LANE_BYTES = 1 << 19
@@ -206,18 +204,15 @@ class CountMachine:
         return count[lengths, np.arange(n)]
 
 
-@functools.lru_cache(maxsize=2)
 def compiled(path: str) -> CountMachine:
     return CountMachine(bpe.from_json(path)[0])
 
 
-@functools.lru_cache(maxsize=1)
 def _counter(path: str) -> tuple[str | None, bpe.Memo]:
-    """Kept by a Python worker from task to task."""
-    special = bpe.from_json(path)[1]
+    vocab, special = bpe.from_json(path)
     if len(special) > 1:
         raise ValueError("one special token at most")
-    mark, machine = next(iter(special), None), compiled(path)
+    mark, machine = next(iter(special), None), CountMachine(vocab)
 
     def work(new: list[str]) -> list[int]:
         counts = machine.count([p.encode() for p in new]).tolist()
@@ -235,7 +230,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id"
     kinds = pretoken.kinds_by_tiktoken()
 
     def make():
-        mark, memo = _counter(tokenizer_path)
+        mark, memo = held(("counts", tokenizer_path), lambda: _counter(tokenizer_path))
 
         def run(cols: dict[str, list]) -> dict[str, list]:
             texts = [t or "" for t in cols["text"]]
@@ -255,4 +250,4 @@ def token_counts(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id"
         return run
 
     cols = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return map_blocks(cols, make, SCHEMA)
+    return map_blocks(cols, make, SCHEMA, keeps=True)

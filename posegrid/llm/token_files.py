@@ -28,7 +28,6 @@ empty table gives no files and no rows.
 from __future__ import annotations
 
 import binascii
-import functools
 import os
 import struct
 import uuid
@@ -45,7 +44,7 @@ from pyspark.sql.window import Window
 
 from . import bpe, pretoken
 from .ordered import in_ranges
-from .runtime import BLOCK_CHARS, durable, scratch
+from .runtime import BLOCK_CHARS, durable, held, scratch
 
 MAGIC = b"PGTOKEN1"
 CHUNK = 1 << 16
@@ -168,9 +167,8 @@ def file_system(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path) if ":/" in path else (fs.LocalFileSystem(), path)
 
 
-@functools.lru_cache(maxsize=1)
 def _encoder(path: str) -> tuple[bpe.Memo, str | None]:
-    """The tokenizers library behind a cache of pre-tokens; kept by a worker.
+    """The tokenizers library behind a cache of pre-tokens.
 
     The library's merges never cross a pre-token, so each distinct one is
     encoded once; the values are ids as bytes.
@@ -186,7 +184,7 @@ def _encoder(path: str) -> tuple[bpe.Memo, str | None]:
     def work(new: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in library.encode_batch_fast(new, add_special_tokens=False)]
 
-    return bpe.Memo(work), special[0].content if special else None
+    return bpe.Memo(work, 1 << 18), special[0].content if special else None
 
 
 def write_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, *, kind: int = BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -198,7 +196,7 @@ def write_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int,
     kinds = pretoken.kinds_by_tiktoken()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, mark = _encoder(tokenizer_path)
+        memo, mark = held(("files", tokenizer_path), lambda: _encoder(tokenizer_path))
         system, root = file_system(folder)
         end = np.array([end_id], dtype="<u4").tobytes()
         writer = sink = own = part = None

@@ -17,6 +17,7 @@ from posegrid.llm import bpe, byte_bpe, pretoken, token_counts, token_files
 JSON, RANKS = P.path("byte_bpe_50k.json"), P.path("byte_bpe_multi_50k.tiktoken")
 KINDS = pretoken.kinds_by_tiktoken()
 LIBRARY = Tokenizer.from_file(JSON)
+COUNTER = token_counts._counter(JSON)
 END = "<|endoftext|>"
 ODD = st.lists(st.sampled_from(list("abz' \n\t1²é漢!-\u0085\U0001F600") + ["'s", "'re", "'ll", " the", END, "===", "  "]), max_size=40).map("".join)
 SCHEMA = "doc_id long, text string, ids_sha256 string, part int"
@@ -59,7 +60,7 @@ def test_prefix_scan_is_composition(lane):
 @settings(max_examples=100, deadline=None)
 @given(st.lists(ODD, min_size=1, max_size=6))
 def test_machine_counts_as_the_library(texts):
-    mark, memo = token_counts._counter(JSON)
+    mark, memo = COUNTER
     pieces, sizes = pretoken.slices(texts, KINDS, mark)
     counts, at, got = memo.of(pieces), 0, []
     for n in sizes:
