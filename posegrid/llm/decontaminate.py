@@ -32,7 +32,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .runtime import filter_rows, map_blocks
-from .shingles import mix
 
 Q = 8
 #: Edits allowed, as a share of the item's length.
@@ -40,7 +39,7 @@ EDIT_SHARE = 0.06
 #: Characters of benchmark text that are broadcast at a time.
 ITEM_CHARS = 8 << 20
 WINDOW = 32
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+_BASE = np.uint32(0x9E3779B1)
 MATCHES = "doc_id long, item_id long, edits int, match_start int, match_end int, n_text int"
 
 
@@ -49,15 +48,20 @@ def normalise(text: str | None) -> str:
 
 
 def gram_hashes(text: str, q: int) -> np.ndarray:
-    cps = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    """A 32-bit hash of every q-gram.  Collisions only add hits, and what is
+    found is verified by alignment."""
+    cps = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     n = len(cps) - q + 1
     if n < 1:
-        return np.zeros(0, dtype=np.uint64)
+        return np.zeros(0, dtype=np.uint32)
     h = cps[:n].copy()
     for k in range(1, q):
         h *= _BASE
         h += cps[k : k + n]
-    return mix(h)
+    h ^= h >> np.uint32(15)
+    h *= np.uint32(0x846CA68B)
+    h ^= h >> np.uint32(16)
+    return h
 
 
 def align(item: np.ndarray, text: np.ndarray, low: int, high: int, budget: int) -> tuple[int, int] | None:
@@ -104,15 +108,15 @@ class Index:
         grams = [gram_hashes(t, q) for _, t in self.items]
         owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
         place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.zeros(0, dtype=np.int64)
-        flat = np.concatenate(grams) if grams else np.zeros(0, dtype=np.uint64)
+        flat = np.concatenate(grams) if grams else np.zeros(0, dtype=np.uint32)
         order = np.argsort(flat, kind="stable")
         self.owner, self.place = owner[order], place[order]
         self.keys, starts = np.unique(flat[order], return_index=True)
         self.starts = np.append(starts, len(flat))
         bits = max(16, int(len(self.keys)).bit_length() + 6)
-        self.shift = np.uint64(64 - bits)
-        self.seen = np.zeros(1 << bits, dtype=bool)
-        self.seen[(self.keys >> self.shift).astype(np.int64)] = True
+        self.shift = np.uint32(32 - min(bits, 24))
+        self.seen = np.zeros(1 << min(bits, 24), dtype=bool)
+        self.seen[self.keys >> self.shift] = True
         # a stretch of m - q + 1 + budget positions with `need` hits has a full
         # window with at least this many, whatever the part left over holds
         spans = np.maximum(m - q + 1 + self.budget, 1)
@@ -129,14 +133,18 @@ class Index:
         grams = gram_hashes(joined, self.q)
         if not len(grams):
             return []
-        hits = self.seen.take((grams >> self.shift).astype(np.int64))
+        hits = self.seen.take(grams >> self.shift)
         if self.least > 1:
-            sums = np.concatenate(([0], np.cumsum(hits)))
+            sums = np.concatenate((np.zeros(1, dtype=np.int32), np.cumsum(hits, dtype=np.int32)))
             dense = np.flatnonzero(sums[WINDOW:] - sums[:-WINDOW] >= self.least)
-            marks = np.zeros(len(grams) + 1, dtype=np.int32)
-            np.add.at(marks, np.maximum(dense - self.reach, 0), 1)
-            np.add.at(marks, np.minimum(dense + WINDOW + self.reach, len(grams)), -1)
-            hits &= np.cumsum(marks[:-1]) > 0
+            # regions around dense windows, as few long stretches
+            breaks = np.flatnonzero(np.diff(dense) > 2 * self.reach + WINDOW)
+            lows = np.maximum(dense[np.concatenate(([0], breaks + 1))] - self.reach, 0) if len(dense) else dense
+            highs = dense[np.concatenate((breaks, [len(dense) - 1]))] + WINDOW + self.reach if len(dense) else dense
+            held = np.zeros(len(grams), dtype=bool)
+            for low, high in zip(lows.tolist(), highs.tolist()):
+                held[low:high] = True
+            hits &= held
         at = np.flatnonzero(hits)
         slot = np.searchsorted(self.keys, grams[at])
         known = self.keys[np.minimum(slot, len(self.keys) - 1)] == grams[at]
@@ -149,10 +157,19 @@ class Index:
         owner = np.searchsorted(edges, at, side="right") - 1
         wide = self.budget[item] + 1
         band = diagonal // wide
-        keys = np.concatenate((np.stack((owner, item, band)), np.stack((owner, item, band - 1))), axis=1)
-        found, counts = np.unique(keys, axis=1, return_counts=True)
+        if not len(at):
+            return []
+        before = self.reach + 2  # bands may lie a little before the text
+        width = int(at[-1]) + 2 * before
+        group = (owner * len(self.items) + item) * width + band + before
+        found, counts = np.unique(np.concatenate((group, group - 1)), return_counts=True)
+        group, band = found // width, found % width - before
+        enough = counts >= self.need[group % len(self.items)]
+        rows = zip((group // len(self.items))[enough].tolist(), (group % len(self.items))[enough].tolist(), band[enough].tolist())
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for t, i, b in found[:, counts >= self.need[found[1]]].T.tolist():
+        for t, i, b in rows:
+            if (t, i) in best and not best[t, i][0]:
+                continue
             w, k = int(self.budget[i]) + 1, int(self.budget[i])
             low, high = b * w - k - int(edges[t]), (b + 2) * w - 1 + k - int(edges[t])
             first = max(0, low)
