@@ -2,20 +2,32 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+def _settled(rows: DataFrame) -> DataFrame:
+    """A checkpoint in the cluster's shared folder (spark.checkpoint.dir): what
+    is read twice is then the same both times.  Where the setting is absent, as
+    on one machine, a folder of our own is set."""
+    context = rows.sparkSession.sparkContext
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        shared = rows.sparkSession.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(shared or os.path.join(tempfile.gettempdir(), "posegrid-checkpoints"))
+    return rows.checkpoint()
+
+
 def dense_ids(rows: DataFrame, *order: str, name: str = "id") -> DataFrame:
     """Ids 0 .. n-1 in a global order, without a single-task sort: rows are
     ranged, numbered inside each range, and shifted by the ranges before it
-    (one count a partition).  The number of ranges is given, so that adaptive
-    execution leaves them alone and both readings see the same ones."""
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
+    (one count a partition)."""
+    ranged = _settled(rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
     inside = ranged.withColumn("_n", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
-    sizes = inside.groupBy("_part").agg(F.max("_n").alias("_size"))
+    sizes = ranged.groupBy("_part").agg(F.count("*").alias("_size"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     shift = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift"))
     return inside.join(shift, "_part").withColumn(name, F.col("_shift") + F.col("_n") - 1).drop("_part", "_n", "_shift")
