@@ -127,7 +127,7 @@ def f19_prune(d):
 @plan
 def u02_set_ops(d):
     return """
-    select scene_id, frame_a, frame_b, count(*) as n_union, sum(case when in_a = 1 and in_b = 1 then 1 else 0 end) as n_both
+    select scene_id, frame_a, frame_b, count(*) as n_union, cast(sum(case when in_a = 1 and in_b = 1 then 1 else 0 end) as bigint) as n_both
     from in_either group by 1, 2, 3"""
 
 

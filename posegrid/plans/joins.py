@@ -293,7 +293,7 @@ def j18_knn3_points(d):
             row_number() over (partition by a.ins_id, a.k order by
                 round((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z), 9), b.k) as rank
         from p a join p b on a.ins_id = b.ins_id and a.k <> b.k)
-    select ins_id as part, k, round(avg(d2), 6) as mean_d2 from n where rank <= 3 group by 1, 2"""
+    select ins_id as part, cast(k as bigint) as k, round(avg(d2), 6) as mean_d2 from n where rank <= 3 group by 1, 2"""
 
 
 def iou(a: str, b: str) -> tuple[str, str]:
@@ -343,7 +343,7 @@ def j21_box_iou_giou(d):
 @plan
 def j23_point_box_distances(d):
     return """
-    select o.ins_id, o.frame_idx, b.k, b.x + b.w / 2e0 - o.x as to_left, o.x - b.x as from_left, b.x + b.w - o.x as to_right,
+    select o.ins_id, o.frame_idx, cast(b.k as bigint) as k, b.x + b.w / 2e0 - o.x as to_left, o.x - b.x as from_left, b.x + b.w - o.x as to_right,
         o.y - b.y as from_top, b.y + b.h - o.y as to_bottom
     from detections o join detections b on o.scene_id = b.scene_id and o.frame_idx = b.frame_idx and o.k = 1"""
 

@@ -44,10 +44,22 @@ def render(text: str, d: Spark) -> str:
     return f"with {views}\n{text}"
 
 
+#: Columns that are ranks or frame numbers: 64 bits wide in both engines.
+NUMBERS = frozenset(
+    "label_no frame nn_frame rank det track a b before after frame_a frame_b frame_idx frame_no id fa fb rn last_draw value slot "
+    "removed_at confirmed_at suppressed turn memory_frame emitted best".split()
+)
+
+
+def widened(df: DataFrame) -> DataFrame:
+    narrow = [c for c, kind in df.dtypes if c in NUMBERS and kind == "int"]
+    return df.withColumns({c: df[c].cast("bigint") for c in narrow}) if narrow else df
+
+
 def run(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         d = Spark(sf_dir)
-        return spark.sql(render(PLANS[name](d), d))
+        return widened(spark.sql(render(PLANS[name](d), d)))
 
     query.__name__ = name
     return query

@@ -99,7 +99,7 @@ def x13_marker_suffix(d):
 @plan
 def x14_mask_keys(d):
     return """
-    select p.ins_id, p.key, case when p.key in ('A', 'B', 'C') then strpos('ABC', p.key) else 3 + cast(p.key as int) end as ord from (
+    select p.ins_id, p.key, case when p.key in ('A', 'B', 'C') then strpos('ABC', p.key) else 3 + cast(p.key as int) end + cast(0 as bigint) as ord from (
         select ins_id, case ins_id % 5 when 0 then 'A' when 1 then 'B' when 2 then 'C' when 3 then '1' else '2' end as key from instances) p
     """.replace("strpos('ABC', p.key)", "instr('ABC', p.key)")
 
@@ -169,3 +169,142 @@ def s15_scene_list(d):
     else:
         source = "(select unnest(string_split('1, 2,3 ,5,8', ',')) as t)"
     return f"select i.scene_id, count(*) as n from instances i join (select cast(trim(t) as bigint) as scene_id from {source} s) w on w.scene_id = i.scene_id group by 1"
+
+
+@plan
+def s01_camera_frames(d):
+    """Frames numbered by path, with whether the frame is usable."""
+    return f"""
+    select scene_id, row_number() over (partition by scene_id order by path) - 1 as frame_no, path, is_bad from (
+        select scene_id, concat('f', lpad(cast(frame_idx as {d.string}), 4, '0'), '.jpg') as path, vec_id % 11 = 0 as is_bad from cams) f"""
+
+
+@plan
+def s05_stem_filter(d):
+    """Only the frames that some mask names."""
+    return """
+    select c.scene_id, c.frame_idx, round(c.tx, 6) as tx from cams c
+    where exists (select 1 from masks m where m.scene_id = c.scene_id and m.frame_idx = c.frame_idx)"""
+
+
+@plan
+def s07_instance_corners(d):
+    return """
+    select ins_id, label, round(cx - ex / 2, 6) as x0, round(cy - ey / 2, 6) as y0, round(cz - ez / 2, 6) as z0,
+        round(cx + ex / 2, 6) as x1, round(cy + ey / 2, 6) as y1, round(cz + ez / 2, 6) as z1 from instances"""
+
+
+@plan
+def s08_mask_root(d):
+    """The root of a mask path: all before the component that is the scene."""
+    path = f"concat('data/masks/scene', cast(scene_id as {d.string}), '/f', cast(frame_idx as {d.string}), '/m.png')"
+    root = d.extract("path", "^(.*)/scene[0-9]+/", 1)
+    return f"select root, count(*) as n, count(distinct scene_id) as n_scenes from (select {root} as root, scene_id from (select scene_id, {path} as path from observations) p) r group by 1"
+
+
+@plan
+def s17_annotation_tables(d):
+    return """
+    select scene_id, count(distinct frame_idx) as n_images, count(distinct ins_id) as n_categories, count(*) as n_annotations
+    from masks group by 1"""
+
+
+@plan
+def f16_marker_filter(d):
+    return f"""
+    select scene_id, frame_a, frame_b, ins_id_a, ins_id_b from (
+        select *, {d.hexint("substr(md5(concat_ws('|', cast(ins_id_a as varchar), cast(ins_id_b as varchar))), 1, 2)") if d.name == "duck"
+                  else d.hexint("substr(md5(concat_ws('|', cast(ins_id_a as string), cast(ins_id_b as string))), 1, 2)")} % 5 as marker
+        from objects_across) m where marker = 4"""
+
+
+@plan
+def u04_frame_labels(d):
+    return f"""
+    select scene_id, frame_idx, {d.joined(d.gather('label', 'label'), ',')} as labels from (
+        select distinct scene_id, frame_idx, label from seen) s group by 1, 2"""
+
+
+@plan
+def x15_reference_keys(d):
+    key = f"concat(case when ins_id % 3 = 0 then 'region_' else 'object_' end, cast(ins_id % 4 as {d.string}))"
+    return f"select key, {d.extract('key', '^(object|region)_[0-9]+$', 1)} as kind, count(*) as n from (select {key} as key from instances) k group by 1, 2"
+
+
+@plan
+def x18_depth_paths(d):
+    return f"""
+    select page_id, case when page_id % 3 = 0 then {d.replace_all("url", "/[^/]*$", "/depth.npy")} else concat(url, '.depth') end as path from {d.table('pages')}"""
+
+
+@plan
+def t05_reconditioning(d):
+    """Every sixteenth frame a matched track takes the detection's mask."""
+    return """
+    select obj_id, count(*) as n, cast(sum(case when matched = 1 and frame_idx % 16 = 0 then 1 else 0 end) as bigint) as replaced
+    from track_events group by 1"""
+
+
+@plan
+def t06_emission_buffer(d):
+    """The frame that leaves a FIFO of fifteen when each one comes."""
+    return """
+    select obj_id, frame_idx, lag(frame_idx, 15) over (partition by obj_id order by frame_idx) as emitted from track_events"""
+
+
+@plan
+def m19_proxy_frame(d):
+    """Axes in plan, if a lies north of b."""
+    return """
+    select scene_id, frame_a, frame_b, ins_id_a, ins_id_b, ins_id_c, round(cos(delta), 6) as fx, round(sin(delta), 6) as fy,
+        round(-sin(delta), 6) as rx, round(cos(delta), 6) as ry
+    from (select *, atan2(cy_a - cy_b, cx_a - cx_b) as delta from triplets
+          where sqrt((cx_a - cx_b) * (cx_a - cx_b) + (cy_a - cy_b) * (cy_a - cy_b)) >= 1e-6) t"""
+
+
+@plan
+def m25_virtual_camera(d):
+    """Midpoints between covisible cameras."""
+    return """
+    select p.scene_id, p.frame_a, p.frame_b, round((a.tx + b.tx) / 2, 6) as tx, round((a.ty + b.ty) / 2, 6) as ty, round((a.tz + b.tz) / 2, 6) as tz
+    from cam_covis p join cams a on a.scene_id = p.scene_id and a.frame_idx = p.frame_a
+    join cams b on b.scene_id = p.scene_id and b.frame_idx = p.frame_b where p.cov > 0.25e0"""
+
+
+@plan
+def m27_camera_record(d):
+    """Camera centre in its own inverse: position, and the view axis."""
+    return """
+    select scene_id, frame_idx, round(-(r00 * tx + r10 * ty + r20 * tz), 6) as px, round(-(r01 * tx + r11 * ty + r21 * tz), 6) as py,
+        round(-(r02 * tx + r12 * ty + r22 * tz), 6) as pz from cams"""
+
+
+@plan
+def b02_box_measures(d):
+    return """
+    select ins_id, frame_idx, cast(sum(w * h) as bigint) as area, max(x + w) as x1, max(y + h) as y1 from masks group by 1, 2"""
+
+
+@plan
+def b06_nearest_resize(d):
+    return f"""
+    select distinct ins_id, frame_idx, {d.floor('x * 640 / 1500e0')} as x, {d.floor('y * 480 / 1000e0')} as y from masks"""
+
+
+@plan
+def b09_exclusive_cells(d):
+    return f"""
+    select scene_id, frame_idx, i, j, {d.best('ins_id', d.row('score', '-ins_id'))} as ins_id from (
+        select distinct scene_id, frame_idx, ins_id, score, {d.idiv('x', 100)} as i, {d.idiv('y', 100)} as j from masks) c group by 1, 2, 3, 4"""
+
+
+@plan
+def b12_best_candidate(d):
+    """Of the masks of an instance the one of the largest IoU with line 1's."""
+    from .joins import iou
+
+    _, share = iou("a", "b")
+    return f"""
+    select ins_id, {d.best('k', d.row('share', 'score', '-k'))} as best, round(max(share), 6) as iou from (
+        select a.ins_id, a.score, a.k, {share} as share from detections a join detections b
+            on a.scene_id = b.scene_id and a.frame_idx = b.frame_idx and a.ins_id = b.ins_id and b.l_linenumber = 1 and a.k <> b.k) c group by 1"""

@@ -214,7 +214,7 @@ def t08_action_since_propagation(d):
     with g as (select obj_id, frame_idx, event_type,
         sum(case when event_type = 'purchase' then 1 else 0 end) over (partition by obj_id order by frame_idx
             rows between unbounded preceding and 1 preceding) as epoch from track_events)
-    select obj_id, coalesce(epoch, 0) as epoch, count(*) as n_actions, count(distinct event_type) as n_kinds from g group by 1, 2"""
+    select obj_id, cast(coalesce(epoch, 0) as bigint) as epoch, count(*) as n_actions, count(distinct event_type) as n_kinds from g group by 1, 2"""
 
 
 @plan
