@@ -157,7 +157,9 @@ def _triple_columns() -> str:
 
 @view
 def triplets(d):
-    """At most ten draws of three instances that no single frame shows."""
+    """At most ten draws of three instances that no single frame shows, among
+    the twelve instances of a pair that come first in the drawn order: a draw of
+    ten needs no more, and the triples of a pair stay bounded."""
     order = shuffled(d, "j10t", "a.scene_id", "a.frame_a", "a.frame_b", "a.ins_id", "b.ins_id", "c.ins_id")
     return f"""
     select * from (
@@ -168,7 +170,7 @@ def triplets(d):
             and b.pos > a.pos and b.label <> a.label
         join in_either c on c.scene_id = a.scene_id and c.frame_a = a.frame_a and c.frame_b = a.frame_b
             and c.pos > b.pos and c.label <> a.label and c.label <> b.label
-        where a.in_a + b.in_a + c.in_a < 3 and a.in_b + b.in_b + c.in_b < 3) t
+        where c.pos <= 12 and a.in_a + b.in_a + c.in_a < 3 and a.in_b + b.in_b + c.in_b < 3) t
     where draw <= 10"""
 
 
