@@ -170,7 +170,7 @@ def triplets(d):
             and b.pos > a.pos and b.label <> a.label
         join in_either c on c.scene_id = a.scene_id and c.frame_a = a.frame_a and c.frame_b = a.frame_b
             and c.pos > b.pos and c.label <> a.label and c.label <> b.label
-        where c.pos <= 12 and a.in_a + b.in_a + c.in_a < 3 and a.in_b + b.in_b + c.in_b < 3) t
+        where a.pos <= 10 and b.pos <= 11 and c.pos <= 12 and a.in_a + b.in_a + c.in_a < 3 and a.in_b + b.in_b + c.in_b < 3) t
     where draw <= 10"""
 
 
