@@ -13,7 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from ..functions import kernels
+from ..functions import kernels, rle
 
 
 def fuse_instances(points: DataFrame, *, limit: float = 0.3, every: bool = False, fixpoint: bool = True) -> DataFrame:
@@ -84,3 +84,53 @@ def sample_pairs(pairs: DataFrame, *, most: int = 100, seed: int = 42) -> DataFr
         return pd.DataFrame(out, columns=["scene_id", "frame_a", "frame_b", "cov"])
 
     return pairs.groupBy("scene_id").applyInPandas(run, "scene_id long, frame_a long, frame_b long, cov double")
+
+
+def erode(mask: np.ndarray, radius: int) -> np.ndarray:
+    """Cells whose square neighbourhood is all foreground (the border is not)."""
+    out = mask
+    for axis in (0, 1):
+        padded = np.pad(out, [(radius, radius) if a == axis else (0, 0) for a in (0, 1)])
+        sums = np.cumsum(np.insert(padded.astype(np.int32), 0, 0, axis=axis), axis=axis)
+        width = 2 * radius + 1
+        out = np.take(sums, range(width, sums.shape[axis]), axis=axis) - np.take(sums, range(sums.shape[axis] - width), axis=axis) == width
+    return out
+
+
+MASK_STATS = "mask_id long, text string, area long, n_components long, largest long, area_clean long, area_eroded long"
+
+
+def mask_stats(masks: DataFrame, *, area: int = 16, radius: int = 1) -> DataFrame:
+    """Masks (mask_id, height, counts) by raster: the text form of the runs,
+    components and their largest area, and areas after hole filling and erosion."""
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for mask_id, height, counts in batch[["mask_id", "height", "counts"]].itertuples(index=False):
+                counts = [int(c) for c in counts]
+                counts = [*counts, *([0] if len(counts) % 2 else []), -sum(counts) % height]
+                mask = rle.to_mask(counts, height, sum(counts) // height)
+                labels, areas = rle.label_components(mask)
+                names = np.unique(labels[labels > 0])
+                clean = rle.fill_and_clean(mask, area) if mask.size else mask
+                out.append((mask_id, rle.encode_counts(counts), int(mask.sum()), len(names), int(areas.max(initial=0)),
+                            int(clean.sum()), int(erode(mask, radius).sum()) if mask.size else 0))
+            yield pd.DataFrame(out, columns=[f.split()[0] for f in MASK_STATS.split(", ")])
+
+    return masks.mapInPandas(run, MASK_STATS)
+
+
+def fit_boxes(points: DataFrame, *, principal: bool = False) -> DataFrame:
+    """One oriented box for each group (group_id, x, y, z) of three points or
+    more: small, or along the principal axes."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        cloud = kernels.trim(rows.sort_values(["x", "y", "z"])[["x", "y", "z"]].to_numpy(dtype=float))
+        names = ["group_id", "n", "cx", "cy", "cz", "ex", "ey", "ez"]
+        if len(cloud) < 3:
+            return pd.DataFrame([], columns=names)
+        center, _, extents = kernels.pca_box(cloud) if principal else kernels.fit_box(cloud, 8)
+        return pd.DataFrame([(rows["group_id"].iloc[0], len(cloud), *center, *extents)], columns=names)
+
+    return points.groupBy("group_id").applyInPandas(run, "group_id long, n long, " + ", ".join(f"{c} double" for c in "cx cy cz ex ey ez".split()))

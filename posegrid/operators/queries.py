@@ -65,10 +65,22 @@ def k02_training_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("id", "scene_id", F.to_json(F.struct("conversations", "image")).alias("record"))
 
 
+def a09_fit_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return groups.fit_boxes(_sql(spark, sf_dir, "select ins_id as group_id, x, y, z from points"))
+
+
+def a10_principal_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return groups.fit_boxes(_sql(spark, sf_dir, "select ins_id as group_id, x, y, z from points"), principal=True)
+
+
+def a16_mask_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return groups.mask_stats(_sql(spark, sf_dir, "select vec_id as mask_id, height, counts from rle"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         g01_fuse_instances, g02_fuse_regions, g05_box_suppression, g06_overlap_removal, j20_assignment, w08_greedy_pairs,
-        t01_track_states, d02_model_decisions, k02_training_records,
+        t01_track_states, d02_model_decisions, k02_training_records, a09_fit_boxes, a10_principal_boxes, a16_mask_components,
     )
 }

@@ -130,3 +130,15 @@ def test_binary_files(spark, tmp_path):
     assert files.read_sparse_points(point).iloc[0].n_track == 2
     camera = struct.pack("<Q2i2Q4d", 1, 2, 1, 640, 480, 1.0, 2.0, 3.0, 4.0)
     assert files.read_sparse_cameras(camera).iloc[0].params == [1, 2, 3, 4]
+
+
+def test_mask_stats_agree_with_run_arithmetic(spark):
+    got = {r.mask_id: r for r in operator_queries.a16_mask_components(spark, SF).collect()}
+    want = {r.vec_id: r.area for r in plans.queries()["a15_rle_area_bbox"](spark, SF).collect()}
+    assert all(got[i].area == a and got[i].largest <= a and got[i].area_eroded <= a for i, a in want.items()) and len(got) >= len(want)
+    assert groups.erode(np.ones((5, 6), dtype=bool), 1).sum() == 12
+
+
+def test_boxes_of_groups(spark):
+    boxes = operator_queries.a09_fit_boxes(spark, SF).collect()
+    assert boxes and all(b.n >= 3 and min(b.ex, b.ey, b.ez) >= 0 for b in boxes)
