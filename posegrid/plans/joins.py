@@ -155,11 +155,33 @@ def _triple_columns() -> str:
     return ", ".join(f"{s}.{c} as {c}_{s}" for s in "abc" for c in ("ins_id", "label", "cx", "cy", "cz", "ex", "ey", "ez"))
 
 
+def _triplets_by_array(d: Spark) -> str:
+    """The same draws from one array a pair: no row for a triple that is not drawn."""
+    fields = "pos, ins_id, label, cx, cy, cz, ex, ey, ez, in_a, in_b"
+    order = shuffled(d, "j10t", "scene_id", "frame_a", "frame_b", "a.ins_id", "b.ins_id", "c.ins_id")
+    rest = lambda s: f"slice(items, {s}.pos + 1, size(items))"
+    third = (
+        f"filter({rest('b')}, c -> c.label <> a.label and c.label <> b.label "
+        "and a.in_a + b.in_a + c.in_a < 3 and a.in_b + b.in_b + c.in_b < 3)"
+    )
+    triple = f"struct({order} as o, a.ins_id as i, b.ins_id as j, c.ins_id as k, a.pos as pos_a, b.pos as pos_b, c.pos as pos_c)"
+    inner = f"flatten(transform(filter({rest('a')}, b -> b.label <> a.label), b -> transform({third}, c -> {triple})))"
+    columns = ", ".join(
+        f"element_at(items, t.pos_{s}).{c} as {c}_{s}" for s in "abc" for c in ("ins_id", "label", "cx", "cy", "cz", "ex", "ey", "ez")
+    )
+    return f"""
+    select scene_id, frame_a, frame_b, {columns}, at + 1 as draw
+    from (
+        select scene_id, frame_a, frame_b, items, posexplode(slice(array_sort(flatten(transform(items, a -> {inner}))), 1, 10)) as (at, t)
+        from (select scene_id, frame_a, frame_b, array_sort(collect_list(struct({fields}))) as items from in_either group by 1, 2, 3) p) e"""
+
+
 @view
 def triplets(d):
-    """At most ten draws of three instances that no single frame shows, among
-    the twelve instances of a pair that come first in the drawn order: a draw of
-    ten needs no more, and the triples of a pair stay bounded."""
+    """At most ten draws of three instances that no single frame shows, from
+    all such triples of a pair (a scene's instances bound their number)."""
+    if d.name == "spark":
+        return _triplets_by_array(d)
     order = shuffled(d, "j10t", "a.scene_id", "a.frame_a", "a.frame_b", "a.ins_id", "b.ins_id", "c.ins_id")
     return f"""
     select * from (
@@ -170,7 +192,7 @@ def triplets(d):
             and b.pos > a.pos and b.label <> a.label
         join in_either c on c.scene_id = a.scene_id and c.frame_a = a.frame_a and c.frame_b = a.frame_b
             and c.pos > b.pos and c.label <> a.label and c.label <> b.label
-        where a.pos <= 10 and b.pos <= 11 and c.pos <= 12 and a.in_a + b.in_a + c.in_a < 3 and a.in_b + b.in_b + c.in_b < 3) t
+        where a.in_a + b.in_a + c.in_a < 3 and a.in_b + b.in_b + c.in_b < 3) t
     where draw <= 10"""
 
 

@@ -1,3 +1,4 @@
+import itertools
 import json
 import struct
 
@@ -40,6 +41,24 @@ def test_plans_need_no_cross_product(spark):
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
+def test_triples_are_drawn_from_all_instances_of_a_pair(spark):
+    held = {}
+    for r in operator_queries._sql(spark, SF, "select * from in_either").collect():
+        held.setdefault((r.scene_id, r.frame_a, r.frame_b), []).append(r)
+    want = {}
+    for key, rows in held.items():
+        some = lambda t: len({r.label for r in t}) == 3 and not all(r.in_a for r in t) and not all(r.in_b for r in t)
+        valid = {frozenset(r.ins_id for r in t) for t in itertools.combinations(rows, 3) if some(t)}
+        if valid:
+            want[key] = valid
+    got = {}
+    for r in plans.queries()["j10_triplets"](spark, SF).collect():
+        got.setdefault((r.scene_id, r.frame_a, r.frame_b), []).append(frozenset((r.ins_a, r.ins_b, r.ins_c)))
+    assert {k: len(v) for k, v in got.items()} == {k: min(10, len(v)) for k, v in want.items()}
+    assert all(set(v) <= want[k] and len(set(v)) == len(v) for k, v in got.items())
+    assert any(r.pos > 12 for k, v in got.items() for t in v for r in held[k] if r.ins_id in t)
+
+
 def test_relative_rotation_of_a_quarter_turn(spark):
     from posegrid.plans.geometry import relative
 
