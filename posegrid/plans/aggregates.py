@@ -139,15 +139,40 @@ def a15_rle_area_bbox(d):
     from rle_runs group by 1"""
 
 
+@view
+def rle_words(d):
+    """Masks as words of 64 pixels, bit by bit (Spark only)."""
+    low, high = "greatest(stop - len - word * 64, 0)", "least(stop - word * 64, 64)"
+    ones = f"case when {high} - {low} = 64 then -1L else shiftleft(shiftleft(1L, cast({high} - {low} as int)) - 1L, cast({low} as int)) end"
+    return f"""
+    select vec_id, label, cast(sum(bit_count(bits)) as bigint) as area, {d.gather('bits', 'word')} as words
+    from (
+        select vec_id, label, word, bit_or(bits) as bits from (
+            select vec_id, label, word, {ones} as bits
+            from (select vec_id, label, stop, len, explode(sequence((stop - len) div 64, (stop - 1) div 64)) as word from rle_runs) r
+            union all
+            select vec_id, label, explode(sequence(0L, last)) as word, 0L as bits
+            from (select vec_id, label, (max(stop) - 1) div 64 as last from rle_runs group by 1, 2) z) u
+        group by 1, 2, 3) w
+    group by 1, 2"""
+
+
 @plan
 def j22_rle_iou(d):
-    """Intersection and union of masks of a label, by overlapping runs."""
-    return f"""
+    """Intersection and union of all pairs of masks of a label: by overlapping
+    runs, or (Spark) by the common bits of their words."""
+    if d.name == "spark":
+        common = "aggregate(zip_with(a.words, b.words, (x, y) -> bit_count(x & y)), 0L, (n, x) -> n + coalesce(x, 0))"
+        return f"""
+        select a, b, inter, area_a + area_b - inter as uni from (
+            select a.vec_id as a, b.vec_id as b, {common} as inter, a.area as area_a, b.area as area_b
+            from rle_words a join rle_words b on a.label = b.label and b.vec_id > a.vec_id) h"""
+    return """
     with size as (select vec_id, sum(len) as area from rle_runs group by 1),
     hit as (
         select a.vec_id as a, b.vec_id as b,
             sum(greatest(0, least(a.stop, b.stop) - greatest(a.stop - a.len, b.stop - b.len))) as inter
-        from rle_runs a join rle_runs b on a.label = b.label and b.vec_id > a.vec_id and b.vec_id - a.vec_id <= 30
+        from rle_runs a join rle_runs b on a.label = b.label and b.vec_id > a.vec_id
         group by 1, 2)
     select h.a, h.b, cast(h.inter as bigint) as inter, cast(sa.area + sb.area - h.inter as bigint) as uni
     from hit h join size sa on sa.vec_id = h.a join size sb on sb.vec_id = h.b"""

@@ -59,6 +59,19 @@ def test_triples_are_drawn_from_all_instances_of_a_pair(spark):
     assert any(r.pos > 12 for k, v in got.items() for t in v for r in held[k] if r.ins_id in t)
 
 
+def test_mask_overlaps_of_all_pairs_of_a_label(spark):
+    masks = {}
+    for r in operator_queries._sql(spark, SF, "select vec_id, label, counts from rle").collect():
+        pixels = np.repeat(np.arange(len(r.counts)) % 2 == 1, r.counts)
+        if pixels.any():
+            masks.setdefault(r.label, []).append((r.vec_id, set(np.flatnonzero(pixels).tolist())))
+    want = {
+        (i, j): (len(x & y), len(x | y)) for held in masks.values() for (i, x), (j, y) in itertools.combinations(sorted(held, key=lambda m: m[0]), 2)
+    }
+    assert {(r.a, r.b): (r.inter, r.uni) for r in plans.queries()["j22_rle_iou"](spark, SF).collect()} == want
+    assert any(j - i > 30 for i, j in want)
+
+
 def test_relative_rotation_of_a_quarter_turn(spark):
     from posegrid.plans.geometry import relative
 
