@@ -2,11 +2,16 @@
 
 A sentence ends after ``.``, ``!`` or ``?`` (and closing marks) before white
 space, and at a line end.  One of more than ``LONG`` words is also cut after
-words chosen by their own and their predecessor's hash, so that cuts fall alike
-in any context.  From every sentence the shortest run of at least ``RUN``
-sentences and ``LEAST_WORDS`` words is hashed (words lower-cased, white space
-squeezed; 96 bits).  Over all texts, the first occurrence of a run is the one
-with the least (id, place); the sentences of every other occurrence go.
+words chosen by their own and their predecessor's hash (the least of every
+``WINDOW``), so that cuts fall alike in any context.  A run holds at least ``RUN`` sentences and ``LEAST_WORDS`` words,
+or ``ENOUGH`` words in fewer sentences.  The shortest run from every sentence
+and the shortest up to every sentence are hashed (words lower-cased, white space
+squeezed; 96 bits): together they cover what any run covers.  Over all texts,
+the first occurrence of a run is the one with the least (id, place); the
+sentences of every other occurrence go.  A repeated passage loses at most its
+first and its last ``LONG`` words to the sentences around it, the last ones only
+if it stops within a sentence: one of over 50 words up to a sentence end always
+holds a run.
 
 A block of texts sends one row for each distinct run, and marks its other
 occurrences itself, so a run that a third of all texts hold is pre-aggregated
@@ -30,7 +35,7 @@ from pyspark.sql.window import Window
 
 from .runtime import map_blocks
 
-RUN, LEAST_WORDS, LONG = 3, 12, 24
+RUN, LEAST_WORDS, LONG, ENOUGH, WINDOW = 3, 12, 24, 27, 16
 _END = re.compile(r"[.!?]+[\"'”’)\]]*(?=\s)|\n")
 _WORD = re.compile(r"\S+")
 SPANS = "h long, g int, doc_id long, rid long, first int, last int, again boolean"
@@ -51,17 +56,29 @@ def sentence_ends(text: str) -> list[int]:
         if part.count(" ") >= LONG:
             spans = [m.span() for m in _WORD.finditer(part)]
             if len(spans) > LONG:
-                before = ""
-                for a, b in spans[:-1]:
-                    word = part[a:b]
-                    if _digest(f"{before} {word}".lower())[0] % 10 == 0:
-                        ends.append(at + b)
-                    before = word
+                words = [part[a:b].lower() for a, b in spans[:-1]]
+                ranks = [_digest(f"{a} {b}") for a, b in zip(["", *words], words)]
+                ends += [at + spans[k][1] for k in _least_places(ranks)]
         ends.append(stop)
         at = stop
     return ends
 
 
+def _least_places(ranks: list[bytes]) -> list[int]:
+    """The place of the least rank of every ``WINDOW`` in turn (the one before,
+    if it is as small), so that no two are further apart."""
+    out = [-1]
+    for stop, rank in enumerate(ranks):
+        begin = stop - WINDOW + 1
+        if begin < 0:
+            continue
+        if out[-1] < begin:
+            out.append(min(range(stop, begin - 1, -1), key=ranks.__getitem__))
+        elif rank < ranks[out[-1]]:
+            out.append(stop)
+    return out[1:]
+
+
 def _digest(text: str) -> bytes:
     return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=12).digest()
 
@@ -75,17 +92,23 @@ def runs(text: str) -> list[tuple[bytes, int, int]]:
     """(digest, first sentence, last sentence) of the runs of a text."""
     norm = [" ".join(s.lower().split()) for s in sentences(text)]
     n_words = [s.count(" ") + 1 for s in norm]
-    out = []
-    last, held = -1, 0
-    for first in range(len(norm)):
-        while last + 1 < len(norm) and (last - first + 1 < RUN or held < LEAST_WORDS):
-            last += 1
-            held += n_words[last]
-        if last - first + 1 < RUN or held < LEAST_WORDS:
-            break
-        out.append((_digest("\n".join(norm[first : last + 1])), first, last))
-        held -= n_words[first]
-    return out
+    found: set[tuple[int, int]] = set()
+    first, held = 0, 0
+    for last, n in enumerate(n_words):
+        held += n
+        ends = -1  # the last start from which a run ends here
+        while first <= last and (held >= ENOUGH or last - first + 1 >= RUN and held >= LEAST_WORDS):
+            found.add((first, last))  # the shortest from its start
+            ends = first
+            held -= n_words[first]
+            first += 1
+        if ends < 0 and found:  # no start is new: the shortest that ends here begins before
+            words, ends = held, first
+            while ends > 0 and not (words >= ENOUGH or last - ends + 1 >= RUN and words >= LEAST_WORDS):
+                ends -= 1
+                words += n_words[ends]
+            found.add((ends, last))
+    return [(_digest("\n".join(norm[i : j + 1])), i, j) for i, j in sorted(found)]
 
 
 def _span_rows(docs: DataFrame) -> DataFrame:

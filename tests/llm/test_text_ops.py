@@ -186,6 +186,33 @@ def test_span_dedup_against_brute_force(spark):
     assert span_dedup.remove_repeats(df.limit(0)).count() == 0 and span_dedup.stripped(df.limit(0)).count() == 0
 
 
+def test_passages_of_over_fifty_words_hold_a_run():
+    import random
+
+    rng = random.Random(4)
+    words = lambda n: " ".join("".join(rng.choices("abcdefghij", k=5)) for _ in range(n))
+    for _ in range(300):
+        lengths = rng.choice([[21, 15, 15], [24, 27], [27, 24], [40, 11], [51], [30, 10, 11], [17, 17, 17], [5, 23, 23]])
+        passage = " ".join(f"{words(n)}." for n in lengths)
+        texts = [f"{words(rng.randrange(1, 40))} {passage} {words(rng.randrange(1, 40))}" for _ in range(2)]
+        shared = set.intersection(*({digest for digest, _, _ in span_dedup.runs(t)} for t in texts))
+        assert shared, lengths
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(1, 30), max_size=25))
+def test_runs_cover_all_that_any_run_covers(lengths):
+    text = " ".join(" ".join(f"w{i}x{k}" for k in range(n)) + "." for i, n in enumerate(lengths))
+    held = [len(s.split()) for s in span_dedup.sentences(text)]
+    enough = lambda i, j: sum(held[i : j + 1]) >= 27 or (j - i >= 2 and sum(held[i : j + 1]) >= 12)
+    every = [(i, j) for i in range(len(held)) for j in range(i, len(held)) if enough(i, j)]
+    found = {(i, j) for _, i, j in span_dedup.runs(text)}
+    assert found <= set(every)
+    for p, q in every:
+        inside = {k for i, j in found if p <= i and j <= q for k in range(i, j + 1)}
+        assert inside == set(range(p, q + 1))
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.sampled_from(list("ab. !?\n\t\"é")), max_size=80).map("".join))
 def test_sentences_make_up_the_text(text):
