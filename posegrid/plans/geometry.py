@@ -81,11 +81,11 @@ def cam_pairs(d):
 
 @view
 def cam_objects(d):
-    """Each camera with three instances of a scene of the same number."""
+    """Each camera with all instances of the scene of the same number."""
     x, y, z = to_cam(("i.cx", "i.cy", "i.cz"), "c")
     return f"""
     select c.scene_id, c.frame_idx, i.ins_id, i.label, {x} as x, {y} as y, {z} as z
-    from cams c join instances i on i.scene_id = c.scene_id and i.ins_id % 7 = 0"""
+    from cams c join instances i on i.scene_id = c.scene_id"""
 
 
 @plan

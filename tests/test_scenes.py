@@ -72,6 +72,20 @@ def test_mask_overlaps_of_all_pairs_of_a_label(spark):
     assert any(j - i > 30 for i, j in want)
 
 
+def test_cameras_meet_all_instances_of_their_scene(spark):
+    instances, held = {}, plans.queries()
+    for r in operator_queries._sql(spark, SF, "select scene_id, ins_id from instances").collect():
+        instances.setdefault(r.scene_id, set()).add(r.ins_id)
+    cams = operator_queries._sql(spark, SF, "select scene_id, frame_idx from cams").collect()
+    want = {(*c, i) for c in cams for i in instances.get(c.scene_id, ())}
+    for name in ("m02_world_to_cam", "m03_project", "m17_axis_words"):
+        assert {(r.scene_id, r.frame_idx, r.ins_id) for r in held[name](spark, SF).collect()} == want
+    pairs = operator_queries._sql(spark, SF, "select scene_id, frame_a, frame_b from cam_covis where cov > 0.25e0").collect()
+    want = {(*p, i) for p in pairs for i in instances.get(p.scene_id, ())}
+    for name in ("q05_center_distance", "q06_center_direction", "q07_orient"):
+        assert {(r.scene_id, r.frame_a, r.frame_b, r.ins_id) for r in held[name](spark, SF).collect()} == want
+
+
 def test_relative_rotation_of_a_quarter_turn(spark):
     from posegrid.plans.geometry import relative
 
