@@ -53,12 +53,11 @@ def sentence_ends(text: str) -> list[int]:
                 ends[-1] = stop
                 at = stop
             continue
-        if part.count(" ") >= LONG:
+        if len(part.split()) > LONG:
             spans = [m.span() for m in _WORD.finditer(part)]
-            if len(spans) > LONG:
-                words = [part[a:b].lower() for a, b in spans[:-1]]
-                ranks = [_digest(f"{a} {b}") for a, b in zip(["", *words], words)]
-                ends += [at + spans[k][1] for k in _least_places(ranks)]
+            words = [part[a:b].lower() for a, b in spans[:-1]]
+            ranks = [_digest(f"{a} {b}") for a, b in zip(["", *words], words)]
+            ends += [at + spans[k][1] for k in _least_places(ranks)]
         ends.append(stop)
         at = stop
     return ends

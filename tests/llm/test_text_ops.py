@@ -199,6 +199,14 @@ def test_passages_of_over_fifty_words_hold_a_run():
         assert shared, lengths
 
 
+@pytest.mark.parametrize("space", [" ", "\t", "\u00a0", "\u2003"])
+def test_long_texts_are_cut_whatever_parts_their_words(space):
+    words = [f"w{i * 7919 % 1000}" for i in range(400)]
+    a, b = (space.join([f"{x}{k}" for k in range(90)] + words[100:200] + [f"{x}{k}z" for k in range(50)]) for x in "pq")
+    shared = {h for h, _, _ in span_dedup.runs(a)} & {h for h, _, _ in span_dedup.runs(b)}
+    assert shared and len(span_dedup.sentences(a)) == len(span_dedup.sentences(a.replace(space, " ")))
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(1, 30), max_size=25))
 def test_runs_cover_all_that_any_run_covers(lengths):
