@@ -12,7 +12,16 @@ of the first ``i`` bytes.  A token ``t`` ending at ``i`` is ``e(i)`` iff the
 pair (``e(i - len(t))``, ``t``) encodes to itself; exactly one ``t`` does.  So it
 is enough to know the longest suffix that begins some token and, for every
 position in it from which a token can still grow, the last token and the count
-relative to here.  XX
+relative to here.
+
+The counts are not composed by a scan: only the first machine's state maps are,
+and they hold no counts.  The second runs over each distinct piece from its
+start, many pieces side by side (lanes): for every byte it reads back the last
+token and the count at the places where a token that ends here would begin, the
+longest token first, and tries shorter ones until a pair fits.  A map of a
+chunk would need an entry for every such history, of which there are far more
+than bytes in the short pieces that the first machine leaves.
+
 Null text counts as empty; empty text has 0 bytes and 0 tokens; repeated rows
 and repeated or null ids pass through as they are; other columns are ignored.
 """
