@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,8 +24,13 @@ def range_id(key: str, cuts: list[int]):
     """The number of cuts at or below the key; 0 for null keys."""
     if not cuts:
         return F.lit(0)
-    held = F.array(*[F.lit(c).cast("long") for c in cuts])
-    return F.coalesce(F.size(F.filter(held, lambda c: c <= F.col(key))), F.lit(0))
+    below = lambda values: F.size(F.filter(values, lambda c: c <= F.col(key)))
+    step = math.isqrt(len(cuts))
+    groups = [F.array(*[F.lit(c).cast("long") for c in cuts[i : i + step]]) for i in range(0, len(cuts), step)]
+    # two short searches: the last group that begins at or below the key, then in it
+    full = below(F.array(*[F.lit(c).cast("long") for c in cuts[::step]])) - 1
+    found = F.when(full < 0, 0).otherwise(full * step + below(F.get(F.array(*groups), full)))
+    return F.when(F.col(key).isNull(), 0).otherwise(found)
 
 
 def parts_of(df: DataFrame) -> int:

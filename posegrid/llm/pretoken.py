@@ -18,6 +18,8 @@ import zlib
 
 import numpy as np
 
+from .shingles import span_hashes
+
 # Character kinds of the table.
 PUNCT, LETTER, NUMBER, SPACE, BLANK = range(5)
 # Classes after look-ahead: a contraction of 2 or 3 characters, a single blank
@@ -204,12 +206,8 @@ def boundaries(text: str, first: np.ndarray, packed: bytes, whole: list[tuple[in
     return np.append(np.flatnonzero(flags), n)
 
 
-def slices(texts: list[str], packed: bytes, special: str | None = None) -> tuple[list[str], list[int]]:
-    """All pre-tokens of the texts in order, and how many each text has.
-
-    With ``special``, each of its occurrences is one piece of its own and the
-    texts around it are split separately.
-    """
+def _marks(texts: list[str], packed: bytes, special: str | None) -> tuple[str, np.ndarray, list[int]]:
+    """The texts end to end, all token starts in them, and tokens of each text."""
     text = "".join(texts)
     lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
     edges = np.concatenate(([0], np.cumsum(lengths)))
@@ -221,6 +219,38 @@ def slices(texts: list[str], packed: bytes, special: str | None = None) -> tuple
                 whole.append((int(edges[k]) + at, int(edges[k]) + at + len(special)))
                 at = t.find(special, at + len(special))
     marks = boundaries(text, edges[:-1][lengths > 0], packed, whole)
-    per_text = np.searchsorted(marks[:-1], edges)
+    return text, marks, np.diff(np.searchsorted(marks[:-1], edges)).tolist()
+
+
+def slices(texts: list[str], packed: bytes, special: str | None = None) -> tuple[list[str], list[int]]:
+    """All pre-tokens of the texts in order, and how many each text has.
+
+    With ``special``, each of its occurrences is one piece of its own and the
+    texts around it are split separately.
+    """
+    text, marks, per_text = _marks(texts, packed, special)
     cut = marks.tolist()
-    return [text[a:b] for a, b in zip(cut, cut[1:])], np.diff(per_text).tolist()
+    return [text[a:b] for a, b in zip(cut, cut[1:])], per_text
+
+
+def distinct(texts: list[str], packed: bytes, special: str | None = None) -> tuple[list[str], np.ndarray, list[int]]:
+    """As ``slices``, with each pre-token once, and the number of every one.
+
+    Pre-tokens are told apart by hash, and every one is then compared with the
+    one that stands for it, so that a collision is seen (and nothing is merged).
+    """
+    text, marks, per_text = _marks(texts, packed, special)
+    cps = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
+    begin, size = marks[:-1], np.diff(marks)
+    hashes = span_hashes(cps, begin, marks[1:])
+    order = np.argsort(hashes)
+    ranked = hashes[order]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    first, number = order[new], np.empty(len(order), dtype=np.int64)
+    number[order] = np.cumsum(new) - 1
+    model = begin[first][number]
+    same = (size == size[first][number]).all()
+    if not same or not (cps == cps[np.arange(len(cps)) - np.repeat(begin - model, size)]).all():
+        first = number = np.arange(len(begin))
+    return [text[a:b] for a, b in zip(begin[first].tolist(), marks[first + 1].tolist())], number, per_text

@@ -40,6 +40,13 @@ def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
+def span_hashes(cps: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of each span of code points, by its content and length only."""
+    up, down = _powers(max(16, len(cps).bit_length()))
+    total = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum((cps + np.uint64(1)) * up[: len(cps)], dtype=np.uint64)))
+    return mix((total[end] - total[begin]) * down[begin] + (end - begin).astype(np.uint64) * np.uint64(_STEP))
+
+
 def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word, and the number of words of each text."""
     joined = "\n".join(texts) + "\n"
@@ -51,9 +58,7 @@ def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     if not space[0]:
         edge = np.concatenate(([0], edge))
     begin, end = edge[0::2], edge[1::2]
-    up, down = _powers(max(16, len(cps).bit_length()))
-    total = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum((cps + np.uint64(1)) * up[: len(cps)], dtype=np.uint64)))
-    h = mix((total[end] - total[begin]) * down[begin] + (end - begin).astype(np.uint64) * np.uint64(_STEP))
+    h = span_hashes(cps, begin, end)
     lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
     text_start = np.concatenate(([0], np.cumsum(lengths + 1)))
     return h, np.diff(np.searchsorted(begin, text_start))

@@ -13,8 +13,9 @@ all integers little-endian::
     footer: u64 table offset, u64 table size, u64 documents,
             u64 index offset, u64 chunks, u64 ids, magic
 
-Each task writes under a name of its own attempt and then moves the file to its
-final name, so a lost executor or a second attempt leaves one whole file.
+Each attempt of a task writes files of its own, moved from a working name once
+they are whole; the manifest, checkpointed, says which ones count, and the
+others (of lost executors or second attempts) are deleted after it is written.
 Files go to a folder that all executors share, by the file system its URI
 names.  Documents are dealt to ranges of ids, a file a range, so file names in
 order hold ids in order and a document's start is its file's start plus its
@@ -33,6 +34,7 @@ import struct
 import uuid
 from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -167,24 +169,71 @@ def file_system(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path) if ":/" in path else (fs.LocalFileSystem(), path)
 
 
-def _encoder(path: str) -> tuple[bpe.Memo, str | None]:
-    """The tokenizers library behind a cache of pre-tokens.
+class Encoder:
+    """The tokenizers library behind a table of pre-tokens.
 
-    The library's merges never cross a pre-token, so each distinct one is
-    encoded once; the values are ids as bytes.
+    The library's merges never cross a pre-token, so its model is asked once for
+    each distinct one, in the byte alphabet that it expects; ids are laid end to
+    end in one array, and a block of texts is gathered from it.  The table starts
+    anew once it holds ``LIMIT`` pre-tokens.
     """
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    from tokenizers import Tokenizer
 
-    library = Tokenizer.from_file(path)
-    special = list(library.get_added_tokens_decoder().values())
-    if len(special) > 1:
-        raise ValueError("one special token at most")
-
-    def work(new: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in library.encode_batch_fast(new, add_special_tokens=False)]
-
-    return bpe.Memo(work, 1 << 18), special[0].content if special else None
+    LIMIT = 1 << 19
+
+    def __init__(self, path: str, kinds: bytes):
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_file(path)
+        special = {t.content: i for i, t in library.get_added_tokens_decoder().items()}
+        if len(special) > 1:
+            raise ValueError("one special token at most")
+        self.mark, self.mark_id = next(iter(special.items()), (None, None))
+        self.model, self.kinds = library.model, kinds
+        self.shown = str.maketrans({chr(b): c for c, b in bpe.byte_alphabet().items()})
+        self._clear()
+
+    def _clear(self) -> None:
+        self.table = _Table()
+        self.begin, self.size = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.ids = np.zeros(0, dtype="<u4")
+
+    def _learn(self, pieces: list[str]) -> None:
+        flat, size = array("I"), []
+        for p in pieces:
+            if p == self.mark:
+                flat.append(self.mark_id)
+                size.append(1)
+                continue
+            tokens = self.model.tokenize(p.encode().decode("latin-1").translate(self.shown))
+            flat.extend([t.id for t in tokens])
+            size.append(len(tokens))
+        sizes = np.array(size, dtype=np.int64)
+        self.begin = np.concatenate((self.begin, len(self.ids) + np.cumsum(sizes) - sizes))
+        self.size = np.concatenate((self.size, sizes))
+        self.ids = np.concatenate((self.ids, np.frombuffer(flat, dtype="<u4")))
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of every text."""
+        if len(self.table) > self.LIMIT:
+            self._clear()
+        pieces, number, per_text = pretoken.distinct(texts, self.kinds, self.mark)
+        known = len(self.table)
+        at = np.fromiter(map(self.table.__getitem__, pieces), dtype=np.int64, count=len(pieces))[number]
+        if len(self.table) > known:
+            self._learn(list(islice(self.table, known, None)))
+        size = self.size[at]
+        ends = np.concatenate(([0], np.cumsum(size)))
+        whole = self.ids[np.repeat(self.begin[at] - ends[:-1], size) + np.arange(ends[-1])]
+        edges = ends[np.concatenate(([0], np.cumsum(per_text, dtype=np.int64)))].tolist()
+        return [whole[a:b] for a, b in zip(edges, edges[1:])]
+
+
+class _Table(dict):
+    """Numbers keys as they are first asked for."""
+
+    def __missing__(self, key: str) -> int:
+        self[key] = n = len(self)
+        return n
 
 
 def write_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, *, kind: int = BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -196,15 +245,15 @@ def write_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int,
     kinds = pretoken.kinds_by_tiktoken()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, mark = held(("files", tokenizer_path), lambda: _encoder(tokenizer_path))
+        encoder = held(("files", tokenizer_path), lambda: Encoder(tokenizer_path, kinds))
         system, root = file_system(folder)
-        end = np.array([end_id], dtype="<u4").tobytes()
+        end = np.array([end_id], dtype="<u4")
         writer = sink = own = part = None
 
         def finish() -> pa.RecordBatch:
             writer.close()
             sink.close()
-            name = f"{root}/part-{part:06d}.pgt"
+            name = f"{root}/part-{part:06d}-{uuid.uuid4().hex}.pgt"
             system.move(own, name)
             row = (part, name, len(writer.counts), writer.n_ids, writer.at)
             return pa.RecordBatch.from_arrays(
@@ -227,11 +276,8 @@ def write_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int,
                     own = f"{root}/_writing-{part:06d}-{uuid.uuid4().hex}"
                     sink = system.open_output_stream(own)
                     writer = Writer(sink, kind)
-                pieces, per_text = pretoken.slices(texts[at:stop], kinds, mark)
-                ids, done = memo.of(pieces), 0
-                for doc_id, n in zip(doc_ids[at:stop], per_text):
-                    writer.add(doc_id, np.frombuffer(b"".join(ids[done : done + n]) + end, dtype="<u4"))
-                    done += n
+                for doc_id, ids in zip(doc_ids[at:stop], encoder.encode(texts[at:stop])):
+                    writer.add(doc_id, np.concatenate((ids, end)))
                 at = stop
         if writer:
             yield finish()
@@ -240,7 +286,12 @@ def write_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int,
     system.create_dir(root, recursive=True)
     cols = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     dealt, _ = in_ranges(cols, "doc_id", "text")
-    return durable(dealt.select("doc_id", "text", "part").mapInArrow(run, MANIFEST))
+    manifest = durable(dealt.select("doc_id", "text", "part").mapInArrow(run, MANIFEST))
+    held_files = {r["file"].rpartition("/")[2] for r in manifest.select("file").toLocalIterator()}  # one a range
+    for info in system.get_file_info(fs.FileSelector(root)):
+        if info.base_name not in held_files:
+            system.delete_file(info.path)
+    return manifest
 
 
 def read_files(manifest: DataFrame, folder: str) -> DataFrame:
