@@ -6,8 +6,16 @@ their predecessors; rows and cells get the table parts around them), end tags
 without a start are dropped, and what is left open is closed.  ``render`` walks
 the tree and emits all visible text: white space collapses outside ``pre``;
 blocks begin lines, and headings, paragraphs, lists and tables have an empty
-line around them; list items have a dash or their number, indented by depth;
-the cells of a table are aligned in columns.
+line around them; list items have a dash or their number, indented by depth
+(as deep as ``DEEPEST`` levels); the cells of a table are aligned in columns.
+
+A table that holds other tables only lays out a page: its cells are blocks, one
+below the other.  In any other table each row begins a line and each column has
+its place, with column and row spans kept; lines of over ``CELL_WIDTH`` characters
+are wrapped at blanks within their column, and a row is as high as its highest
+cell.  Where the blanks for that would take over ``MOST_BLANKS`` times the
+table's text, rows stay rows, with two blanks between cells instead.  No text is
+lost in any of these.
 
 Not visible: the head, scripts, styles, templates, fallback of embedded
 objects, elements with ``hidden``, ``display: none``, ``visibility: hidden`` or
@@ -68,13 +76,30 @@ ENDS = {
 FENCES = frozenset("table td th caption button".split())
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|--!>|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*>"
-    r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)",
+    r"<!--.*?(?:-->|--!>|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
+    r"|<([a-zA-Z][^\s/>]*)((?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*+)(?:>|\Z)",
     re.S,
 )
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?", re.S)
 _DECLARED = re.compile(r"(?:^|;)\s*(display|visibility|white-space)\s*:\s*([a-z-]+)")
 _SPACE = re.compile(r"[ \t\n\f\r]+")
+_INTEGER = re.compile(r"[ \t\n\f\r]*([+-]?[0-9]+)")
+_LONG_CHARACTER = re.compile(r"&#[0-9]{20,};?")
+
+
+def unescape(text: str) -> str:
+    """Character references resolved; numbers beyond all characters are U+FFFD."""
+    return html.unescape(_LONG_CHARACTER.sub("\ufffd", text) if "&#" in text else text)
+
+
+def integer(text: str | None, default: int, low: int, high: int) -> int:
+    """The number that an attribute begins with, within bounds."""
+    m = _INTEGER.match(text or "")
+    if not m:
+        return default
+    if len(m[1]) > 12:
+        return low if m[1][0] == "-" else high
+    return min(max(int(m[1]), low), high)
 
 
 @dataclass(slots=True)
@@ -82,12 +107,13 @@ class Node:
     tag: str
     attrs: dict[str, str] = field(default_factory=dict)
     children: list = field(default_factory=list)  # Nodes and texts
+    holds_table: bool = False
 
 
 def attributes(raw: str) -> dict[str, str]:
     out: dict[str, str] = {}
     for name, a, b, c in _ATTR.findall(raw):
-        out.setdefault(name.lower(), html.unescape(a or b or c))
+        out.setdefault(name.lower(), unescape(a or b or c))
     return out
 
 
@@ -96,16 +122,23 @@ class _Builder:
         self.root = Node("html")
         self.open = [self.root]
         self.count = {"html": 1}
+        self.tables: list[Node] = []
         self.in_body = False
 
     def push(self, node: Node) -> None:
         self.open[-1].children.append(node)
         self.open.append(node)
         self.count[node.tag] = self.count.get(node.tag, 0) + 1
+        if node.tag == "table":
+            if self.tables:
+                self.tables[-1].holds_table = True
+            self.tables.append(node)
 
     def pop_to(self, at: int) -> None:
         for node in self.open[at:]:
             self.count[node.tag] -= 1
+            if node.tag == "table":
+                self.tables.pop()
         del self.open[at:]
 
     def find(self, tags, fences) -> int:
@@ -197,18 +230,16 @@ def build(markup: str) -> Node:
         m = _TOKEN.search(markup, at)
         text = markup[at : m.start() if m else len(markup)]
         if text:
-            b.text(html.unescape(text))
+            b.text(unescape(text))
         if not m:
             return b.root
         at = m.end()
         if m[1]:
             b.close(m[1].lower())
             continue
-        tag = m[2] or m[4]
-        if not tag:
+        if not m[2]:
             continue
-        tag = tag.lower()
-        raw = (m[3] if m[2] else m[5]) or ""
+        tag, raw = m[2].lower(), m[3] or ""
         b.start(tag, attributes(raw) if raw.strip(" /\t\r\n") else {})
         if tag in RAW and b.open[-1].tag == tag:
             if low is None:
@@ -218,17 +249,22 @@ def build(markup: str) -> Node:
             stop = low.find(f"</{tag}", at)
             stop = len(markup) if stop < 0 else stop
             content = markup[at:stop]
-            b.open[-1].children.append(html.unescape(content) if tag in ("textarea", "title") else content)
+            b.open[-1].children.append(unescape(content) if tag in ("textarea", "title") else content)
             at = stop
         elif tag == "plaintext":
             b.text(markup[at:])
             return b.root
 
 
+#: Levels of lists that are indented further.
+DEEPEST = 40
+
+
 class _Flow:
-    """Lines of one column of text."""
+    """Lines of one column of text; ``base`` is the number of lists around it."""
 
-    def __init__(self) -> None:
+    def __init__(self, base: int = 0) -> None:
+        self.base = base
         self.lines: list[str] = []
         self.now: list[str] = []
         self.gap = False  # a collapsed blank waits
@@ -286,41 +322,111 @@ class _Flow:
         return self.lines
 
 
-#: Widest cell, in characters, that is padded to a column.
+#: Longest line of a cell, in characters, that is not wrapped.
 CELL_WIDTH = 120
+#: Padding that a table may take, as a multiple of its text (and so many more).
+MOST_BLANKS, FREE_BLANKS = 16, 1 << 16
+#: Fixed values of the HTML language: most columns and rows a cell may span.
+MOST_COLUMNS, MOST_ROWS = 1000, 65534
+
+
+@dataclass(slots=True)
+class _Cell:
+    columns: int
+    rows: int
+    lines: list[str]
 
 
 @dataclass(slots=True)
 class _Table:
-    rows: list[list[tuple[int, list[str]]]] = field(default_factory=list)
+    rows: list[list[_Cell]] = field(default_factory=list)
     captions: list[str] = field(default_factory=list)
 
 
-def layout(rows: list[list[tuple[int, list[str]]]]) -> list[str]:
-    """Lines of a table: aligned columns, or, where a cell holds several lines
-    or a very wide one, the cells one below the other."""
-    rows = [r for r in rows if any(lines for _, lines in r)]
-    if any(len(lines) > 1 or len("".join(lines)) > CELL_WIDTH for r in rows for _, lines in r):
-        return [line for r in rows for _, lines in r for line in lines]
-    widths: dict[int, int] = {}
+def wrapped(line: str) -> list[str]:
+    """A line in parts of at most ``CELL_WIDTH`` characters, cut at blanks; a
+    longer word stays whole."""
+    out, at = [], 0
+    while len(line) - at > CELL_WIDTH:
+        cut = line.rfind(" ", at + 1, at + CELL_WIDTH + 1)
+        if cut < 0 or not line[at:cut].strip():
+            cut = line.find(" ", at + CELL_WIDTH)
+        if cut < 0:
+            break
+        out.append(line[at:cut])
+        at = cut + 1
+    return [*out, line[at:]]
+
+
+def _places(rows: list[list[_Cell]]) -> list[list[tuple[int, _Cell]]]:
+    """Each row's cells with the column each begins at, clear of the cells of
+    earlier rows that reach into it."""
+    out, held = [], []  # held: (first column, column after the last, rows left)
+    for below, r in zip(range(len(rows) - 1, -1, -1), rows):
+        placed, at, k, new = [], 0, 0, []
+        for cell in r:
+            while k < len(held) and held[k][0] < at + 1:
+                at = max(at, held[k][1])
+                k += 1
+            placed.append((at, cell))
+            if cell.rows > 1:
+                new.append((at, at + cell.columns, cell.rows))
+            at += cell.columns
+        wide: list[tuple[int, int, int]] = []
+        for a, b, n in sorted((a, b, min(n - 1, below)) for a, b, n in held + new if n > 1):
+            if wide and wide[-1][1] == a and wide[-1][2] == n:
+                wide[-1] = (wide[-1][0], b, n)
+            else:
+                wide.append((a, b, n))
+        held = wide
+        out.append(placed)
+    return out
+
+
+def layout(rows: list[list[_Cell]]) -> list[str]:
+    """Lines of a table: its columns aligned, its rows as high as need be."""
     for r in rows:
-        at = 0
-        for span, lines in r:
-            if span == 1:
-                widths[at] = max(widths.get(at, 0), len("".join(lines)))
-            at += span
+        for cell in r:
+            cell.lines = [part for line in cell.lines for part in wrapped(line)]
+    placed = [r for r in _places(rows) if any(cell.lines for _, cell in r)]
+    widths: dict[int, int] = {}
+    text = 0
+    for r in placed:
+        for at, cell in r:
+            longest = max(map(len, cell.lines), default=0)
+            text += sum(map(len, cell.lines))
+            if cell.columns == 1 and longest:
+                widths[at] = max(widths.get(at, 0), min(longest, CELL_WIDTH))
+            elif longest:
+                widths.setdefault(at, 0)
+    offsets, total = {}, 0
+    for column in sorted(widths):
+        offsets[column] = total
+        total += widths[column] + 2
+    high = [max(len(cell.lines) for _, cell in r) for r in placed]
+    reach = [max(offsets[at] for at, cell in r if cell.lines) for r in placed]
+    if sum(h * w for h, w in zip(high, reach)) > MOST_BLANKS * text + FREE_BLANKS:
+        return [line for r in placed for line in _unaligned([cell.lines for _, cell in r])]
     out = []
-    for r in rows:
-        line, at, used = [], 0, 0
-        for span, lines in r:
-            text = "".join(lines)
-            width = sum(widths.get(c, 0) + 2 for c in range(at, at + min(span, 1000))) - 2
-            line.append(text.ljust(width))
-            at, used = at + span, used + 1
-        out.append("  ".join(line).rstrip())
+    for r, n in zip(placed, high):
+        for k in range(n):
+            line: list[str] = []
+            used = 0
+            for at, cell in r:
+                if k < len(cell.lines) and cell.lines[k]:
+                    gap = max(offsets[at] - used, 2 if used else 0)
+                    line += [" " * gap, cell.lines[k]]
+                    used += gap + len(cell.lines[k])
+            out.append("".join(line).rstrip())
     return out
 
 
+def _unaligned(cells: list[list[str]]) -> list[str]:
+    if all(len(lines) < 2 for lines in cells):
+        return ["  ".join(line for lines in cells for line in lines if line)]
+    return [line for lines in cells for line in lines]
+
+
 def _style(node: Node) -> dict[str, str]:
     return dict(_DECLARED.findall(node.attrs["style"].lower())) if "style" in node.attrs else {}
 
@@ -339,22 +445,24 @@ def render(root: Node) -> str:
             continue
         tag = node.tag
         if leaving:
-            if tag in ("td", "th") and tables and tables[-1].rows:
-                lines = flows.pop().done()
-                span = node.attrs.get("colspan", "1")
-                tables[-1].rows[-1].append((min(int(span), 1000) if span.isdigit() and int(span) else 1, lines))
-            elif tag == "caption" and tables:
+            if tag in ("td", "th") and tables and tables[-1]:
+                span = integer(node.attrs.get("colspan"), 1, 1, MOST_COLUMNS)
+                down = integer(node.attrs.get("rowspan"), 1, 0, MOST_ROWS) or MOST_ROWS
+                tables[-1].rows[-1].append(_Cell(span, down, flows.pop().done()))
+            elif tag == "caption" and tables and tables[-1]:
                 tables[-1].captions.extend(flows.pop().done())
             elif tag == "table":
                 table = tables.pop()
                 flow.space()
-                flow.put_lines(table.captions + layout(table.rows))
-                flow.space()
+                if table:
+                    flow.put_lines(table.captions + layout(table.rows))
+                    flow.space()
             elif tag in ("ul", "ol", "menu", "dir"):
                 lists.pop()
                 flow.newline()
-                flow.indent = flow.indent[:-2] if lists else ""
-                if not lists:
+                inner = len(lists) - flow.base
+                flow.indent = "  " * min(max(inner - 1, 0), DEEPEST)
+                if not inner:
                     flow.space()
             elif tag == "q":
                 flow.add('"', False) if visible else None
@@ -378,26 +486,25 @@ def render(root: Node) -> str:
             continue
         if tag == "wbr" or tag in VOID and tag != "hr":
             continue
-        if tag in ("td", "th") and tables:
+        if tag in ("td", "th") and tables and tables[-1]:
             if not tables[-1].rows:
                 tables[-1].rows.append([])
-            flows.append(_Flow())
-        elif tag == "caption" and tables:
-            flows.append(_Flow())
-        elif tag == "tr" and tables:
+            flows.append(_Flow(len(lists)))
+        elif tag == "caption" and tables and tables[-1]:
+            flows.append(_Flow(len(lists)))
+        elif tag == "tr" and tables and tables[-1]:
             tables[-1].rows.append([])
         elif tag == "table":
-            flow.newline()
-            tables.append(_Table())
+            flow.space() if node.holds_table else flow.newline()
+            tables.append(None if node.holds_table else _Table())
         elif tag in ("ul", "ol", "menu", "dir"):
-            flow.newline() if lists else flow.space()
-            if lists:
-                flow.indent += "  "
-            start = node.attrs.get("start", "1")
-            lists.append([tag, int(start) if start.lstrip("-").isdigit() and len(start) < 10 else 1])
+            inner = len(lists) - flow.base
+            flow.newline() if inner else flow.space()
+            flow.indent = "  " * min(inner, DEEPEST)
+            lists.append([tag, integer(node.attrs.get("start"), 1, -(1 << 31), (1 << 31) - 1)])
         elif tag == "li":
             flow.newline()
-            kind = lists[-1] if lists else ["ul", 1]
+            kind = lists[-1] if lists[flow.base :] else ["ul", 1]
             flow.mark = f"{kind[1]}. " if kind[0] == "ol" else "- "
             kind[1] += 1
         elif tag in SPACED:
