@@ -13,10 +13,17 @@ text less place in the item) lie within k of each other.  So:
 3. bands with too few hits are dropped, the others are verified by an alignment
    banded to those diagonals.
 
-Nothing within the budget is lost.  Items shorter than ``q`` (after squeezing)
-match nothing; for short ones the budget shrinks until the lemma demands a
-q-gram at least.  Items are broadcast in blocks of at most ``ITEM_CHARS``
-characters, one pass over the texts each; there is no join.
+Nothing within the budget is lost.  A q-gram that stands at over ``COMMON`` places
+of the items says little: where an item has q-grams enough besides, the lemma is
+applied to those (each common one it loses lowers the count it needs by one), and
+common ones are looked up only for the items that have too few others.  Hits are
+worked on in slices of at most ``SLICE``, by item, so shared wording and repeated
+texts take time but no memory.
+
+Items shorter than ``q`` (after squeezing) have no q-gram and count as present
+where they stand verbatim and as whole words; empty ones match nothing.  Items are
+broadcast in blocks of at most ``ITEM_CHARS`` characters, one after the other and
+one pass over the texts each; there is no join.
 
 Null texts have no matches; rows with a null id are reported with it; repeated
 rows are reported each.  Items with the same text are reported each.  Null items
@@ -25,6 +32,7 @@ match nothing.  Other columns are ignored.  Empty tables give no matches.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -39,6 +47,11 @@ EDIT_SHARE = 0.06
 #: Characters of benchmark text that are broadcast at a time.
 ITEM_CHARS = 8 << 20
 WINDOW = 32
+#: Places in the items from which a q-gram is common, and hits worked on at once.
+COMMON = 64
+SLICE = 1 << 21
+#: Characters of items that are aligned at once.
+ALIGNED = 1 << 18
 _BASE = np.uint32(0x9E3779B1)
 MATCHES = "doc_id long, item_id long, edits int, match_start int, match_end int, n_text int"
 
@@ -47,10 +60,14 @@ def normalise(text: str | None) -> str:
     return " ".join((text or "").lower().split())
 
 
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+
+
 def gram_hashes(text: str, q: int) -> np.ndarray:
     """A 32-bit hash of every q-gram.  Collisions only add hits, and what is
     found is verified by alignment."""
-    cps = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    cps = code_points(text)
     n = len(cps) - q + 1
     if n < 1:
         return np.zeros(0, dtype=np.uint32)
@@ -64,29 +81,35 @@ def gram_hashes(text: str, q: int) -> np.ndarray:
     return h
 
 
-def align(item: np.ndarray, text: np.ndarray, low: int, high: int, budget: int) -> tuple[int, int] | None:
-    """Least edits of the whole item against any stretch of the text on the
-    diagonals ``low .. high``, and where it ends; None beyond the budget."""
-    width = high - low + 1
-    far = budget + 1
+def align(items: np.ndarray, m: np.ndarray, stretches: np.ndarray, low: np.ndarray, n: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
+    """Least edits of whole items against any stretch of a text on a band of
+    diagonals, many at a time, and the diagonal where each ends.
+
+    Row r is an item (``items[r, :m[r]]``, longest first) and the text from place
+    ``low[r]`` on (the lowest diagonal); ``n[r]`` is the text's length.  Beyond
+    the budget the result is ``budget + 1``.
+    """
+    width, far = stretches.shape[1] - items.shape[1] + 1, budget + 1
     lane = np.arange(width)
-    cost = np.where((lane + low >= 0) & (lane + low <= len(text)), 0, far)
-    padded = np.full(len(text) + 2 * (width + len(item)) + abs(low) + 2, -1, dtype=np.int64)
-    shift = width + len(item) + abs(low) + 1
-    padded[shift : shift + len(text)] = text
-    for i, c in enumerate(item):
-        # lane d stands for text position i + low + d
-        at = shift + i + low
-        other = padded[at : at + width]
-        step = cost + (other != c)
-        step[:-1] = np.minimum(step[:-1], cost[1:] + 1)
-        step = np.minimum.accumulate(step - lane) + lane
-        place = i + 1 + low + lane
-        cost = np.where((place >= 0) & (place <= len(text)), np.minimum(step, far), far)
-        if cost.min() >= far:
-            return None
-    best = int(cost.argmin())
-    return int(cost[best]), len(item) + low + best
+    inside = lambda rows, i: (low[rows, None] + i + lane >= 0) & (low[rows, None] + i + lane <= n[rows, None])
+    edits, ends = np.full(len(m), far, dtype=np.int64), np.zeros(len(m), dtype=np.int64)
+    rows = np.arange(len(m))
+    cost = np.where(inside(rows, 0), 0, far)
+    for i in range(items.shape[1]):
+        done = m[rows] == i
+        alive = ~done & (cost < far).any(axis=1)
+        if done.any():
+            edits[rows[done]], ends[rows[done]] = cost[done].min(axis=1), cost[done].argmin(axis=1)
+        if not alive.all():
+            rows, cost = rows[alive], cost[alive]
+            if not len(rows):
+                return edits, ends
+        step = cost + (stretches[rows, i : i + width] != items[rows, i, None])
+        step[:, :-1] = np.minimum(step[:, :-1], cost[:, 1:] + 1)
+        step = np.minimum.accumulate(step - lane, axis=1) + lane
+        cost = np.where(inside(rows, i + 1), np.minimum(step, far), far)
+    edits[rows], ends[rows] = cost.min(axis=1), cost.argmin(axis=1)
+    return edits, ends
 
 
 @dataclass
@@ -100,9 +123,10 @@ class Index:
 
     def __post_init__(self) -> None:
         q = self.q
+        self.short = [(i, t) for i, t in self.items if 0 < len(t) < q]
         self.items = [(i, t) for i, t in self.items if len(t) >= q]
-        self.codes = [np.array([ord(c) for c in t], dtype=np.int64) for _, t in self.items]
-        m = np.array([len(t) for _, t in self.items], dtype=np.int64)
+        self.codes = [code_points(t) for _, t in self.items]
+        m = self.length = np.array([len(t) for _, t in self.items], dtype=np.int64)
         self.budget = np.minimum((m * self.share).astype(np.int64), np.maximum((m - q) // q, 0))
         self.need = np.maximum(m + 1 - q * (self.budget + 1), 1)
         grams = [gram_hashes(t, q) for _, t in self.items]
@@ -111,8 +135,18 @@ class Index:
         flat = np.concatenate(grams) if grams else np.zeros(0, dtype=np.uint32)
         order = np.argsort(flat, kind="stable")
         self.owner, self.place = owner[order], place[order]
-        self.keys, starts = np.unique(flat[order], return_index=True)
+        self.keys, starts, sizes = np.unique(flat[order], return_index=True, return_counts=True)
         self.starts = np.append(starts, len(flat))
+        # items with q-grams enough that are not common need those only
+        common = np.repeat(sizes > COMMON, sizes)
+        lost = np.bincount(self.owner[common], minlength=len(m))
+        self.rare = self.need > lost
+        self.least_hits = np.where(self.rare, self.need - lost, self.need)
+        used = ~(common & self.rare[self.owner])
+        self.owner, self.place = self.owner[used], self.place[used]
+        self.starts = np.concatenate(([0], np.cumsum(used)))[self.starts]
+        # entries in order of q-gram and item, for ranges of items
+        self.entry = np.repeat(np.arange(len(self.keys)), np.diff(self.starts)) * max(len(m), 1) + self.owner
         bits = max(16, int(len(self.keys)).bit_length() + 6)
         self.shift = np.uint32(32 - min(bits, 24))
         self.seen = np.zeros(1 << min(bits, 24), dtype=bool)
@@ -125,16 +159,23 @@ class Index:
         self.least = int(bound.min()) if len(m) else 1
         self.reach = int((m + 2 * self.budget).max()) + WINDOW if len(m) else 0
 
-    def matches(self, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
-        """(text, item, edits, start, end): the best match of each item in each text."""
-        if not self.items:
-            return []
-        joined = "\n".join(texts) + "\n"
+    def matches(self, texts: list[str]) -> list[tuple[int | None, int, int, int, int]]:
+        """(text, item id, edits, start, end): the best match of each item in each text."""
+        found = [(t, self.items[i][0], *v) for (t, i), v in self._near(texts).items()]
+        for item_id, item in self.short:
+            for t, text in enumerate(texts):
+                at = text.find(item)
+                while at >= 0 and not _whole_words(text, at, at + len(item)):
+                    at = text.find(item, at + 1)
+                if at >= 0:
+                    found.append((t, item_id, 0, at, at + len(item)))
+        return sorted(found, key=lambda r: (r[0], r[1] is None, r[1] or 0, *r[2:]))
+
+    def _hits(self, joined: str) -> tuple[np.ndarray, np.ndarray]:
+        """Positions of q-grams of items in dense enough regions, and which ones."""
         grams = gram_hashes(joined, self.q)
-        if not len(grams):
-            return []
         hits = self.seen.take(grams >> self.shift)
-        if self.least > 1:
+        if self.least > 1 and len(grams):
             sums = np.concatenate((np.zeros(1, dtype=np.int32), np.cumsum(hits, dtype=np.int32)))
             dense = np.flatnonzero(sums[WINDOW:] - sums[:-WINDOW] >= self.least)
             # regions around dense windows, as few long stretches
@@ -148,54 +189,112 @@ class Index:
         at = np.flatnonzero(hits)
         slot = np.searchsorted(self.keys, grams[at])
         known = self.keys[np.minimum(slot, len(self.keys) - 1)] == grams[at]
-        at, slot = at[known], slot[known]
-        many = self.starts[slot + 1] - self.starts[slot]
-        at = np.repeat(at, many)
-        entry = np.repeat(self.starts[slot], many) + np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many)
-        item, diagonal = self.owner[entry], at - self.place[entry]
-        edges = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
-        owner = np.searchsorted(edges, at, side="right") - 1
-        wide = self.budget[item] + 1
-        band = diagonal // wide
+        return at[known], slot[known]
+
+    def _slices(self, slot: np.ndarray):
+        """(first item, item after the last, positions) of slices that have
+        at most ``SLICE`` hits, but for a single position and item."""
+        n = len(self.items)
+        todo = [(0, n, 0, len(slot))]
+        while todo:
+            low, high, begin, end = todo.pop()
+            part = slot[begin:end]
+            first = np.searchsorted(self.entry, part * n + low)
+            many = np.searchsorted(self.entry, part * n + high) - first
+            total = int(many.sum())
+            if total > SLICE and high - low > 1:
+                middle = (low + high) // 2
+                todo += [(middle, high, begin, end), (low, middle, begin, end)]
+            elif total > SLICE and end - begin > 1:
+                middle = (begin + end) // 2
+                todo += [(low, high, middle, end), (low, high, begin, middle)]
+            elif total:
+                yield low, high, slice(begin, end), first, many
+
+    def _near(self, texts: list[str]) -> dict[tuple[int, int], tuple[int, int, int]]:
+        if not self.items:
+            return {}
+        best: dict[tuple[int, int], tuple[int, int, int]] = {}
+        joined = "\n".join(texts) + "\n"
+        at, slot = self._hits(joined)
         if not len(at):
-            return []
+            return best
+        cps = code_points(joined)
+        edges = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
         before = self.reach + 2  # bands may lie a little before the text
         width = int(at[-1]) + 2 * before
-        group = (owner * len(self.items) + item) * width + band + before
-        found, counts = np.unique(np.concatenate((group, group - 1)), return_counts=True)
-        group, band = found // width, found % width - before
-        enough = counts >= self.need[group % len(self.items)]
-        rows = zip((group // len(self.items))[enough].tolist(), (group % len(self.items))[enough].tolist(), band[enough].tolist())
-        best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for t, i, b in rows:
-            if (t, i) in best and not best[t, i][0]:
-                continue
-            w, k = int(self.budget[i]) + 1, int(self.budget[i])
-            low, high = b * w - k - int(edges[t]), (b + 2) * w - 1 + k - int(edges[t])
-            first = max(0, low)
-            part = texts[t][first : max(first, high + len(self.codes[i]) + k)]
-            codes = np.array([ord(c) for c in part], dtype=np.int64)
-            got = align(self.codes[i], codes, low - first, high - first, k)
-            if got and ((t, i) not in best or got[0] < best[t, i][0]):
-                end = first + got[1]
-                best[t, i] = got[0], max(0, end - len(self.codes[i])), end
-        return [(t, i, *v) for (t, i), v in sorted(best.items())]
-
-
-def item_blocks(benchmark: DataFrame, id_col: str, text_col: str) -> list[list[tuple[int | None, str]]]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        item_of_held = -1
+        for low, high, where, first, many in self._slices(slot):
+            if held and (high - low > 1 or low != item_of_held):
+                self._verify(cps, edges, width, before, *_added(held), best)
+                held = []
+            place = np.repeat(at[where], many)
+            entry = np.repeat(first, many) + np.arange(len(place)) - np.repeat(np.cumsum(many) - many, many)
+            item = self.owner[entry]
+            band = (place - self.place[entry]) // (self.budget[item] + 1)
+            text = np.searchsorted(edges, place, side="right") - 1
+            group = (text * len(self.items) + item) * width + band + before
+            held.append(np.unique(np.concatenate((group, group - 1)), return_counts=True))
+            item_of_held = low
+            if high - low > 1:
+                self._verify(cps, edges, width, before, *held.pop(), best)
+        if held:
+            self._verify(cps, edges, width, before, *_added(held), best)
+        return best
+
+    def _verify(self, cps, edges, width, before, found, counts, best) -> None:
+        """Align the bands with hits enough; keep the best of a text and item."""
+        group = found[counts >= self.least_hits[found // width % len(self.items)]]
+        pair, band = group // width, group % width - before
+        text, item = pair // len(self.items), pair % len(self.items)
+        for k in np.unique(self.budget[item]).tolist():
+            of = np.flatnonzero(self.budget[item] == k)
+            of = of[np.argsort(-self.length[item[of]], kind="stable")]
+            while len(of):
+                longest, wide = int(self.length[item[of[0]]]), 4 * k + 2
+                part, of = np.split(of, [max(1, ALIGNED // (longest + wide))])
+                t, i = text[part], item[part]
+                m, low, n = self.length[i], band[part] * (k + 1) - k - edges[t], np.diff(edges)[t] - 1
+                items = np.zeros((len(part), longest), dtype=np.int64)
+                for r, x in enumerate(i.tolist()):
+                    items[r, : m[r]] = self.codes[x]
+                place = low[:, None] + np.arange(longest + wide - 1)
+                known = (place >= 0) & (place < n[:, None])
+                stretches = np.where(known, cps[np.where(known, place + edges[t][:, None], 0)].astype(np.int64), -1)
+                edits, ends = align(items, m, stretches, low, n, k)
+                ends += m + low
+                for r in np.flatnonzero(edits <= k).tolist():
+                    got = int(edits[r]), max(0, int(ends[r] - m[r])), int(ends[r])
+                    at = int(t[r]), int(i[r])
+                    best[at] = min(best.get(at, got), got)
+
+
+def _added(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of counts by group."""
+    groups, at = np.unique(np.concatenate([g for g, _ in held]), return_inverse=True)
+    return groups, np.bincount(at, weights=np.concatenate([c for _, c in held]))
+
+
+def _whole_words(text: str, begin: int, end: int) -> bool:
+    inner = lambda k: 0 <= k < len(text) and text[k].isalnum()
+    return not (inner(begin - 1) and text[begin].isalnum()) and not (inner(end) and text[end - 1].isalnum())
+
+
+def item_blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[int | None, str]]]:
     """The items, normalised, in blocks of bounded size (for all but a single
-    item beyond the bound)."""
+    item beyond the bound); the driver holds one block at a time."""
     rows = benchmark.select(F.col(id_col).cast("long"), F.col(text_col)).where(F.col(text_col).isNotNull())
-    out: list[list[tuple[int | None, str]]] = [[]]
+    block: list[tuple[int | None, str]] = []
     size = 0
     for item_id, text in rows.orderBy(id_col, text_col).toLocalIterator():
         text = normalise(text)
         if size and size + len(text) > ITEM_CHARS:
-            out.append([])
-            size = 0
-        out[-1].append((item_id, text))
+            yield block
+            block, size = [], 0
+        block.append((item_id, text))
         size += len(text)
-    return out
+    yield block
 
 
 def contaminated(
@@ -225,7 +324,7 @@ def contaminated(
                 rows = index.matches(texts)
                 return {
                     "doc_id": [cols["doc_id"][r[0]] for r in rows],
-                    "item_id": [index.items[r[1]][0] for r in rows],
+                    "item_id": [r[1] for r in rows],
                     "edits": [r[2] for r in rows],
                     "match_start": [r[3] for r in rows],
                     "match_end": [r[4] for r in rows],
