@@ -7,6 +7,7 @@ import functools
 import heapq
 import json
 from collections.abc import Callable
+from itertools import islice
 
 import numpy as np
 
@@ -48,6 +49,10 @@ class HashTable:
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self._shift).view(np.int64)
 
+    def items(self) -> tuple[np.ndarray, np.ndarray]:
+        held = self._keys >= 0
+        return self._keys[held], self._values[held]
+
     def of(self, keys: np.ndarray) -> np.ndarray:
         """Values of the keys; NEVER where there is none."""
         slot = self._slot(keys)
@@ -225,3 +230,62 @@ class Memo:
         if len(young) > self.limit:
             self.young, self.old = {}, young
         return out
+
+
+class _Numbers(dict):
+    """Numbers keys as they are first asked for."""
+
+    def __missing__(self, key: str) -> int:
+        self[key] = n = len(self)
+        return n
+
+
+class PieceIds:
+    """Ids of texts, by a table of the ids of their pre-tokens.
+
+    ``split`` gives the distinct pre-tokens of a block of texts, the number of
+    every one in order, and how many each text has; ``learn`` gives the ids of
+    new pre-tokens end to end, and how many each has.  The ids of a block are
+    gathered from one array.  The table starts anew beyond ``limit`` entries.
+    """
+
+    def __init__(
+        self,
+        split: Callable[[list[str]], tuple[list[str], np.ndarray, list[int]]],
+        learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
+        limit: int = 1 << 18,
+    ):
+        self.split, self.learn, self.limit = split, learn, limit
+        self._clear()
+
+    def _clear(self) -> None:
+        self.table = _Numbers()
+        self.begin, self.size = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.ids = np.zeros(0, dtype="<u4")
+
+    def _numbers(self, pieces: list[str]) -> np.ndarray:
+        known = len(self.table)
+        at = np.fromiter(map(self.table.__getitem__, pieces), dtype=np.int64, count=len(pieces))
+        if len(self.table) > known:
+            ids, sizes = self.learn(list(islice(self.table, known, None)))
+            self.begin = np.concatenate((self.begin, len(self.ids) + np.cumsum(sizes) - sizes))
+            self.size = np.concatenate((self.size, sizes))
+            self.ids = np.concatenate((self.ids, ids))
+        return at
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(all ids, end of every pre-token in them, end of every text in the
+        pre-tokens); both kinds of ends begin with 0."""
+        if len(self.table) > self.limit:
+            self._clear()
+        pieces, number, per_text = self.split(texts)
+        at = self._numbers(pieces)[number]
+        size = self.size[at]
+        ends = np.concatenate(([0], np.cumsum(size)))
+        ids = self.ids[np.repeat(self.begin[at] - ends[:-1], size) + np.arange(ends[-1])]
+        return ids, ends, np.concatenate(([0], np.cumsum(per_text, dtype=np.int64)))
+
+    def by_text(self, texts: list[str]) -> list[np.ndarray]:
+        ids, ends, places = self.encode(texts)
+        edges = ends[places].tolist()
+        return [ids[a:b] for a, b in zip(edges, edges[1:])]

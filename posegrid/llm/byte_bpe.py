@@ -5,13 +5,13 @@ expression); the slices feed pair merging behind a bounded cache; offsets of
 the tokens in bytes are kept, so any id range can be decoded on its own.
 
 Null text counts as empty; an empty text has no ids and decodes to no bytes;
-repeated rows and ids pass through; other columns are ignored.
+repeated rows and ids pass through; other columns are ignored.  Ids that the
+vocabulary does not have are refused when decoding.
 """
 
 from __future__ import annotations
 
 import hashlib
-from array import array
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -20,40 +20,60 @@ from pyspark.sql import functions as F
 from . import bpe, pretoken
 from .runtime import held, map_blocks
 
+
 def codec_of(path: str, kinds: bytes) -> "Codec":
     """Kept by a Python worker from task to task."""
     return held(("codec", path), lambda: Codec(path, kinds))
 
 
-ENCODED = "doc_id long, ids binary, n_tokens long, piece_ends array<int>"
+ENCODED = "doc_id long, ids binary, n_tokens long, piece_ends array<long>"
 
 
 class Codec:
     """Encode by a rank file; ids are little-endian unsigned 32-bit integers."""
 
     def __init__(self, path: str, kinds: bytes):
-        self.vocab, self.kinds = bpe.from_ranks(path), kinds
-        self.memo = bpe.Memo(lambda new: [x.tobytes() for x in self.vocab.encode_many([p.encode() for p in new])])
-        self.table = [self.vocab.bytes.get(i, b"") for i in range(max(self.vocab.bytes) + 1)]
+        self.vocab = bpe.from_ranks(path)
+        top = max(self.vocab.bytes) + 1
+        table = [self.vocab.bytes.get(i, b"") for i in range(top)]
+        self.flat = np.frombuffer(b"".join(table), dtype=np.uint8)
+        self.length = np.fromiter(map(len, table), dtype=np.int64, count=top)
+        self.begin = np.cumsum(self.length) - self.length
+
+        def learn(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            ids = self.vocab.encode_many([p.encode() for p in pieces])
+            return np.concatenate(ids), np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+
+        self.pieces = bpe.PieceIds(lambda texts: pretoken.distinct(texts, kinds), learn)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        return [b"".join(p) for p in self._parts(texts)]
+        return [i.tobytes() for i in self.pieces.by_text(texts)]
 
-    def _parts(self, texts: list[str]):
-        pieces, per_text = pretoken.slices(texts, self.kinds)
-        parts = self.memo.of(pieces)
-        at = 0
-        for n in per_text:
-            yield parts[at : at + n]
-            at += n
+    def encode_with_ends(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Of each text the ids, and the byte offset where each pre-token ends."""
+        ids, ends, places = self.pieces.encode(texts)
+        offsets = self.offsets(ids)[ends]
+        return [(ids[ends[a] : ends[b]], offsets[a + 1 : b + 1] - offsets[a]) for a, b in zip(places.tolist(), places[1:].tolist())]
 
-    def offsets(self, ids: bytes) -> np.ndarray:
+    def offsets(self, ids: bytes | np.ndarray) -> np.ndarray:
         """Byte offset of every token's start, and the end."""
-        lengths = np.fromiter(map(len, self.table), dtype=np.int64, count=len(self.table))
-        return np.concatenate(([0], np.cumsum(lengths[np.frombuffer(ids, dtype="<u4")])))
+        ids = np.frombuffer(ids, dtype="<u4") if isinstance(ids, bytes) else ids
+        if len(ids) and (int(ids.max()) >= len(self.length) or not self.length[ids].all()):
+            raise ValueError("ids that the vocabulary does not have")
+        return np.concatenate(([0], np.cumsum(self.length[ids])))
+
+    def decode(self, ids: bytes | np.ndarray) -> bytes:
+        """The bytes of the ids, each token's laid at its offset."""
+        ids = np.frombuffer(ids, dtype="<u4") if isinstance(ids, bytes) else ids
+        at = self.offsets(ids)
+        return self.flat[np.repeat(self.begin[ids] - at[:-1], self.length[ids]) + np.arange(at[-1])].tobytes()
 
-    def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.table.__getitem__, array("I", ids)))
+    def decode_part(self, ids: np.ndarray, ends: np.ndarray, first: int, last: int) -> bytes:
+        """The bytes of the pre-tokens ``first .. last``, by the offsets kept."""
+        at = self.offsets(ids)
+        begin = int(ends[first - 1]) if first else 0
+        low, high = np.searchsorted(at, (begin, int(ends[last])))
+        return self.decode(ids[low:high])
 
 
 def encode(docs: DataFrame, ranks_path: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -64,18 +84,12 @@ def encode(docs: DataFrame, ranks_path: str, *, id_col: str = "doc_id", text_col
         codec = codec_of(ranks_path, kinds)
 
         def run(cols: dict[str, list]) -> dict[str, list]:
-            texts = [t or "" for t in cols["text"]]
-            ids, ends = [], []
-            for parts in codec._parts(texts):
-                whole = b"".join(parts)
-                ids.append(whole)
-                last = np.cumsum([len(p) // 4 for p in parts], dtype=np.int64)
-                ends.append(codec.offsets(whole)[last].tolist() if parts else [])
+            done = codec.encode_with_ends([t or "" for t in cols["text"]])
             return {
                 "doc_id": cols["doc_id"],
-                "ids": ids,
-                "n_tokens": [len(i) // 4 for i in ids],
-                "piece_ends": ends,
+                "ids": [i.tobytes() for i, _ in done],
+                "n_tokens": [len(i) for i, _ in done],
+                "piece_ends": [e for _, e in done],
             }
 
         return run
@@ -110,12 +124,15 @@ def round_trip(docs: DataFrame, ranks_path: str, *, id_col: str = "doc_id", text
         codec = codec_of(ranks_path, kinds)
 
         def run(cols: dict[str, list]) -> dict[str, list]:
-            ids = codec.encode([t or "" for t in cols["text"]])
+            done = codec.encode_with_ends([t or "" for t in cols["text"]])
+            back = [codec.decode(ids) for ids, _ in done]
+            if any(len(b) != (e[-1] if len(e) else 0) for b, (_, e) in zip(back, done)):
+                raise ValueError("decoded bytes do not end where the last pre-token does")
             return {
                 "doc_id": cols["doc_id"],
-                "n_tokens": [len(i) // 4 for i in ids],
-                "ids_sha256": [hashlib.sha256(i).hexdigest() for i in ids],
-                "decoded_sha256": [hashlib.sha256(codec.decode(i)).hexdigest() for i in ids],
+                "n_tokens": [len(i) for i, _ in done],
+                "ids_sha256": [hashlib.sha256(i.tobytes()).hexdigest() for i, _ in done],
+                "decoded_sha256": [hashlib.sha256(b).hexdigest() for b in back],
             }
 
         return run

@@ -34,7 +34,6 @@ import struct
 import uuid
 from array import array
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -169,71 +168,30 @@ def file_system(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path) if ":/" in path else (fs.LocalFileSystem(), path)
 
 
-class Encoder:
+def encoder(path: str, kinds: bytes) -> bpe.PieceIds:
     """The tokenizers library behind a table of pre-tokens.
 
     The library's merges never cross a pre-token, so its model is asked once for
-    each distinct one, in the byte alphabet that it expects; ids are laid end to
-    end in one array, and a block of texts is gathered from it.  The table starts
-    anew once it holds ``LIMIT`` pre-tokens.
+    each distinct one, in the byte alphabet that it expects.
     """
+    from tokenizers import Tokenizer
 
-    LIMIT = 1 << 19
+    library = Tokenizer.from_file(path)
+    special = {t.content: i for i, t in library.get_added_tokens_decoder().items()}
+    if len(special) > 1:
+        raise ValueError("one special token at most")
+    mark, mark_id = next(iter(special.items()), (None, None))
+    model, shown = library.model, str.maketrans({chr(b): c for c, b in bpe.byte_alphabet().items()})
 
-    def __init__(self, path: str, kinds: bytes):
-        from tokenizers import Tokenizer
-
-        library = Tokenizer.from_file(path)
-        special = {t.content: i for i, t in library.get_added_tokens_decoder().items()}
-        if len(special) > 1:
-            raise ValueError("one special token at most")
-        self.mark, self.mark_id = next(iter(special.items()), (None, None))
-        self.model, self.kinds = library.model, kinds
-        self.shown = str.maketrans({chr(b): c for c, b in bpe.byte_alphabet().items()})
-        self._clear()
-
-    def _clear(self) -> None:
-        self.table = _Table()
-        self.begin, self.size = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        self.ids = np.zeros(0, dtype="<u4")
-
-    def _learn(self, pieces: list[str]) -> None:
-        flat, size = array("I"), []
+    def learn(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        flat, sizes = array("I"), []
         for p in pieces:
-            if p == self.mark:
-                flat.append(self.mark_id)
-                size.append(1)
-                continue
-            tokens = self.model.tokenize(p.encode().decode("latin-1").translate(self.shown))
-            flat.extend([t.id for t in tokens])
-            size.append(len(tokens))
-        sizes = np.array(size, dtype=np.int64)
-        self.begin = np.concatenate((self.begin, len(self.ids) + np.cumsum(sizes) - sizes))
-        self.size = np.concatenate((self.size, sizes))
-        self.ids = np.concatenate((self.ids, np.frombuffer(flat, dtype="<u4")))
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of every text."""
-        if len(self.table) > self.LIMIT:
-            self._clear()
-        pieces, number, per_text = pretoken.distinct(texts, self.kinds, self.mark)
-        known = len(self.table)
-        at = np.fromiter(map(self.table.__getitem__, pieces), dtype=np.int64, count=len(pieces))[number]
-        if len(self.table) > known:
-            self._learn(list(islice(self.table, known, None)))
-        size = self.size[at]
-        ends = np.concatenate(([0], np.cumsum(size)))
-        whole = self.ids[np.repeat(self.begin[at] - ends[:-1], size) + np.arange(ends[-1])]
-        edges = ends[np.concatenate(([0], np.cumsum(per_text, dtype=np.int64)))].tolist()
-        return [whole[a:b] for a, b in zip(edges, edges[1:])]
-
-
-class _Table(dict):
-    """Numbers keys as they are first asked for."""
-
-    def __missing__(self, key: str) -> int:
-        self[key] = n = len(self)
-        return n
+            ids = [mark_id] if p == mark else [t.id for t in model.tokenize(p.encode().decode("latin-1").translate(shown))]
+            flat.extend(ids)
+            sizes.append(len(ids))
+        return np.frombuffer(flat, dtype="<u4"), np.array(sizes, dtype=np.int64)
+
+    return bpe.PieceIds(lambda texts: pretoken.distinct(texts, kinds, mark), learn, 1 << 19)
 
 
 def write_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, *, kind: int = BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -245,7 +203,7 @@ def write_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int,
     kinds = pretoken.kinds_by_tiktoken()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = held(("files", tokenizer_path), lambda: Encoder(tokenizer_path, kinds))
+        codec = held(("files", tokenizer_path), lambda: encoder(tokenizer_path, kinds))
         system, root = file_system(folder)
         end = np.array([end_id], dtype="<u4")
         writer = sink = own = part = None
@@ -276,7 +234,7 @@ def write_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int,
                     own = f"{root}/_writing-{part:06d}-{uuid.uuid4().hex}"
                     sink = system.open_output_stream(own)
                     writer = Writer(sink, kind)
-                for doc_id, ids in zip(doc_ids[at:stop], encoder.encode(texts[at:stop])):
+                for doc_id, ids in zip(doc_ids[at:stop], codec.by_text(texts[at:stop])):
                     writer.add(doc_id, np.concatenate((ids, end)))
                 at = stop
         if writer:
