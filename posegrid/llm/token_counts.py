@@ -14,13 +14,14 @@ is enough to know the longest suffix that begins some token and, for every
 position in it from which a token can still grow, the last token and the count
 relative to here.
 
-The counts are not composed by a scan: only the first machine's state maps are,
-and they hold no counts.  The second runs over each distinct piece from its
-start, many pieces side by side (lanes): for every byte it reads back the last
-token and the count at the places where a token that ends here would begin, the
-longest token first, and tries shorter ones until a pair fits.  A map of a
-chunk would need an entry for every such history, of which there are far more
-than bytes in the short pieces that the first machine leaves.
+Chunks of a long pre-token are worked on side by side, each as if the pre-token
+began there, and a little way into the next chunk.  Where the last tokens of one
+chunk and those of the next agree over as many bytes as the longest token has, and
+their counts differ by one number, the two are in the same state: the map of a
+chunk is then that state and a shift of the count, and the maps of all chunks
+compose by a prefix sum of the shifts.  Pre-tokens with chunks that do not fall
+into step (long runs of one odd pattern) are run through from the start.  Short
+pre-tokens are a chunk each: many run side by side (lanes).
 
 Null text counts as empty; empty text has 0 bytes and 0 tokens; repeated rows
 and repeated or null ids pass through as they are; other columns are ignored.
@@ -36,8 +37,11 @@ from . import bpe, pretoken
 from .bpe import NEVER
 from .runtime import held, map_blocks
 
-#: Bytes that run side by side at once.
+#: Bytes that run side by side at once; pieces from which lanes pay.
 LANE_BYTES = 1 << 19
+LANES = 48
+#: Longer pieces are cut into chunks of so many bytes.
+CHUNK_BYTES = 1 << 10
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, n_pieces long"
 
 
@@ -58,6 +62,8 @@ class CountMachine:
         self._spines()
         self.pair_key = np.full(1 << self.CACHE_BITS, -1, dtype=np.int64)
         self.pair_fits = np.zeros(1 << self.CACHE_BITS, dtype=bool)
+        self.pairs: dict[int, bool] = {}
+        self.plain: tuple | None = None
 
     def _automaton(self) -> None:
         ids = self.vocab.ids
@@ -184,15 +190,79 @@ class CountMachine:
         """Tokens of each (non-empty) piece."""
         total = np.zeros(len(pieces), dtype=np.int64)
         lengths = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
-        for low, high in ((0, 16), (16, 64), (64, 512), (512, 1 << 40)):
+        for low, high in ((0, 16), (16, 64), (64, 512), (512, 2 * CHUNK_BYTES)):
             lanes = np.flatnonzero((lengths > low) & (lengths <= high))
-            if len(lanes):
-                lanes = lanes[np.argsort(-lengths[lanes], kind="stable")]
-                for part in np.array_split(lanes, -(-len(lanes) * min(high, int(lengths[lanes[0]])) // LANE_BYTES)):
-                    total[part] = self._lanes([pieces[i] for i in part], lengths[part])
+            if len(lanes) < LANES:
+                total[lanes] = [self._run(pieces[i]) for i in lanes]
+                continue
+            lanes = lanes[np.argsort(-lengths[lanes], kind="stable")]
+            for part in np.array_split(lanes, -(-len(lanes) * int(lengths[lanes[0]]) // LANE_BYTES)):
+                _, count = self._lanes([pieces[i] for i in part], lengths[part])
+                total[part] = count[lengths[part], np.arange(len(part))]
+        for i in np.flatnonzero(lengths > 2 * CHUNK_BYTES).tolist():
+            total[i] = self._chunks(pieces[i])
         return total
 
-    def _lanes(self, pieces: list[bytes], lengths: np.ndarray) -> np.ndarray:
+    def _chunks(self, piece: bytes) -> int:
+        """A long piece, by the composition of its chunks' maps."""
+        reach = int(self.length.max())
+        over = 2 * reach  # how far a chunk runs into the next one
+        starts = np.arange(0, max(1, len(piece) - over), CHUNK_BYTES)
+        shifts, ahead = 0, None  # the last chunk's last tokens and counts where the next one is compared
+        most = max(2, LANE_BYTES // (CHUNK_BYTES + over))
+        for at in range(0, len(starts), most):
+            part = starts[at : at + most]
+            lengths = np.minimum(len(piece) - part, CHUNK_BYTES + over)
+            if at + len(part) == len(starts):
+                lengths[-1] = len(piece) - part[-1]
+                lengths[:-1] = CHUNK_BYTES + over
+            order = np.argsort(-lengths, kind="stable")
+            last, count = self._lanes([piece[part[k] : part[k] + lengths[k]] for k in order], lengths[order])
+            place = np.argsort(order)
+            last, count = last[:, place], count[:, place]
+            here = slice(over - reach, over + 1)
+            there = slice(CHUNK_BYTES + over - reach, CHUNK_BYTES + over + 1)
+            before = [(last[there, k], count[there, k]) for k in range(len(part) - 1)]
+            for k, held in enumerate(before if ahead is None else [ahead, *before], int(ahead is None)):
+                gap = held[1] - count[here, k]
+                if (held[0] != last[here, k]).any() or (gap != gap[0]).any():
+                    return self._run(piece)
+                shifts += int(gap[0])
+            ahead = last[there, -1].copy(), count[there, -1].copy()
+            whole = int(count[lengths[-1], -1])
+        return shifts + whole
+
+    def _run(self, piece: bytes) -> int:
+        """A piece from its start, byte by byte."""
+        if self.plain is None:
+            keys, values = self.children.items()
+            self.plain = dict(zip(keys.tolist(), values.tolist())), *(x.tolist() for x in (self.fail, self.ends, self.shorter, self.length))
+        child, fail, ends, shorter, length = self.plain
+        last, count, node = [-1] * (len(piece) + 1), [0] * (len(piece) + 1), 0
+        for i, byte in enumerate(piece, 1):
+            while (found := child.get(node << 8 | byte)) is None:
+                node = fail[node]
+            node = found
+            token = ends[node]
+            start = i - length[token]
+            while not self._pair(last[start], token):
+                token = shorter[token]
+                start = i - length[token]
+            last[i], count[i] = token, count[start] + 1
+        return count[-1]
+
+    def _pair(self, before: int, token: int) -> bool:
+        if before < 0:
+            return bool(self.whole[token])
+        key = before << 20 | token
+        if (ok := self.pairs.get(key)) is None:
+            if len(self.pairs) >= 1 << self.CACHE_BITS:
+                self.pairs.clear()
+            ok = self.pairs[key] = bool(self._walk(np.array([before]), np.array([token]))[0])
+        return ok
+
+    def _lanes(self, pieces: list[bytes], lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Last token and count after each byte (rows) of each piece (columns)."""
         n, longest = len(pieces), int(lengths[0])
         byte = np.frombuffer(b"".join(p.ljust(longest, b"\0") for p in pieces), dtype=np.uint8).reshape(n, longest)
         last = np.full((longest + 1, n), -1, dtype=np.int32)
@@ -210,7 +280,7 @@ class CountMachine:
                 last[i + 1, good] = token[ok]
                 count[i + 1, good] = count[start[ok], good] + 1
                 todo, token = todo[~ok], self.shorter[token[~ok]]
-        return count[lengths, np.arange(n)]
+        return last, count
 
 
 def compiled(path: str) -> CountMachine:
@@ -243,12 +313,10 @@ def token_counts(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id"
 
         def run(cols: dict[str, list]) -> dict[str, list]:
             texts = [t or "" for t in cols["text"]]
-            pieces, per_text = pretoken.slices(texts, kinds, mark)
-            counts = memo.of(pieces)
-            at, n_tokens = 0, []
-            for n in per_text:
-                n_tokens.append(sum(counts[at : at + n]))
-                at += n
+            pieces, number, per_text = pretoken.distinct(texts, kinds, mark)
+            counts = np.array(memo.of(pieces), dtype=np.int64)[number]
+            places = np.concatenate(([0], np.cumsum(per_text, dtype=np.int64)))
+            n_tokens = np.diff(np.concatenate(([0], np.cumsum(counts)))[places])
             return {
                 "doc_id": cols["doc_id"],
                 "n_bytes": [len(t.encode()) for t in texts],
