@@ -3,9 +3,12 @@ character n-grams.
 
 Counting is one pass: every task sums n-gram counts of its rows by language
 and sends one sparse row per (language, bucket), which a shuffle adds up; the
-result is a languages x buckets matrix whatever the corpus size.  The matrix of
-log probabilities is broadcast after its size is checked; scoring multiplies
-sparse batches of bucket counts with it in numpy.
+result is a languages x buckets matrix whatever the corpus size.  Buckets are the
+leading bits of a hash, so the sums of fewer, wider buckets follow from those of
+more: with many labels there are as many bits as keep the matrix within
+``MAX_MODEL_BYTES`` (2^14 buckets up to 512 labels, half as many for twice the
+labels).  The matrix of log probabilities is broadcast; scoring is a product of
+a sparse batch (texts x buckets, a coordinate an n-gram) with it in numpy.
 
 A text that is null or has no letter is ``und`` with score 0.  The score is the
 posterior probability, tempered by the square root of the number of n-grams
@@ -24,13 +27,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import filter_rows, map_blocks
+from .runtime import durable, filter_rows, map_blocks
 
 #: Hash buckets (a power of two) and n-gram orders.
 BUCKET_BITS = 14
 ORDERS = (1, 2, 3)
 #: Bytes of the matrix that may be broadcast.
 MAX_MODEL_BYTES = 64 << 20
+#: Labels whose counts a task holds before it sends them on.
+LABELS_HELD = 64
 #: Additive smoothing of bucket counts.
 SMOOTHING = 0.5
 PREDICTED = "doc_id long, lang_pred string, score double"
@@ -92,34 +97,38 @@ class Model:
     bits: int
 
     def score(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        preds, scores = [], []
-        for text in texts:
-            if not text or not self.langs or not has_letter(text):
-                preds.append("und")
-                scores.append(0.0)
-                continue
-            bucket, count = _sparse(features(text, self.bits), self.bits)
-            log = self.log_prior + self.log_prob[:, bucket] @ count
-            best = int(log.argmax())
-            gap = (log - log[best]) / max(1.0, float(count.sum()) ** 0.5)
-            preds.append(self.langs[best])
-            scores.append(float(1.0 / np.exp(gap).sum()))
+        preds, scores = ["und"] * len(texts), [0.0] * len(texts)
+        rows = [i for i, t in enumerate(texts) if t and self.langs and has_letter(t)]
+        if not rows:
+            return preds, scores
+        grams = [features(texts[i], self.bits) for i in rows]
+        size = np.fromiter(map(len, grams), dtype=np.int64, count=len(grams))
+        bucket, begin = np.concatenate(grams), np.cumsum(size) - size
+        log = np.stack([p + np.add.reduceat(line.take(bucket), begin) for p, line in zip(self.log_prior, self.log_prob)])
+        best = log.argmax(axis=0)
+        gap = (log - log.max(axis=0)) / np.sqrt(np.maximum(size, 1))
+        sure = 1.0 / np.exp(gap).sum(axis=0)
+        for i, k, p in zip(rows, best.tolist(), sure.tolist()):
+            preds[i], scores[i] = self.langs[k], p
         return preds, scores
 
 
-def _sparse(bucket: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    counts = np.bincount(bucket, minlength=1 << bits)
-    at = np.flatnonzero(counts)
-    return at, counts[at].astype(np.float64)
-
-
 def train(rows: DataFrame, *, text_col: str = "text", label_col: str = "lang", bits: int = BUCKET_BITS) -> Model:
     """Fit on all rows whose text and label are not null.
 
-    The driver receives at most languages x buckets sums, within
-    ``MAX_MODEL_BYTES``; more languages than that are refused.
+    The driver receives at most ``MAX_MODEL_BYTES`` of sums, a row a label.
+    More labels than that many bytes have numbers are no languages: ValueError.
     """
 
+    def rows_of(sums: dict[str, np.ndarray], n_docs: dict[str, int]) -> Iterator[pa.RecordBatch]:
+        for label, total in sums.items():
+            at = np.flatnonzero(total)
+            at, n = np.append(at, -1), np.append(total[at], n_docs[label])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([label] * len(at)), pa.array(at, type=pa.int64()), pa.array(n, type=pa.int64())],
+                names=["label", "bucket", "n"],
+            )
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         n_docs: dict[str, int] = {}
@@ -130,38 +139,42 @@ def train(rows: DataFrame, *, text_col: str = "text", label_col: str = "lang", b
                 if not has_letter(text):
                     continue
                 if label not in sums:
+                    if len(sums) >= LABELS_HELD:
+                        yield from rows_of(sums, n_docs)
+                        sums, n_docs = {}, {}
                     sums[label] = np.zeros(1 << bits, dtype=np.int64)
                 sums[label] += np.bincount(features(text, bits), minlength=1 << bits)
                 n_docs[label] = n_docs.get(label, 0) + 1
-        for label, total in sums.items():
-            at = np.flatnonzero(total)
-            at, n = np.append(at, -1), np.append(total[at], n_docs[label])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([label] * len(at)), pa.array(at, type=pa.int64()), pa.array(n, type=pa.int64())],
-                names=["label", "bucket", "n"],
-            )
+        yield from rows_of(sums, n_docs)
 
     usable = rows.select(F.col(text_col).alias("t"), F.col(label_col).cast("string").alias("l")).dropna()
-    sums = usable.mapInArrow(count, "label string, bucket long, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n"))
+    sums = durable(
+        usable.mapInArrow(count, "label string, bucket long, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n"))
+    )
+    n_labels = sums.where("bucket < 0").count()
+    kept = bits
+    while n_labels * (8 << kept) > MAX_MODEL_BYTES:
+        kept -= 1
+        if kept < 0:
+            raise ValueError("too many labels to be languages")
+    narrow = F.when(F.col("bucket") < 0, -1).otherwise(F.shiftright("bucket", bits - kept))
     # a language's sums travel as one array, so the driver gets a row a language
-    packed = sums.groupBy("label").agg(F.collect_list(F.struct("bucket", "n")).alias("v"))
-    langs, matrix, n_docs = [], [], []
-    for row in packed.orderBy("label").toLocalIterator():
-        if (len(langs) + 1) * (8 << bits) > MAX_MODEL_BYTES:
-            raise ValueError("too many languages for the model's size bound")
-        line = np.zeros(1 << bits)
+    packed = (
+        sums.groupBy("label", narrow.alias("bucket")).agg(F.sum("n").alias("n"))
+        .groupBy("label").agg(F.collect_list(F.struct("bucket", "n")).alias("v"))
+    )
+    langs, n_docs = [], []
+    matrix = np.zeros((n_labels, 1 << kept))
+    for k, row in enumerate(packed.orderBy("label").toLocalIterator()):
+        langs.append(row["label"])
         for bucket, n in row["v"]:
             if bucket < 0:
                 n_docs.append(n)
             else:
-                line[bucket] = n
-        langs.append(row["label"])
-        matrix.append(line)
-    if not langs:
-        return Model([], np.zeros((0, 1 << bits)), np.zeros(0), bits)
-    m = np.array(matrix) + SMOOTHING
+                matrix[k, bucket] = n
+    matrix += SMOOTHING
     prior = np.array(n_docs, dtype=float)
-    return Model(langs, np.log(m / m.sum(axis=1, keepdims=True)), np.log(prior / prior.sum()), bits)
+    return Model(langs, np.log(matrix / matrix.sum(axis=1, keepdims=True)), np.log(prior / max(prior.sum(), 1.0)), kept)
 
 
 def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
