@@ -19,8 +19,8 @@ BLOCK_CHARS = 1 << 19
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (spark.checkpoint.dir).
 
-    A folder of our own is made only where the setting is absent, as in tests
-    on one machine.
+    A folder of our own is made only where the setting is absent and Spark runs
+    on this machine alone, as in tests; elsewhere a missing setting is an error.
     """
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
@@ -29,6 +29,8 @@ def shared_dir(spark: SparkSession) -> str:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
         if held.isDefined():
             return held.get()
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         conf = os.path.join(tempfile.gettempdir(), "posegrid-checkpoints")
     return conf
 
@@ -141,3 +143,27 @@ def filter_rows(df: DataFrame, make: Callable[[], Callable[[list], list[bool]]],
     import pyarrow.compute  # noqa: F401
 
     return df.mapInArrow(run, df.schema)
+
+
+def edit_rows(df: DataFrame, fn: Callable[[list, list], tuple[list, list[bool]]], text: str, by: str) -> DataFrame:
+    """Replace a text column, block by block, and drop rows.
+
+    ``fn`` takes the texts and the values of the last column, ``by``, and gives
+    the new texts and whether each row stays.  All columns but ``by`` pass through.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held(None)
+        for batch in batches:
+            at, last = batch.schema.get_field_index(text), batch.num_columns - 1
+            sizes = [n or 0 for n in pa.compute.utf8_length(batch.column(at)).to_pylist()]
+            for part in blocks(sizes):
+                piece = batch.slice(part.start, part.stop - part.start)
+                texts, keep = fn(piece.column(at).to_pylist(), piece.column(last).to_pylist())
+                columns = [pa.array(texts, type=c.type) if i == at else c for i, c in enumerate(piece.columns[:last])]
+                whole = pa.RecordBatch.from_arrays(columns, schema=pa.schema(list(piece.schema)[:last]))
+                yield whole.filter(pa.array(keep, type=pa.bool_()))
+
+    import pyarrow.compute  # noqa: F401
+
+    return df.mapInArrow(run, df.drop(by).schema)

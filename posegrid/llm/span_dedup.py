@@ -1,7 +1,8 @@
 """Operator 8, substring dedup by sliding sentence spans.
 
 A sentence ends after ``.``, ``!`` or ``?`` (and closing marks) before white
-space, and at a line end.  One of more than ``LONG`` words is also cut after
+space, after an ideographic stop, and at a line end.  Ideographs and kana count
+as a word each.  One of more than ``LONG`` words is also cut after
 words chosen by their own and their predecessor's hash (the least of every
 ``WINDOW``), so that cuts fall alike in any context.  A run holds at least ``RUN`` sentences and ``LEAST_WORDS`` words,
 or ``ENOUGH`` words in fewer sentences.  The shortest run from every sentence
@@ -13,13 +14,16 @@ first and its last ``LONG`` words to the sentences around it, the last ones only
 if it stops within a sentence: one of over 50 words up to a sentence end always
 holds a run.
 
-A block of texts sends one row for each distinct run, and marks its other
-occurrences itself, so a run that a third of all texts hold is pre-aggregated
-before the one shuffle by run.
+A task sends a row for the first occurrence it knows of a run and marks the
+others itself: it keeps the runs that repeat within a block of texts from block to
+block (the latest ``KNOWN``; one forgotten costs a row more).  So a run that a third
+of all texts hold takes a few rows a task in the one shuffle by run, and what is
+marked already is spread over all partitions.
 
 Null or empty texts have no sentences and stay; rows with a null id stay and
 neither hold first occurrences nor lose sentences; rows that repeat as a whole
-(id and text) count as one and stay alike.  Other columns pass through
+(id and text) count as one and stay alike; of rows that share an id only, the one
+whose text has the lesser hash comes first.  Other columns pass through
 ``remove_repeats``.  Empty tables stay empty.
 """
 
@@ -33,10 +37,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .runtime import map_blocks
+from .runtime import edit_rows, map_blocks
 
 RUN, LEAST_WORDS, LONG, ENOUGH, WINDOW = 3, 12, 24, 27, 16
-_END = re.compile(r"[.!?]+[\"'”’)\]]*(?=\s)|\n")
+#: Runs that a task keeps from block to block, twice over.
+KNOWN = 1 << 16
+_END = re.compile(r"[.!?]+[\"'”’)\]]*(?=\s)|[。！？]+[”’」』）]*|\n")
+_WIDE = re.compile("[\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff]")
 _WORD = re.compile(r"\S+")
 SPANS = "h long, g int, doc_id long, rid long, first int, last int, again boolean"
 
@@ -90,7 +97,7 @@ def sentences(text: str) -> list[str]:
 def runs(text: str) -> list[tuple[bytes, int, int]]:
     """(digest, first sentence, last sentence) of the runs of a text."""
     norm = [" ".join(s.lower().split()) for s in sentences(text)]
-    n_words = [s.count(" ") + 1 for s in norm]
+    n_words = [s.count(" ") + 1 + (0 if s.isascii() else len(_WIDE.findall(s))) for s in norm]
     found: set[tuple[int, int]] = set()
     first, held = 0, 0
     for last, n in enumerate(n_words):
@@ -112,18 +119,30 @@ def runs(text: str) -> list[tuple[bytes, int, int]]:
 
 def _span_rows(docs: DataFrame) -> DataFrame:
     def make():
+        young: dict[bytes, tuple] = {}  # the least place known of runs that repeat
+        old: dict[bytes, tuple] = {}
+
         def run(cols: dict[str, list]) -> dict[str, list]:
+            nonlocal young, old
             rows: list[tuple] = []
-            least: dict[bytes, tuple[int, int]] = {}
+            least: dict[bytes, tuple] = {}
             digests: list[bytes] = []
             for doc_id, rid, text in zip(cols["doc_id"], cols["rid"], cols["text"]):
                 for digest, first, last in runs(text or ""):
                     digests.append(digest)
                     rows.append((doc_id, rid, first, last))
-                    if digest not in least or (doc_id, first) < least[digest]:
-                        least[digest] = (doc_id, first)
+                    place = (doc_id, rid, first)
+                    if digest not in least:
+                        earlier = young.get(digest) or old.get(digest)
+                        least[digest] = min(place, earlier) if earlier else place
+                        if earlier:
+                            young[digest] = least[digest]
+                    else:
+                        least[digest] = young[digest] = min(place, least[digest])
+            again = [r[:3] > least[d] for d, r in zip(digests, rows)]
+            if len(young) > KNOWN:
+                young, old = {}, young
             raw = np.frombuffer(b"".join(digests), dtype=[("h", "<i8"), ("g", "<i4")])
-            again = [(r[0], r[2]) > least[d] for d, r in zip(digests, rows)]
             return {
                 "h": raw["h"],
                 "g": raw["g"],
@@ -149,10 +168,10 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     ).where("doc_id is not null")
     rows = _span_rows(cols)
     # occurrences already known to repeat travel under keys of their own
-    key = F.when(F.col("again"), F.xxhash64("h", "doc_id", "first")).otherwise(F.col("h"))
+    key = F.when(F.col("again"), F.xxhash64("h", "doc_id", "rid", "first")).otherwise(F.col("h"))
     held = Window.partitionBy("key", "g", "again")
-    marked = rows.withColumn("key", key).withColumn("least", F.min(F.struct("doc_id", "first")).over(held))
-    return marked.where("again or struct(doc_id, first) > least").select("doc_id", "rid", "first", "last")
+    marked = rows.withColumn("key", key).withColumn("least", F.min(F.struct("doc_id", "rid", "first")).over(held))
+    return marked.where("again or struct(doc_id, rid, first) > least").select("doc_id", "rid", "first", "last")
 
 
 def _covered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -209,12 +228,10 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     )
     joined = docs.join(
         covered, (F.col(id_col).cast("long") == F.col("_id")) & (F.xxhash64(text_col) == F.col("_rid")), "left"
-    )
+    ).select(*docs.columns, "_ranges")
 
-    @F.pandas_udf("string")
-    def left_over(text, ranges):
-        return text.combine(ranges, lambda t, r: t if r is None else strip(t, r)[0])
+    def cut(texts: list, ranges: list) -> tuple[list, list[bool]]:
+        left = [t if r is None else strip(t, r)[0] for t, r in zip(texts, ranges)]
+        return left, [r is None or bool(x.strip()) for x, r in zip(left, ranges)]
 
-    held = joined.withColumn("_left", F.when(F.col("_ranges").isNotNull(), left_over(text_col, "_ranges")).otherwise(F.col(text_col)))
-    kept = held.where(F.col("_ranges").isNull() | (F.trim("_left") != ""))
-    return kept.select(*[F.col("_left").alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    return edit_rows(joined, cut, text_col, "_ranges")
