@@ -20,8 +20,11 @@ From sketches to components:
    blocks of bounded size, without emitting the pairs; only links are emitted.
 5. Components again, over all links.
 
-No bucket, candidate or partner is capped.  Large buckets are split into
-blocks; large exact groups meet only in partial aggregation.
+No bucket, candidate or partner is capped.  Buckets are counted by partial
+aggregation and joined back, so no task gets all members of one; those compared
+in full are split into blocks of at most ``BLOCK`` members, fewer where their
+sets are large (``BLOCK_BYTES``).  Large exact groups meet only in partial
+aggregation.
 
 Null or wordless texts, and rows with a null id, are linked with nothing (their
 component is their own id, and they are kept).  Rows that share an id and a text
@@ -38,15 +41,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from . import shingles as sh
 from .components import components
 from .runtime import durable, map_blocks
 
 BANDS, ROWS = 48, 6
-#: Members of a bucket that one task compares with as many others.
-BLOCK = 256
+#: Members of a bucket that one task compares with as many others, and the mean
+#: size of a block's sets.
+BLOCK, BLOCK_BYTES = 256, 8 << 20
 _ROUND = 0xA24BAED4963EE407
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -186,16 +189,12 @@ def near_duplicates(
     signed = durable(signatures(docs, shingle_words, bands, rows))
     linkable = signed.where("doc_id is not null and digest is not null")
     classes = linkable.groupBy("digest").agg(F.min("doc_id").alias("node"))
-    reps = linkable.select("doc_id", "digest", "bands").join(
+    reps = linkable.select("doc_id", "digest", "n_shingles", "bands").join(
         classes.withColumnRenamed("node", "doc_id"), ["digest", "doc_id"]
-    ).select(F.col("doc_id").alias("node"), "bands")
-    per_key = Window.partitionBy("key")
-    members = durable(
-        reps.select("node", F.explode("bands").alias("key"))
-        .withColumn("n", F.count("*").over(per_key))
-        .withColumn("pivot", F.min("node").over(per_key))
-        .where("n > 1")
-    )
+    ).select(F.col("doc_id").alias("node"), "n_shingles", "bands")
+    keyed = reps.select("node", F.explode("bands").alias("key"))
+    buckets = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("pivot")).where("n > 1")
+    members = durable(keyed.join(buckets, "key").select("node", "key", "n", "pivot"))
     nodes = members.select("node").distinct()
     sets = durable(
         _sets(docs.join(nodes.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi"), shingle_words).distinct()
@@ -207,11 +206,15 @@ def near_duplicates(
     links = durable(_verified(pairs, percent))
     first = durable(components(links))
     placed = members.join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    sized = placed.join(reps.select("node", "n_shingles"), "node")
+    open_buckets = (
+        sized.where("n > 2").groupBy("key")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.sum(8 * F.col("n_shingles").cast("long")).alias("bytes"))
+        .where("low <> high").select("key", "bytes")
+    )
     live = (
-        placed.withColumn("low", F.min("component").over(per_key))
-        .withColumn("high", F.max("component").over(per_key))
-        .where("low <> high and n > 2")
-        .withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+        sized.join(open_buckets, "key")
+        .withColumn("blocks", F.ceil(F.greatest(F.col("n") / BLOCK, F.col("bytes") / BLOCK_BYTES)).cast("int"))
         .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     )
     # block b of a bucket meets blocks b.. of it: each pair of blocks is one group
