@@ -8,6 +8,7 @@ bounded by what a scene or a frame holds, not by the corpus.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -42,24 +43,56 @@ def fuse_instances(points: DataFrame, *, limit: float = 0.3, every: bool = False
     return points.groupBy("group_id").applyInPandas(run, schema)
 
 
+def by_group(rows: DataFrame, key: str, order: str, fn: Callable[[pd.DataFrame], pd.DataFrame | None], schema: str) -> DataFrame:
+    """Apply a function to each group of rows, in the order of a column.
+
+    Partitions are sorted and streamed, so many small groups share a call and a
+    task holds a batch and one group."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        for batch in batches:
+            if not len(batch):
+                continue
+            keys = batch[key].to_numpy()
+            cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
+            if held and held[-1][key].iloc[-1] == keys[0] and not len(cuts):
+                held.append(batch)
+                continue
+            edges = [0, *cuts.tolist(), len(batch)]
+            pieces = [batch.iloc[a:b] for a, b in zip(edges, edges[1:])]
+            if held and held[-1][key].iloc[-1] == keys[0]:
+                pieces[0] = pd.concat([*held, pieces[0]])
+            elif held:
+                pieces.insert(0, pd.concat(held))
+            held = [pieces.pop()]
+            found = [x for x in map(fn, pieces) if x is not None and len(x)]
+            if found:
+                yield pd.concat(found)
+        if held and (last := fn(pd.concat(held))) is not None and len(last):
+            yield last
+
+    return rows.repartition(key).sortWithinPartitions(key, order).mapInPandas(run, schema)
+
+
 def suppress(boxes: DataFrame, *, limit: float = 0.1, over: str = "union", least_score: float = 0.0) -> DataFrame:
     """Boxes (group_id, box_id, score, x0, y0, x1, y1) kept by suppression over
     the union or the smaller one."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows[rows["score"] > least_score].sort_values("box_id")
+        rows = rows[rows["score"] > least_score]
         xyxy = rows[["x0", "y0", "x1", "y1"]].to_numpy(dtype=float)
         kept = kernels.greedy_keep(kernels.box_iou(xyxy, xyxy, over), rows["score"].to_numpy(), limit)
         return rows.iloc[sorted(kept)][["group_id", "box_id", "score"]]
 
-    return boxes.groupBy("group_id").applyInPandas(run, "group_id long, box_id long, score double")
+    cols = boxes.select("group_id", "box_id", "score", "x0", "y0", "x1", "y1")
+    return by_group(cols, "group_id", "box_id", run, "group_id long, box_id long, score double")
 
 
 def assign_tracks(boxes: DataFrame, *, least_iou: float = 0.1) -> DataFrame:
     """One-to-one matches of detections and tracks (``is_track``) of a group."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("box_id")
         sides = [rows[~rows["is_track"]], rows[rows["is_track"]]]
         a, b = (s[["x0", "y0", "x1", "y1"]].to_numpy(dtype=float) for s in sides)
         out = []
@@ -70,7 +103,8 @@ def assign_tracks(boxes: DataFrame, *, least_iou: float = 0.1) -> DataFrame:
                     out.append((rows["group_id"].iloc[0], sides[0]["box_id"].iloc[i], sides[1]["box_id"].iloc[j], iou[i, j]))
         return pd.DataFrame(out, columns=["group_id", "det", "track", "iou"])
 
-    return boxes.groupBy("group_id").applyInPandas(run, "group_id long, det long, track long, iou double")
+    cols = boxes.select("group_id", "box_id", "is_track", "x0", "y0", "x1", "y1")
+    return by_group(cols, "group_id", "box_id", run, "group_id long, det long, track long, iou double")
 
 
 def sample_pairs(pairs: DataFrame, *, most: int = 100, seed: int = 42) -> DataFrame:
@@ -134,3 +168,48 @@ def fit_boxes(points: DataFrame, *, principal: bool = False) -> DataFrame:
         return pd.DataFrame([(rows["group_id"].iloc[0], len(cloud), *center, *extents)], columns=names)
 
     return points.groupBy("group_id").applyInPandas(run, "group_id long, n long, " + ", ".join(f"{c} double" for c in "cx cy cz ex ey ez".split()))
+
+
+def oriented_overlaps(pairs: DataFrame, *, least: float = 0.3) -> DataFrame:
+    """Pairs of oriented boxes (a, b, and of each side cx, cy, cz, ex, ey, ez,
+    yaw_deg) whose common volume is at least a share of the smaller one."""
+    fields = ("cx", "cy", "cz", "ex", "ey", "ez", "yaw_deg")
+
+    def box(row, side: str):
+        cx, cy, cz, ex, ey, ez, yaw = (float(getattr(row, f"{f}_{side}")) for f in fields)
+        c, s = np.cos(np.radians(yaw)), np.sin(np.radians(yaw))
+        return np.array([cx, cy, cz]), np.array([[c, -s, 0.0], [s, c, 0.0], [0.0, 0.0, 1.0]]), np.array([ex, ey, ez])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            ratios = [kernels.overlap_ratio(box(r, "a"), box(r, "b")) for r in batch.itertuples(index=False)]
+            out = batch[["a", "b"]].assign(ratio=np.array(ratios, dtype=float))
+            yield out[out["ratio"] >= least]
+
+    return pairs.mapInPandas(run, "a long, b long, ratio double")
+
+
+def least_loaded(items: DataFrame, *, slots: int = 8) -> DataFrame:
+    """Each item (group_id, item_id, load) in turn to the slot of its group with
+    the least load so far, the first among equals."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        loads = [0.0] * slots
+        chosen = []
+        for load in rows["load"]:
+            k = min(range(slots), key=loads.__getitem__)
+            loads[k] += load
+            chosen.append(k)
+        return rows[["group_id", "item_id"]].assign(slot=chosen, load_after=[float(x) for x in _running(chosen, rows["load"])])
+
+    return by_group(items.select("group_id", "item_id", "load"), "group_id", "item_id", run, "group_id long, item_id long, slot long, load_after double")
+
+
+def _running(slots: list[int], loads) -> list[float]:
+    """The load of the chosen slot after each placement."""
+    held: dict[int, float] = {}
+    out = []
+    for k, load in zip(slots, loads):
+        held[k] = held.get(k, 0.0) + load
+        out.append(held[k])
+    return out

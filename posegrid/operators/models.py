@@ -1,16 +1,19 @@
 """The seam for model calls: distinct keys in, decisions out, joined back.
 
 A model is any function from a batch of requests (pandas columns) to a series
-of answers.  Requests are made distinct first, so each key costs one call, and
+of answers.  Requests are made distinct first, so each key (nulls are keys too) costs one call, and
 the answers are checkpointed by the caller if the model is not deterministic.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
+from operator import and_
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 Model = Callable[[pd.DataFrame], pd.Series]
 
@@ -25,7 +28,9 @@ def decide(requests: DataFrame, keys: list[str], model: Callable[[], Model], ans
             yield batch.assign(**{answer: ask(batch)})
 
     answers = requests.select(*keys).distinct().mapInPandas(run, f"{fields}, `{answer}` string")
-    return requests.join(answers, keys, "left")
+    renamed = answers.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], answer)
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)))
+    return requests.join(renamed, same, "left").drop(*[f"_key{i}" for i in range(len(keys))])
 
 
 def longest_wins() -> Model:

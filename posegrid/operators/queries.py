@@ -42,6 +42,25 @@ def j20_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.assign_tracks(_sql(spark, sf_dir, _BOXES))
 
 
+def j15_oriented_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlaps of the turned boxes of a scene; circles around the boxes in plan
+    and their heights bound the candidates."""
+    sides = ", ".join(f"{s}.{c} as {c}_{s}" for s in "ab" for c in ("cx", "cy", "cz", "ex", "ey", "ez", "yaw_deg"))
+    text = f"""
+    select a.ins_id as a, b.ins_id as b, {sides} from instances a join instances b on a.scene_id = b.scene_id and a.ins_id < b.ins_id
+    where abs(a.cz - b.cz) <= (a.ez + b.ez) / 2
+        and sqrt((a.cx - b.cx) * (a.cx - b.cx) + (a.cy - b.cy) * (a.cy - b.cy))
+            <= (sqrt(a.ex * a.ex + a.ey * a.ey) + sqrt(b.ex * b.ex + b.ey * b.ey)) / 2"""
+    return groups.oriented_overlaps(_sql(spark, sf_dir, text), least=0.01)
+
+
+def w18_least_loaded_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The objects of each scene placed on eight slots by number of observations."""
+    text = """
+    select scene_id as group_id, ins_id as item_id, cast(count(*) as double) as load from observations group by 1, 2"""
+    return groups.least_loaded(_sql(spark, sf_dir, text))
+
+
 def w08_greedy_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.sample_pairs(_sql(spark, sf_dir, "select scene_id, frame_a, frame_b, cov from pairs"))
 
@@ -80,7 +99,8 @@ def a16_mask_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        g01_fuse_instances, g02_fuse_regions, g05_box_suppression, g06_overlap_removal, j20_assignment, w08_greedy_pairs,
+        g01_fuse_instances, g02_fuse_regions, g05_box_suppression, g06_overlap_removal, j15_oriented_overlaps, j20_assignment, w08_greedy_pairs,
+        w18_least_loaded_slots,
         t01_track_states, d02_model_decisions, k02_training_records, a09_fit_boxes, a10_principal_boxes, a16_mask_components,
     )
 }

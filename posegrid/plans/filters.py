@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .joins import inside
 from .registry import plan
+from .windows import numbered
 
 
 @plan
@@ -178,11 +179,12 @@ def u07_decision_cache(d):
 @plan
 def k02_export_ids(d):
     """Conversations with dense ids, in order, and the digest of their text."""
-    return f"""
-    select row_number() over (order by conv_id) - 1 as id, conv_id, n_turns, payload_md5 from (
+    source = f"""
         select conv_id, count(*) as n_turns,
             md5({d.joined(d.gather("concat(role, ': ', text)", 'turn'), '|')}) as payload_md5
-        from {d.table('conversations')} group by 1) c"""
+        from {d.table('conversations')} group by 1"""
+    ranked = numbered(source, d.idiv("conv_id", 1000), "conv_id", "conv_id, n_turns, payload_md5")
+    return f"select cast(rn - 1 as bigint) as id, conv_id, n_turns, payload_md5 from ({ranked}) n"
 
 
 @plan

@@ -154,20 +154,44 @@ def m09_corners(d):
     from instances cross join ({corners}) s"""
 
 
+def _tilted(d) -> str:
+    """Boxes turned about x after their yaw, so that their axes lean: the axes
+    as columns, u (from x), v (from y) and w (from z)."""
+    c, s = "cos(radians(yaw_deg))", "sin(radians(yaw_deg))"
+    ct, st = "cos(radians(ins_id * 13 % 180 - 90))", "sin(radians(ins_id * 13 % 180 - 90))"
+    return f"""
+    select ins_id, ex, ey, ez, {c} as ux, {ct} * {s} as uy, {st} * {s} as uz, -({s}) as vx, {ct} * {c} as vy, {st} * {c} as vz,
+        0e0 as wx, -({st}) as wy, {ct} as wz from instances"""
+
+
+_CLOSEST = "case when abs(round(uz, 9)) >= abs(round(vz, 9)) and abs(round(uz, 9)) >= abs(round(wz, 9)) then 0 when abs(round(vz, 9)) >= abs(round(wz, 9)) then 1 else 2 end"
+
+
 @plan
 def m11_up_axis(d):
-    """Up axis of a box that is turned about z: by closeness, or by extent."""
-    return """
-    select ins_id, 2 as zclose, case when ex <= ey and ex <= ez then 0 when ey <= ez then 1 else 2 end as largest_face from instances"""
+    """Up axis of a box: the one closest to the vertical (and whether it points
+    down), or that of the least extent."""
+    return f"""
+    select ins_id, cast(zclose as bigint) as zclose, case zclose when 0 then uz < 0 when 1 then vz < 0 else wz < 0 end as flipped,
+        cast(case when ex <= ey and ex <= ez then 0 when ey <= ez then 1 else 2 end as bigint) as largest_face
+    from (select t.*, {_CLOSEST} as zclose from ({_tilted(d)}) t) z"""
 
 
 @plan
 def m12_align_keep(d):
-    """Alignment keeps yaw and extents: z is the up-most axis, the heading is
-    the first horizontal one."""
-    return """
-    select ins_id, round(ex, 6) as ex, round(ey, 6) as ey, round(ez, 6) as ez,
-        round(cos(radians(yaw_deg)), 6) as hx, round(sin(radians(yaw_deg)), 6) as hy from instances"""
+    """A box stood upright with its extents kept: the up-most axis becomes z, of
+    the other two the one with the larger horizontal part (the first among
+    equals) gives the heading x, and y = z x x."""
+    pick = lambda a, b, c: f"case zclose when 0 then {a} when 1 then {b} else {c} end"
+    return f"""
+    select ins_id, round(case when second then eq else ep end, 6) as ex, round(case when second then ep else eq end, 6) as ey, round(eup, 6) as ez,
+        round(hx / sqrt(hx * hx + hy * hy), 6) + 0e0 as hx, round(hy / sqrt(hx * hx + hy * hy), 6) + 0e0 as hy
+    from (
+        select o.*, case when second then qx else px end as hx, case when second then qy else py end as hy from (
+            select k.*, round(qx * qx + qy * qy, 9) > round(px * px + py * py, 9) as second from (
+                select ins_id, {pick('ex', 'ey', 'ez')} as eup, {pick('ey', 'ex', 'ex')} as ep, {pick('ez', 'ez', 'ey')} as eq,
+                    {pick('vx', 'ux', 'ux')} as px, {pick('vy', 'uy', 'uy')} as py, {pick('wx', 'wx', 'vx')} as qx, {pick('wy', 'wy', 'vy')} as qy
+                from (select t.*, {_CLOSEST} as zclose from ({_tilted(d)}) t) z) k) o) h"""
 
 
 @plan
@@ -182,29 +206,48 @@ def m16_compass4(d):
         then case when cx > 5 then 'East' else 'West' end else case when cy > 5 then 'North' else 'South' end end as label from instances"""
 
 
-@view
-def facing(d):
-    """Triplets in the frame that stands at a and faces b: forward, right, up."""
-    return """
-    select scene_id, frame_a, frame_b, ins_id_a, ins_id_b, ins_id_c,
-        vx * fx + vy * fy + vz * fz as fwd, vx * rx + vy * ry as rgt,
-        vx * (-ry * fz * -1) * -1 + vy * (-rx * fz) + vz * (rx * fy - ry * fx) as up_raw, dist
+def apart(*pairs: tuple[str, str]) -> str:
+    """No two of the boxes touch."""
+    meet = [" and ".join(f"abs(c{x}_{a} - c{x}_{b}) <= (e{x}_{a} + e{x}_{b}) / 2" for x in "xyz") for a, b in pairs]
+    return " and ".join(f"not ({m})" for m in meet)
+
+
+def _facing(source: str) -> str:
+    """Triples in the frame that stands at a and faces b.
+
+    forward f is from a to b; right r = f x (0, 0, -1), or f x (1, 0, 0) where f
+    is near the vertical; up = r x f; the components are those of c - a."""
+    steep = "abs(fz) > 0.99e0"
+    return f"""
+    select scene_id, frame_a, frame_b, ins_id_a, ins_id_b, ins_id_c, apart, dist,
+        vx * fx + vy * fy + vz * fz as fwd, vx * rx + vy * ry + vz * rz as rgt,
+        vx * (ry * fz - rz * fy) + vy * (rz * fx - rx * fz) + vz * (rx * fy - ry * fx) as up_raw
     from (
-        select t.*, -fy / hyp as rx, fx / hyp as ry from (
-            select scene_id, frame_a, frame_b, ins_id_a, ins_id_b, ins_id_c,
+        select t.*, case when {steep} then 0e0 else -fy / sqrt(fx * fx + fy * fy) end as rx,
+            case when {steep} then fz / sqrt(fy * fy + fz * fz) else fx / sqrt(fx * fx + fy * fy) end as ry,
+            case when {steep} then -fy / sqrt(fy * fy + fz * fz) else 0e0 end as rz
+        from (
+            select scene_id, frame_a, frame_b, ins_id_a, ins_id_b, ins_id_c, {apart(('a', 'b'), ('a', 'c'), ('b', 'c'))} as apart,
                 (cx_b - cx_a) / n as fx, (cy_b - cy_a) / n as fy, (cz_b - cz_a) / n as fz,
-                sqrt((cx_b - cx_a) * (cx_b - cx_a) + (cy_b - cy_a) * (cy_b - cy_a)) / n as hyp,
                 cx_c - cx_a as vx, cy_c - cy_a as vy, cz_c - cz_a as vz,
                 sqrt((cx_c - cx_a) * (cx_c - cx_a) + (cy_c - cy_a) * (cy_c - cy_a) + (cz_c - cz_a) * (cz_c - cz_a)) as dist
             from (select *, sqrt((cx_b - cx_a) * (cx_b - cx_a) + (cy_b - cy_a) * (cy_b - cy_a)
-                    + (cz_b - cz_a) * (cz_b - cz_a)) as n from triplets) s
-            where n >= 1e-6) t
-        where hyp >= 1e-6 and abs(fz) <= 0.99e0) r"""
+                    + (cz_b - cz_a) * (cz_b - cz_a)) as n from {source}) s
+            where n >= 1e-6) t) r"""
+
+
+@view
+def facing(d):
+    return _facing("triplets")
+
+
+@view
+def facing_region(d):
+    return _facing("two_and_region_a")
 
 
 @plan
 def m14_ego8(d):
-    # right = forward x (0, 0, -1), normalised: (-fy, fx, 0); up = right x forward
     index = ego8_index(d, "rgt", "up_raw", "fwd")
     return f"""
     select scene_id, frame_a, frame_b, ins_id_a as ins_a, ins_id_b as ins_b, ins_id_c as ins_c, idx, {named('idx', EGO8)} as label
@@ -226,8 +269,8 @@ def m17_axis_words(d):
 @plan
 def m18_local_frame(d):
     return """
-    select scene_id, frame_a, frame_b, ins_id_a as ins_a, ins_id_b as ins_b, ins_id_c as ins_c, round(fwd, 6) as fwd,
-        round(rgt, 6) as rgt, round(dist, 6) as dist from facing"""
+    select scene_id, frame_a, frame_b, ins_id_a as ins_a, ins_id_b as ins_b, ins_id_c as ins_c, round(fwd, 6) + 0e0 as fwd,
+        round(rgt, 6) + 0e0 as rgt, round(up_raw, 6) + 0e0 as up, round(dist, 6) as dist from facing"""
 
 
 @plan

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 from ..functions.dialect import Spark
 from .registry import plan, view
 
@@ -21,6 +23,18 @@ def shuffled(d: Spark, op: str, *keys: str) -> str:
     return f"md5(concat_ws('|', '42', '{op}', {', '.join(f'cast({k} as {d.string})' for k in keys)}))"
 
 
+_PRIME = 2147483647
+
+
+def drawn(op: str, *keys: str) -> str:
+    """A seeded draw in whole numbers below 2^31: cheap where a row is drawn for
+    each of many candidates.  Ties are possible; order by the keys besides."""
+    h = str(zlib.crc32(op.encode()) % _PRIME)
+    for k in keys:
+        h = f"(({h} + cast({k} as bigint) % {_PRIME}) * 48271 % {_PRIME})"
+    return f"({h} * {h} % {_PRIME})"
+
+
 @plan
 def j01_resume_anti(d):
     return """
@@ -76,22 +90,31 @@ def j06_objects_in_a(d):
     from pairs p join observations a on a.scene_id = p.scene_id and a.frame_idx = p.frame_a"""
 
 
-def _across(d: Spark, op: str, left: str, right: str, residual: str, cap: int, columns: str) -> str:
-    order = shuffled(d, op, "p.scene_id", "p.frame_a", "p.frame_b", "a.ins_id", "b.ins_id")
+_BOX = ("ins_id", "label", "cx", "cy", "cz", "ex", "ey", "ez")
+_BOXES = ", ".join(f"{s}.{c} as {c}_{s}" for s in "ab" for c in _BOX)
+
+
+def _across(d: Spark, op: str, left: str, right: str, residual: str, cap: int) -> str:
+    """The least draws of all candidates of a pair: one item of each frame.
+
+    Candidates carry ids only; boxes are joined to those that are drawn."""
+    order = drawn(op, "scene_id", "frame_a", "frame_b", "ins_a", "ins_b")
     return f"""
-    select * from (
-        select p.scene_id, p.frame_a, p.frame_b, p.cov, {columns},
-            row_number() over (partition by p.scene_id, p.frame_a, p.frame_b order by {order}, a.ins_id, b.ins_id) as draw
-        from pairs p
-        join {left} a on a.scene_id = p.scene_id and a.frame_idx = p.frame_a
-        join {right} b on b.scene_id = p.scene_id and b.frame_idx = p.frame_b
-        where {residual}) c
-    where draw <= {cap}"""
+    select t.scene_id, t.frame_a, t.frame_b, t.cov, {_BOXES}, t.draw from (
+        select * from (
+            select c.*, row_number() over (partition by scene_id, frame_a, frame_b order by {order}, ins_a, ins_b) as draw from (
+                select p.scene_id, p.frame_a, p.frame_b, p.cov, a.ins_id as ins_a, b.ins_id as ins_b
+                from pairs p
+                join {left} a on a.scene_id = p.scene_id and a.frame_idx = p.frame_a
+                join {right} b on b.scene_id = p.scene_id and b.frame_idx = p.frame_b
+                where {residual}) c) r
+        where draw <= {cap}) t
+    join {_KINDS[left]} a on a.ins_id = t.ins_a join {_KINDS[right]} b on b.ins_id = t.ins_b"""
 
 
-_BOXES = ", ".join(
-    f"{s}.{c} as {c}_{s}" for s in "ab" for c in ("ins_id", "label", "cx", "cy", "cz", "ex", "ey", "ez")
-)
+#: What each kind of item by frame is an item of.
+_KINDS = {"seen": "instances", "seen_regions": "regions"}
+_UNLIKE = "a.ins_id <> b.ins_id and a.label <> b.label"
 
 
 @view
@@ -103,19 +126,17 @@ def seen_regions(d):
 
 @view
 def objects_across(d):
-    return _across(d, "j07", "seen", "seen", "a.ins_id <> b.ins_id and a.label <> b.label", 3, _BOXES)
+    return _across(d, "j07", "seen", "seen", _UNLIKE, 3)
 
 
 @view
 def regions_across(d):
-    return _across(d, "j08", "seen_regions", "seen_regions", "a.ins_id <> b.ins_id and a.label <> b.label", 3, _BOXES)
+    return _across(d, "j08", "seen_regions", "seen_regions", _UNLIKE, 3)
 
 
 @view
 def object_region_across(d):
-    return _across(
-        d, "j09", "seen", "seen_regions", f"a.ins_id <> b.ins_id and a.label <> b.label and not {inside('a', 'b')}", 3, _BOXES
-    )
+    return _across(d, "j09", "seen", "seen_regions", f"{_UNLIKE} and not {inside('a', 'b')}", 3)
 
 
 _ACROSS = "select scene_id, frame_a, frame_b, ins_id_a as ins_a, ins_id_b as ins_b from "
@@ -140,15 +161,18 @@ def j09_object_region_across(d):
 def in_either(d):
     """Instances of either frame of a pair, with flags and a drawn order."""
     return f"""
-    select scene_id, frame_a, frame_b, ins_id, label, cx, cy, cz, ex, ey, ez, in_a, in_b,
-        row_number() over (partition by scene_id, frame_a, frame_b order by
-            {shuffled(d, 'j10', 'scene_id', 'frame_a', 'frame_b', 'ins_id')}, ins_id) as pos
+    select u.scene_id, u.frame_a, u.frame_b, u.ins_id, i.label, i.cx, i.cy, i.cz, i.ex, i.ey, i.ez, i.yaw_deg, u.in_a, u.in_b,
+        row_number() over (partition by u.scene_id, u.frame_a, u.frame_b order by
+            {drawn('j10', 'u.scene_id', 'u.frame_a', 'u.frame_b', 'u.ins_id')}, u.ins_id) as pos
     from (
-        select p.scene_id, p.frame_a, p.frame_b, s.ins_id, s.label, s.cx, s.cy, s.cz, s.ex, s.ey, s.ez,
-            max(case when s.frame_idx = p.frame_a then 1 else 0 end) as in_a,
-            max(case when s.frame_idx = p.frame_b then 1 else 0 end) as in_b
-        from pairs p join seen s on s.scene_id = p.scene_id and (s.frame_idx = p.frame_a or s.frame_idx = p.frame_b)
-        group by 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11) u"""
+        select scene_id, frame_a, frame_b, ins_id, max(in_a) as in_a, max(in_b) as in_b from (
+            select p.scene_id, p.frame_a, p.frame_b, o.ins_id, 1 as in_a, 0 as in_b
+            from pairs p join observations o on o.scene_id = p.scene_id and o.frame_idx = p.frame_a
+            union all
+            select p.scene_id, p.frame_a, p.frame_b, o.ins_id, 0, 1
+            from pairs p join observations o on o.scene_id = p.scene_id and o.frame_idx = p.frame_b) e
+        group by 1, 2, 3, 4) u
+    join instances i on i.ins_id = u.ins_id"""
 
 
 def _triple_columns() -> str:
@@ -158,7 +182,7 @@ def _triple_columns() -> str:
 def _triplets_by_array(d: Spark) -> str:
     """The same draws from one array a pair: no row for a triple that is not drawn."""
     fields = "pos, ins_id, label, cx, cy, cz, ex, ey, ez, in_a, in_b"
-    order = shuffled(d, "j10t", "scene_id", "frame_a", "frame_b", "a.ins_id", "b.ins_id", "c.ins_id")
+    order = drawn("j10t", "scene_id", "frame_a", "frame_b", "a.ins_id", "b.ins_id", "c.ins_id")
     rest = lambda s: f"slice(items, {s}.pos + 1, size(items))"
     third = (
         f"filter({rest('b')}, c -> c.label <> a.label and c.label <> b.label "
@@ -182,7 +206,7 @@ def triplets(d):
     all such triples of a pair (a scene's instances bound their number)."""
     if d.name == "spark":
         return _triplets_by_array(d)
-    order = shuffled(d, "j10t", "a.scene_id", "a.frame_a", "a.frame_b", "a.ins_id", "b.ins_id", "c.ins_id")
+    order = drawn("j10t", "a.scene_id", "a.frame_a", "a.frame_b", "a.ins_id", "b.ins_id", "c.ins_id")
     return f"""
     select * from (
         select a.scene_id, a.frame_a, a.frame_b, {_triple_columns()},
@@ -202,18 +226,21 @@ def j10_triplets(d):
 
 
 def _two_and_region(d: Spark, op: str, excluded: str) -> str:
-    order = shuffled(d, op, "a.scene_id", "a.frame_a", "a.frame_b", "a.ins_id", "b.ins_id", "c.ins_id")
+    """Two objects of frame a and a region of frame b that does not hold one of
+    them; as ``_across``, boxes are joined to the draws."""
+    order = drawn(op, "scene_id", "frame_a", "frame_b", "ins_a", "ins_b", "ins_c")
     return f"""
-    select * from (
-        select a.scene_id, a.frame_a, a.frame_b, {_triple_columns()},
-            row_number() over (partition by a.scene_id, a.frame_a, a.frame_b order by {order}, a.ins_id, b.ins_id, c.ins_id) as draw
-        from in_either a
-        join in_either b on b.scene_id = a.scene_id and b.frame_a = a.frame_a and b.frame_b = a.frame_b
-            and b.ins_id <> a.ins_id and b.label <> a.label
-        join seen_regions c on c.scene_id = a.scene_id and c.frame_idx = a.frame_b
-            and c.ins_id <> a.ins_id and c.ins_id <> b.ins_id
-        where a.in_a = 1 and b.in_a = 1 and not {inside(excluded, 'c')}) t
-    where draw <= 10"""
+    select t.scene_id, t.frame_a, t.frame_b, {_triple_columns()}, t.draw from (
+        select * from (
+            select u.*, row_number() over (partition by scene_id, frame_a, frame_b order by {order}, ins_a, ins_b, ins_c) as draw from (
+                select p.scene_id, p.frame_a, p.frame_b, a.ins_id as ins_a, b.ins_id as ins_b, c.ins_id as ins_c
+                from pairs p
+                join seen a on a.scene_id = p.scene_id and a.frame_idx = p.frame_a
+                join seen b on b.scene_id = p.scene_id and b.frame_idx = p.frame_a
+                join seen_regions c on c.scene_id = p.scene_id and c.frame_idx = p.frame_b
+                where {_UNLIKE} and c.ins_id <> a.ins_id and c.ins_id <> b.ins_id and not {inside(excluded, 'c')}) u) r
+        where draw <= 10) t
+    join instances a on a.ins_id = t.ins_a join instances b on b.ins_id = t.ins_b join regions c on c.ins_id = t.ins_c"""
 
 
 @view
@@ -246,7 +273,7 @@ def j13_mask_lookup(d):
     return f"""
     with exact as (
         select * from (select m.*, row_number() over (partition by scene_id, frame_idx, ins_id order by {order}) as rn
-                       from masks m where l_linenumber <= 3) r where rn = 1),
+                       from masks m) r where rn = 1),
     fallback as (
         select * from (select m.*, row_number() over (partition by ins_id order by {order}) as rn from masks m) r where rn = 1)
     select o.ins_id, o.frame_idx, case when e.ins_id is not null then 'path' else 'instance' end as src,
@@ -283,13 +310,18 @@ def j15_axis_aligned_overlap_ratio(d):
 
 @plan
 def j16_box_containment(d):
-    """Boxes all of whose corners lie in another box (without yaw)."""
-    held = " and ".join(
-        f"a.c{x} - a.e{x} / 2 >= b.c{x} - b.e{x} / 2 - 1e-6 and a.c{x} + a.e{x} / 2 <= b.c{x} + b.e{x} / 2 + 1e-6" for x in "xyz"
-    )
+    """Boxes all of whose corners lie in another box, both turned about z."""
+    ca, sa = "cos(radians(a.yaw_deg))", "sin(radians(a.yaw_deg))"
+    cb, sb = "cos(radians(b.yaw_deg))", "sin(radians(b.yaw_deg))"
+    held = ["abs(a.cz - b.cz) + a.ez / 2 <= b.ez / 2 + 1e-6"]
+    for i in (-1, 1):
+        for j in (-1, 1):
+            dx = f"(a.cx + {i} * {ca} * a.ex / 2 - {j} * {sa} * a.ey / 2 - b.cx)"
+            dy = f"(a.cy + {i} * {sa} * a.ex / 2 + {j} * {ca} * a.ey / 2 - b.cy)"
+            held += [f"abs({cb} * {dx} + {sb} * {dy}) <= b.ex / 2 + 1e-6", f"abs({cb} * {dy} - {sb} * {dx}) <= b.ey / 2 + 1e-6"]
     return f"""
     select a.scene_id, a.ins_id as inner_id, b.ins_id as outer_id
-    from instances a join regions b on a.scene_id = b.scene_id and a.ins_id <> b.ins_id where {held}"""
+    from instances a join regions b on a.scene_id = b.scene_id and a.ins_id <> b.ins_id where {' and '.join(held)}"""
 
 
 @plan

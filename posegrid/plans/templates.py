@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .geometry import EGO8, FACING_WORDS, MOTION_WORDS, axis_words, compass8, ego8_index, named, to_cam
+from .geometry import EGO8, FACING_WORDS, MOTION_WORDS, apart, axis_words, compass8, ego8_index, named, to_cam
 from .joins import shuffled
 from .registry import plan, view
 
@@ -11,26 +11,33 @@ COMPASS8 = ["North", "North-East", "East", "South-East", "South", "South-West",
 ASSUMED = {"north": "0e0", "east": "pi() / 2", "south": "pi()", "west": "-pi() / 2"}
 
 
-def choices(d, op: str, keys: list[str], truth: str, pool: list[str]) -> tuple[str, str]:
-    """(options, letter): the truth and the first three others of the pool in a
-    drawn order, reordered by a second draw."""
-    draw = lambda tag, x: f"md5(concat_ws('|', '42', '{op}{tag}', {', '.join(f'cast({k} as {d.string})' for k in keys)}, {x}))"
-    items = d.array(*(f"'{p}'" for p in pool))
-    wrong = d.keep(items, "x", f"x <> {truth}")
-    keyed = d.each(wrong, "x", f"concat({draw('w', 'x')}, x)")
+def _draws(d, op: str, keys: list[str]):
+    """A draw for a tag and an option."""
+    return lambda tag, x: f"md5(concat_ws('|', '42', '{op}{tag}', {', '.join(f'cast({k} as {d.string})' for k in keys)}, {x}))"
+
+
+def mixed(d, op: str, keys: list[str], truth: str, wrong: str) -> tuple[str, str]:
+    """(options, letter): the truth among the wrong ones, in a drawn order."""
+    draw = _draws(d, op, keys)
     if d.name == "spark":
-        picked = f"slice(array_sort({keyed}), 1, 3)"
-        both = f"array_append(transform({picked}, x -> substr(x, 33)), {truth})"
-        options = f"transform(array_sort(transform({both}, x -> concat({draw('o', 'x')}, x))), x -> substr(x, 33))"
+        options = f"transform(array_sort(transform(array_append({wrong}, {truth}), x -> concat({draw('o', 'x')}, x))), x -> substr(x, 33))"
         letter = f"substr('ABCD', cast(array_position({options}, {truth}) as int), 1)"
     else:
-        picked = f"list_sort({keyed})[1:3]"
-        both = f"list_append(list_transform({picked}, lambda x: substr(x, 33)), {truth})"
-        options = f"list_transform(list_sort(list_transform({both}, lambda x: concat({draw('o', 'x')}, x))), lambda x: substr(x, 33))"
+        options = f"list_transform(list_sort(list_transform(list_append({wrong}, {truth}), lambda x: concat({draw('o', 'x')}, x))), lambda x: substr(x, 33))"
         letter = f"substr('ABCD', list_position({options}, {truth}), 1)"
     return d.joined(options, "/"), letter
 
 
+def choices(d, op: str, keys: list[str], truth: str, pool: list[str], barred: str | None = None) -> tuple[str, str]:
+    """As ``mixed``, with the first three others of the pool in a drawn order;
+    ``barred`` may name one that is too near the truth."""
+    draw = _draws(d, op, keys)
+    also = f" and coalesce(x <> {barred}, true)" if barred else ""
+    keyed = d.each(d.keep(d.array(*(f"'{p}'" for p in pool)), "x", f"x <> {truth}{also}"), "x", f"concat({draw('w', 'x')}, x)")
+    first = f"slice(array_sort({keyed}), 1, 3)" if d.name == "spark" else f"list_sort({keyed})[1:3]"
+    return mixed(d, op, keys, truth, d.each(first, "x", "substr(x, 33)"))
+
+
 def assumed(d, op: str, *keys: str) -> str:
     names = list(ASSUMED)
     index = f"{d.hexint(f'substr({shuffled(d, op, *keys)}, 1, 4)')} % 4"
@@ -44,14 +51,31 @@ def angle_of(direction: str) -> str:
 _PAIR = ["scene_id", "frame_a", "frame_b"]
 
 
+#: The other words offered for a motion along one axis.
+OTHER_MOTIONS = {
+    "left": ["right", "up", "down"], "right": ["left", "up", "down"], "forward": ["backward", "left", "right"],
+    "backward": ["forward", "left", "right"], "up": ["down", "left", "right"], "down": ["up", "left", "right"],
+}
+
+
 @plan
 def q01_main_dir(d):
+    """One word: three fixed others.  Two: either or both turned round.  Three:
+    each two of them."""
     label = axis_words("round(x, 9)", "round(y, 9)", "round(z, 9)", MOTION_WORDS, 3)
-    pool = ["forward", "backward", "left", "right", "up", "down"]
-    options, letter = choices(d, "q01", _PAIR, "label", pool)
+    words = [w for pair in MOTION_WORDS.values() for w in pair]
+    across = {w: v for a, b in MOTION_WORDS.values() for w, v in ((a, b), (b, a))}
+    other = lambda w: "case " + w + " " + " ".join(f"when '{x}' then '{across[x]}'" for x in words) + " end"
+    texts = lambda names: d.array(*(f"'{n}'" for n in names))
+    one = "case label " + " ".join(f"when '{w}' then {texts(OTHER_MOTIONS[w])}" for w in words) + f" else {texts(['right', 'up', 'down'])} end"
+    two = d.array(f"concat(w1, '-', {other('w2')})", f"concat({other('w1')}, '-', w2)", f"concat({other('w1')}, '-', {other('w2')})")
+    three = d.array("concat(w1, '-', w2)", "concat(w1, '-', w3)", "concat(w2, '-', w3)")
+    options, letter = mixed(d, "q01", _PAIR, "label", f"case when w2 is null then {one} when w3 is null then {two} else {three} end")
+    word = lambda k: f"case when {d.size('parts')} >= {k} then {d.at('parts', k)} end"
     return f"""
     select scene_id, frame_a, frame_b, label, {options} as options, {letter} as answer
-    from (select p.*, {label} as label from cam_pairs p) l"""
+    from (select scene_id, frame_a, frame_b, label, {word(1)} as w1, {word(2)} as w2, {word(3)} as w3
+          from (select l.*, split(label, '-') as parts from (select p.*, {label} as label from cam_pairs p) l) s) w"""
 
 
 @plan
@@ -97,12 +121,15 @@ def q04_rotation(d):
 
 @view
 def posed_pairs(d):
-    """Camera pairs with all instances of the scene of the same number."""
+    """Camera pairs with the instances that both frames of the scene of the same
+    number show, in the axes of camera b."""
     bx, by, bz = to_cam(("i.cx", "i.cy", "i.cz"), "b")
     return f"""
     select p.scene_id, p.frame_a, p.frame_b, i.ins_id, i.label, {bx} as x, {by} as y, {bz} as z
     from cam_covis p join cams b on b.scene_id = p.scene_id and b.frame_idx = p.frame_b
-    join instances i on i.scene_id = p.scene_id
+    join observations oa on oa.scene_id = p.scene_id and oa.frame_idx = p.frame_a
+    join observations ob on ob.scene_id = p.scene_id and ob.frame_idx = p.frame_b and ob.ins_id = oa.ins_id
+    join instances i on i.ins_id = oa.ins_id
     where p.cov > 0.25e0"""
 
 
@@ -181,14 +208,6 @@ def q12_region_object_cross_direction(d):
     return _cross(d, "object_region_across", "q12")
 
 
-def _apart(*pairs: tuple[str, str]) -> str:
-    """No two of the boxes touch."""
-    meet = [
-        " and ".join(f"abs(c{x}_{a} - c{x}_{b}) <= (e{x}_{a} + e{x}_{b}) / 2" for x in "xyz") for a, b in pairs
-    ]
-    return " and ".join(f"not ({m})" for m in meet)
-
-
 _TRIPLE = ["scene_id", "frame_a", "frame_b", "ins_id_a", "ins_id_b", "ins_id_c"]
 
 
@@ -202,7 +221,7 @@ def _proxy(d, source: str, op: str) -> str:
                 round(-(cx_c - cx_b) * sin(delta) + (cy_c - cy_b) * cos(delta), 9) as rgt
             from (select t.*, atan2(cy_a - cy_b, cx_a - cx_b) - ({angle_of('dir')}) as delta
                 from (select s.*, {assumed(d, op, *_TRIPLE)} as dir from {source} s
-                      where {_apart(('a', 'b'), ('a', 'c'), ('b', 'c'))}
+                      where {apart(('a', 'b'), ('a', 'c'), ('b', 'c'))}
                         and sqrt((cx_a - cx_b) * (cx_a - cx_b) + (cy_a - cy_b) * (cy_a - cy_b)) >= 1e-6) t) v) w) x
     where label is not null"""
 
@@ -217,24 +236,31 @@ def q14_region_proxy_direction(d):
     return _proxy(d, "two_and_region_b", "q14")
 
 
-@plan
-def q15_relpos(d):
-    """Standing at a and facing b, where c is."""
+def _relpos(d, source: str, op: str) -> str:
+    """Standing at a and facing b, where c is; the neighbouring direction is not
+    offered within three degrees of the border to it."""
     index = ego8_index(d, "rgt", "up_raw", "fwd")
-    options, letter = choices(d, "q15", ["scene_id", "frame_a", "frame_b", "ins_a", "ins_b", "ins_c"], "label", EGO8)
+    options, letter = choices(d, op, ["scene_id", "frame_a", "frame_b", "ins_a", "ins_b", "ins_c"], "label", EGO8, "barred")
     return f"""
     select scene_id, frame_a, frame_b, ins_a, ins_b, ins_c, label, {options} as options, {letter} as answer, round(dist, 6) as dist from (
-        select scene_id, frame_a, frame_b, ins_id_a as ins_a, ins_id_b as ins_b, ins_id_c as ins_c, dist, {named('idx', EGO8)} as label
-        from (select f.*, {index} as idx from facing f) i) l
-    where label is not null"""
+        select scene_id, frame_a, frame_b, ins_id_a as ins_a, ins_id_b as ins_b, ins_id_c as ins_c, dist,
+            {named('idx', EGO8)} as label, {named('near', EGO8)} as barred
+        from (
+            select o.*, case when off >= 19.5e0 then {d.pmod('idx + 1', 8)} when off <= -19.5e0 then {d.pmod('idx + 7', 8)} end as near
+            from (select t.*, turn - 45 * idx - 360 * {d.floor('(turn - 45 * idx + 180) / 360')} as off
+                  from (select f.*, {index} as idx, round(degrees(atan2(rgt, fwd)), 9) as turn from {source} f where apart) t
+                  where idx is not null) o) n) l"""
+
+
+@plan
+def q15_relpos(d):
+    return _relpos(d, "facing", "q15")
 
 
 @plan
 def q16_region_relpos(d):
-    return f"""
-    select scene_id, frame_a, frame_b, ins_id_a as ins_a, ins_id_b as ins_b, ins_id_c as region_c,
-        {compass8('(cx_c - cx_a)', '(cy_c - cy_a)')} as plane_label from two_and_region_a
-    where {_apart(('a', 'b'), ('a', 'c'), ('b', 'c'))}"""
+    """Q15 with a region for the third."""
+    return _relpos(d, "facing_region", "q16")
 
 
 @plan

@@ -55,11 +55,21 @@ def w05_chunks(d):
     return f"select scene_id, frame_idx, {d.idiv('pos', size)} as chunk from frame_positions"
 
 
+def numbered(source: str, bucket: str, order: str, columns: str, name: str = "rn") -> str:
+    """Rows numbered from 1 in a global order, without a task that sorts them
+    all: numbers inside buckets (which follow one another in that order), shifted
+    by the rows of the buckets before."""
+    return f"""
+    select {columns}, before + row_number() over (partition by s.bucket order by {order}) as {name}
+    from (select *, {bucket} as bucket from ({source}) r) s
+    join (select bucket, coalesce(sum(n) over (order by bucket rows between unbounded preceding and 1 preceding), 0) as before
+          from (select {bucket} as bucket, count(*) as n from ({source}) r group by 1) c) b on b.bucket = s.bucket"""
+
+
 @plan
 def w06_batches(d):
-    return f"""
-    select scene_id, {d.idiv('rn - 1', 33)} as batch from (
-        select scene_id, row_number() over (order by scene_id) as rn from (select distinct scene_id from instances) s) r"""
+    source = "select distinct scene_id from instances"
+    return f"select scene_id, {d.idiv('rn - 1', 33)} as batch from ({numbered(source, d.idiv('scene_id', 1000), 'scene_id', 'scene_id')}) n"
 
 
 @plan
@@ -112,9 +122,10 @@ def w13_natural_sort(d):
     """Whole-number stems before others, by value; then by text."""
     stem = d.extract("url", "/([^/?#]*)(?:[?#].*)?$", 1)
     number = d.try_int("stem")
+    source = f"select page_id, {stem} as stem from {d.table('pages')}"
+    bucket = f"concat(case when {number} is null then '1' else '0' end, coalesce(lpad(cast({d.idiv(number, 1000)} as {d.string}), 20, '0'), substr(stem, 1, 3)))"
     return f"""
-    select page_id, stem, row_number() over (order by case when {number} is null then 1 else 0 end, {number}, stem, page_id) as rn
-    from (select page_id, {stem} as stem from {d.table('pages')}) s"""
+    select page_id, stem, cast(rn as bigint) as rn from ({numbered(source, bucket, f'case when {number} is null then 1 else 0 end, {number}, stem, page_id', 'page_id, stem')}) n"""
 
 
 @plan

@@ -81,7 +81,10 @@ def test_cameras_meet_all_instances_of_their_scene(spark):
     for name in ("m02_world_to_cam", "m03_project", "m17_axis_words"):
         assert {(r.scene_id, r.frame_idx, r.ins_id) for r in held[name](spark, SF).collect()} == want
     pairs = operator_queries._sql(spark, SF, "select scene_id, frame_a, frame_b from cam_covis where cov > 0.25e0").collect()
-    want = {(*p, i) for p in pairs for i in instances.get(p.scene_id, ())}
+    seen = {}
+    for r in operator_queries._sql(spark, SF, "select scene_id, frame_idx, ins_id from observations").collect():
+        seen.setdefault((r.scene_id, r.frame_idx), set()).add(r.ins_id)
+    want = {(*p, i) for p in pairs for i in seen.get((p.scene_id, p.frame_a), set()) & seen.get((p.scene_id, p.frame_b), set())}
     for name in ("q05_center_distance", "q06_center_direction", "q07_orient"):
         assert {(r.scene_id, r.frame_a, r.frame_b, r.ins_id) for r in held[name](spark, SF).collect()} == want
 
