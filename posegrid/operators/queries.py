@@ -43,15 +43,15 @@ def j20_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def j15_oriented_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Overlaps of the turned boxes of a scene; circles around the boxes in plan
+    """Overlaps of the turned regions of a scene; circles around the boxes in plan
     and their heights bound the candidates."""
     sides = ", ".join(f"{s}.{c} as {c}_{s}" for s in "ab" for c in ("cx", "cy", "cz", "ex", "ey", "ez", "yaw_deg"))
     text = f"""
-    select a.ins_id as a, b.ins_id as b, {sides} from instances a join instances b on a.scene_id = b.scene_id and a.ins_id < b.ins_id
+    select a.ins_id as a, b.ins_id as b, {sides} from regions a join regions b on a.scene_id = b.scene_id and a.ins_id < b.ins_id
     where abs(a.cz - b.cz) <= (a.ez + b.ez) / 2
         and sqrt((a.cx - b.cx) * (a.cx - b.cx) + (a.cy - b.cy) * (a.cy - b.cy))
             <= (sqrt(a.ex * a.ex + a.ey * a.ey) + sqrt(b.ex * b.ex + b.ey * b.ey)) / 2"""
-    return groups.oriented_overlaps(_sql(spark, sf_dir, text), least=0.01)
+    return groups.oriented_overlaps(_sql(spark, sf_dir, text), least=0.33)
 
 
 def w18_least_loaded_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
