@@ -1,6 +1,6 @@
 """Relational plans: importing this package registers all of them."""
 
-from . import aggregates, bindings, filters, geometry, joins, templates, text, windows  # noqa: F401
+from . import aggregates, bindings, filters, geometry, joins, questions, templates, text, windows  # noqa: F401
 from .registry import PLANS, run, twin
 
 

@@ -90,16 +90,6 @@ def a12_scene_vocab(d):
     group by 1"""
 
 
-@plan
-def a13_type_rollup(d):
-    return """
-    with t as (
-        select 'object_distance' as type, 'inter_object_distance' as sub from objects_across
-        union all select 'object_relpos', 'relpos_A_facing_B' from triplets
-        union all select 'region_cross_direction', 'cross_direction' from object_region_across)
-    select coalesce(type, '*') as type, coalesce(sub, '*') as sub, count(*) as n from t group by rollup (type, sub)"""
-
-
 @plan
 def a14_filter_totals(d):
     return """

@@ -261,15 +261,3 @@ def q15_relpos(d):
 def q16_region_relpos(d):
     """Q15 with a region for the third."""
     return _relpos(d, "facing_region", "q16")
-
-
-@plan
-def u01_recipe_union(d):
-    """All templates' rows under one schema."""
-    return f"""
-    select 'cam_translation' as question_type, 'distance_exact' as sub_question_type, scene_id, frame_a, frame_b, count(*) as n
-        from ({q02_distance_exact(d)}) q group by 1, 2, 3, 4, 5
-    union all select 'object_distance', 'inter_object_distance', scene_id, frame_a, frame_b, count(*)
-        from ({q08_inter_object_distance(d)}) q group by 1, 2, 3, 4, 5
-    union all select 'object_distance', 'object_height_or_length', scene_id, frame_a, frame_b, count(*)
-        from ({q09_height_or_length(d)}) q group by 1, 2, 3, 4, 5"""

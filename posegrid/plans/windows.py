@@ -183,7 +183,11 @@ def w17_delay(d):
 
 @plan
 def w18_least_loaded(d):
-    return "select scene_id, (row_number() over (order by scene_id) - 1) % 8 as slot from (select distinct scene_id from instances) s"
+    """Scenes of equal load placed in turn: the least loaded of eight slots is
+    then the next one (``w18_least_loaded_slots`` places unequal loads)."""
+    source = "select distinct scene_id from instances"
+    return f"""
+    select scene_id, (rn - 1) % 8 as slot from ({numbered(source, d.idiv('scene_id', 1000), 'scene_id', 'scene_id')}) n"""
 
 
 @plan
