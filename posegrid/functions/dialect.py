@@ -12,7 +12,7 @@ class Spark:
     """Renders over ``parquet.`path` `` relations; no view is registered."""
 
     name = "spark"
-    string, double, bigint = "string", "double", "bigint"
+    string, double, bigint, strings = "string", "double", "bigint", "array<string>"
 
     def __init__(self, sf_dir: str):
         self.sf_dir = sf_dir
@@ -107,7 +107,7 @@ class Duck(Spark):
     """The same texts for DuckDB, over views named as the tables."""
 
     name = "duck"
-    string = "varchar"
+    string, strings = "varchar", "varchar[]"
 
     def __init__(self):
         super().__init__("")

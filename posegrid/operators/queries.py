@@ -75,12 +75,16 @@ def d02_model_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def k02_training_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records of the questions on cameras and on distances, by scene in the
-    order of the recipe."""
+    """Records of the distances between two objects, by scene in drawn order."""
     text = """
-    select scene_id, row_number() over (partition by scene_id order by ord, frame_a, frame_b, ins_a, ins_b) as pos,
-        array(concat('f', frame_a), concat('f', frame_b)) as images, question, answer, question_type, sub_question_type
-    from question_rows where question_type in ('cam_translation', 'cam_rotation', 'object_distance')"""
+    select scene_id, row_number() over (partition by scene_id order by frame_a, frame_b, draw) as pos,
+        array(concat('f', frame_a), concat('f', frame_b)) as images,
+        concat('In image A, a red mask overlay indicates ', label_a, '.\nIn image B, a green mask overlay indicates ', label_b,
+            '.\nHow far apart are the centers of the two objects? Answer with one number, in meters: <answer>NUMBER</answer>.') as question,
+        concat(cast(cast(round(sqrt((cx_a - cx_b) * (cx_a - cx_b) + (cy_a - cy_b) * (cy_a - cy_b) + (cz_a - cz_b) * (cz_a - cz_b)), 2)
+            as decimal(18, 2)) as string), ' m') as answer,
+        'object_distance' as question_type, 'inter_object_distance' as sub_question_type
+    from objects_across"""
     made = export.training_records(_sql(spark, sf_dir, text))
     return made.select("id", "scene_id", F.to_json(F.struct("conversations", "image")).alias("record"))
 

@@ -15,7 +15,6 @@ _METERS = "Answer with one number, in meters: <answer>NUMBER</answer>."
 _OVERLAYS = "In image A, a red mask overlay indicates {A}.\nIn image B, a green mask overlay indicates {B}.\n"
 _THREE = "A red mask overlay indicates {A}, a green one {B}, a blue one {C}.\n"
 _TURNS = {"yaw": ("turn right", "turn left"), "pitch": ("tilt up", "tilt down"), "roll": ("clockwise roll", "counter-clockwise roll")}
-_TWO, _TRIO = ["scene_id", "frame_a", "frame_b", "ins_a", "ins_b"], ["scene_id", "frame_a", "frame_b", "ins_a", "ins_b", "ins_c"]
 
 
 def decimals(d, x: str, places: int) -> str:
@@ -28,9 +27,8 @@ def listed(d, options: str = "options") -> str:
     return f"concat({lines})"
 
 
-def _with_options(source: str, pair: tuple[str, str]) -> str:
-    options, letter = pair
-    return f"select s.*, {options} as options, {letter} as letter from ({source}) s"
+def _pooled(source: str, pool: str) -> str:
+    return f"select s.*, {pool} as pool from ({source}) s"
 
 
 def _rotations(d) -> str:
@@ -39,7 +37,7 @@ def _rotations(d) -> str:
     p1, n1, p2, n2 = said("axis1", 0), said("axis1", 1), said("axis2", 0), said("axis2", 1)
     both = d.array(*(f"concat({x}, ' and ', {y})" for x in (p1, n1) for y in (p2, n2)))
     every = f"case when mode = 'dual_dominant' then {both} else {d.array(p1, n1, p2, n2)} end"
-    return _with_options(t.q04_rotation(d), t.mixed(d, "q04", ["scene_id", "frame_a", "frame_b"], "answer", d.keep(every, "x", "x <> answer")))
+    return _pooled(t.q04_rotation(d), every)
 
 
 def _facings(d) -> str:
@@ -53,7 +51,7 @@ def _facings(d) -> str:
     source = f"""
     select p.*, {d.at('parts', 1)} as w1, {second} as w2 from (select q.*, split(label, '-') as parts from ({t.q06_center_direction(d)}) q) p"""
     wrong = f"case when w2 is null then {one} else {two} end"
-    return _with_options(source, t.mixed(d, "q06", ["scene_id", "frame_a", "frame_b", "ins_id"], "label", wrong))
+    return _pooled(source, wrong)
 
 
 def _sizes(d) -> str:
@@ -63,67 +61,82 @@ def _sizes(d) -> str:
         when q.answer = i.label then '{{A}}' else '{{B}}' end as label
     from ({t.q09_height_or_length(d)}) q join instances i on i.ins_id = q.ins_a"""
     every = d.array("'{A}'", "'{B}'", "concat('Both are about the same ', variant)", "'Cannot tell'")
-    return _with_options(source, t.mixed(d, "q09", _TWO, "label", d.keep(every, "x", "x <> label")))
+    return _pooled(source, every)
 
 
 def _cross(d, name: str) -> str:
-    return _with_options(getattr(t, name)(d), t.choices(d, name, _TWO, "label", t.COMPASS8))
+    return _pooled(getattr(t, name)(d), d.array(*(f"'{c}'" for c in t.COMPASS8)))
 
 
 @view
-def question_bodies(d):
-    """All templates' rows under one schema, in the order of the recipe."""
-    marked = "concat(letter, '. ', label)"
-    blank = f"cast(null as {d.string})"
-    chosen = listed(d)
+def question_leads(d):
+    """Each template's rows: the question up to its options, what is true, and
+    the options (or the texts to choose them from)."""
     rows = []
 
-    def add(kind, sub, source, question, answer, *items, options="options"):
+    def add(kind, sub, source, lead, truth, *items, form="marked", given=False, tail="''"):
         a, b, c = (*(f"cast({i} as bigint)" for i in items), _NONE, _NONE, _NONE)[:3]
+        options, letter = ("options", "answer") if given else (f"cast(null as {d.string})",) * 2
+        pool = f"cast(null as {d.strings})" if given or form == "plain" else "pool"
         rows.append(f"""
         select {len(rows)} as ord, '{kind}' as question_type, {sub} as sub_question_type, cast(scene_id as bigint) as scene_id,
             cast(frame_a as bigint) as frame_a, cast(frame_b as bigint) as frame_b, {a} as ins_a, {b} as ins_b, {c} as ins_c,
-            {options} as options, {question} as question, {answer} as answer from ({source}) r""")
+            '{form}' as form, {lead} as lead, {tail} as tail, {truth} as truth, {options} as given, {letter} as given_letter, {pool} as pool
+        from ({source}) r""")
 
     add("cam_translation", "'main_dir'", t.q01_main_dir(d),
-        f"concat('Seen in the axes of view A, in which main direction does the camera move from view A to view B?', {chosen}, '\nReply with the option letter only (A/B/C/D).')", "answer")
+        "'Seen in the axes of view A, in which main direction does the camera move from view A to view B?'", "label",
+        form="letter", given=True, tail="'\nReply with the option letter only (A/B/C/D).'")
     add("cam_translation", "'distance_exact'", t.q02_distance_exact(d),
-        "'How far does the camera move from view A to view B (meters)?'", decimals(d, "answer", 3), options=blank)
+        "'How far does the camera move from view A to view B (meters)?'", decimals(d, "answer", 3), form="plain")
     add("cam_translation", "'distance_threshold'", t.q03_distance_threshold(d),
         f"concat('From the camera transforms alone: is the distance between the camera centers of view A and view B more than ', {decimals(d, 'threshold', 2)}, ' meters? Answer <answer>yes</answer> or <answer>no</answer>.')",
-        "answer", options=blank)
+        "answer", form="plain")
     add("cam_rotation", "concat(axis1, '+', axis2, '_', mode)", _rotations(d),
-        f"concat('Take the rotation from view A to view B in the camera frame of view A. ', case when mode = 'dual_dominant' then concat('Which option gives both of its parts, ', axis1, ' and ', axis2, '?') else concat('Which single direction is the largest, of ', axis1, ' and ', axis2, '?') end, {chosen})",
-        "letter")
+        "concat('Take the rotation from view A to view B in the camera frame of view A. ', case when mode = 'dual_dominant' then concat('Which option gives both of its parts, ', axis1, ' and ', axis2, '?') else concat('Which single direction is the largest, of ', axis1, ' and ', axis2, '?') end)",
+        "answer", form="letter")
     add("object_distance", "'bbox_center_distance'", t.q05_center_distance(d),
         f"'In image A, a red mask overlay indicates {{A}}.\nHow far is the center of the same object from the camera of image B? {_METERS}'",
-        f"concat({decimals(d, 'answer', 1)}, ' m')", "ins_id", options=blank)
+        f"concat({decimals(d, 'answer', 1)}, ' m')", "ins_id", form="plain")
     add("object_direction", "'bbox_center_direction'", _facings(d),
-        f"concat('In image A, a red mask overlay indicates {{A}}.\nIn which direction is it from you as you take image B?', {chosen})", marked, "ins_id")
+        "'In image A, a red mask overlay indicates {A}.\nIn which direction is it from you as you take image B?'", "label", "ins_id")
     add("object_distance", "'inter_object_distance'", t.q08_inter_object_distance(d),
-        f"'{_OVERLAYS}How far apart are the centers of the two objects? {_METERS}'", f"concat({decimals(d, 'dist', 2)}, ' m')", "ins_a", "ins_b", options=blank)
+        f"'{_OVERLAYS}How far apart are the centers of the two objects? {_METERS}'", f"concat({decimals(d, 'dist', 2)}, ' m')", "ins_a", "ins_b", form="plain")
     add("object_height_or_length", "case when variant = 'length' then 'longest_side_compare' else 'top_height_compare' end", _sizes(d),
-        f"concat('{_OVERLAYS}', case when variant = 'length' then 'Which one is longer, by its longest side?' else 'Which one is taller, by its top?' end, {chosen})",
-        marked, "ins_a", "ins_b")
+        f"concat('{_OVERLAYS}', case when variant = 'length' then 'Which one is longer, by its longest side?' else 'Which one is taller, by its top?' end)",
+        "label", "ins_a", "ins_b")
     crosses = (
-        ("object_cross_direction", "cross_image_assumed_dir", "q10_cross_direction", "ins_a", "ins_b"),
-        ("region_cross_direction", "cross_image_assumed_dir_region_region", "q11_region_cross_direction", "ins_a", "ins_b"),
-        ("region_object_cross_direction", "cross_image_assumed_dir_object_region", "q12_region_object_cross_direction", "ins_a", "ins_b"),
+        ("object_cross_direction", "cross_image_assumed_dir", "q10_cross_direction"),
+        ("region_cross_direction", "cross_image_assumed_dir_region_region", "q11_region_cross_direction"),
+        ("region_object_cross_direction", "cross_image_assumed_dir_object_region", "q12_region_object_cross_direction"),
     )
-    for kind, sub, name, *items in crosses:
-        add(kind, f"'{sub}'", _cross(d, name),
-            f"concat('{_OVERLAYS}Take {{A}} to be ', dir, ' of image A. In which direction is {{B}} from image B?', {chosen})", marked, *items)
-    given = "concat(answer, '. ', label)"
-    proxy = f"concat('{_THREE}Take {{A}} to be ', dir, ' of {{B}}. In which direction is {{C}} from {{B}}?', {chosen})"
-    stand = f"concat('{_THREE}You stand at {{A}} and face {{B}}. In which direction is {{C}} from you?', {chosen})"
-    trio = ("ins_a", "ins_b", "ins_c")
-    add("object_proxy_direction", "'proxy_object_direction'", t.q13_proxy_direction(d), proxy, given, *trio)
-    add("region_proxy_direction", "'proxy_object_region_direction'", t.q14_region_proxy_direction(d), proxy, given, *trio)
-    add("object_relpos", "'relpos_A_facing_B'", t.q15_relpos(d), stand, given, *trio)
-    add("region_relpos", "'relpos_A_facing_B_region_C'", t.q16_region_relpos(d), stand, given, *trio)
+    for kind, sub, name in crosses:
+        lead = f"concat('{_OVERLAYS}Take {{A}} to be ', dir, ' of image A. In which direction is {{B}} from image B?')"
+        add(kind, f"'{sub}'", _cross(d, name), lead, "label", "ins_a", "ins_b")
+    proxy = f"concat('{_THREE}Take {{A}} to be ', dir, ' of {{B}}. In which direction is {{C}} from {{B}}?')"
+    stand = f"'{_THREE}You stand at {{A}} and face {{B}}. In which direction is {{C}} from you?'"
+    for kind, sub, name, lead in (
+        ("object_proxy_direction", "proxy_object_direction", "q13_proxy_direction", proxy),
+        ("region_proxy_direction", "proxy_object_region_direction", "q14_region_proxy_direction", proxy),
+        ("object_relpos", "relpos_A_facing_B", "q15_relpos", stand),
+        ("region_relpos", "relpos_A_facing_B_region_C", "q16_region_relpos", stand),
+    ):
+        add(kind, f"'{sub}'", getattr(t, name)(d), lead, "label", "ins_a", "ins_b", "ins_c", given=True)
     return " union all ".join(rows)
 
 
+@view
+def question_bodies(d):
+    """Leads with their options drawn: the truth and three others of the pool."""
+    keys = ["sub_question_type", "scene_id", "frame_a", "frame_b", "ins_a", "ins_b", "ins_c"]
+    options, letter = t.drawn_from(d, "qa", keys, "truth", "pool")
+    return f"""
+    select o.*, case when form = 'plain' then lead else concat(lead, {listed(d)}, tail) end as question,
+        case form when 'plain' then truth when 'letter' then letter else concat(letter, '. ', truth) end as answer
+    from (select l.*, case when pool is null then given else {options} end as options,
+              case when pool is null then given_letter else {letter} end as letter from question_leads l) o"""
+
+
 @view
 def question_rows(d):
     """The rows with their labels put in."""
@@ -149,4 +162,4 @@ def u01_recipe_union(d):
 def a13_type_rollup(d):
     return """
     select coalesce(question_type, '*') as type, coalesce(sub_question_type, '*') as sub, count(*) as n
-    from question_bodies group by rollup (question_type, sub_question_type)"""
+    from question_leads group by rollup (question_type, sub_question_type)"""

@@ -31,9 +31,14 @@ def mixed(d, op: str, keys: list[str], truth: str, wrong: str) -> tuple[str, str
 def choices(d, op: str, keys: list[str], truth: str, pool: list[str], barred: str | None = None) -> tuple[str, str]:
     """As ``mixed``, with the first three others of the pool in a drawn order;
     ``barred`` may name one that is too near the truth."""
+    return drawn_from(d, op, keys, truth, d.array(*(f"'{p}'" for p in pool)), barred)
+
+
+def drawn_from(d, op: str, keys: list[str], truth: str, pool: str, barred: str | None = None) -> tuple[str, str]:
+    """As ``choices``, with the pool as an array expression."""
     draw = _draws(d, op, keys)
     also = f" and coalesce(x <> {barred}, true)" if barred else ""
-    keyed = d.each(d.keep(d.array(*(f"'{p}'" for p in pool)), "x", f"x <> {truth}{also}"), "x", f"concat({draw('w', 'x')}, x)")
+    keyed = d.each(d.keep(pool, "x", f"x <> {truth}{also}"), "x", f"concat({draw('w', 'x')}, x)")
     first = f"slice(array_sort({keyed}), 1, 3)" if d.name == "spark" else f"list_sort({keyed})[1:3]"
     return mixed(d, op, keys, truth, d.each(first, "x", "substr(x, 33)"))
 
