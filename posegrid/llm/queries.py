@@ -13,18 +13,24 @@ from . import (
     chat_format,
     decontaminate,
     fingerprint,
+    hard_negatives,
     html_text,
     language_id,
     minhash,
+    packing,
     span_dedup,
     token_counts,
     token_files,
+    vector_codes,
 )
 
 COUNT_TOKENIZER = "byte_bpe_50k.json"
 ROUND_TRIP_RANKS = "byte_bpe_multi_50k.tiktoken"
 OVER_LIMIT = 512
 END_ID = 2
+PACK_TOKENIZER = "word_bpe_49k.json"
+PACK_END_ID = 0
+PACK_CAPACITY = 2048
 #: The conversation that every run of op2 has besides the table's.
 ODD_TEXT = r"\### Assistant: </turn> ok"
 
@@ -95,6 +101,30 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.select("page_id", F.length("text").cast("long").alias("n_chars"), "text")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vector_codes.fit(_read(spark, sf_dir, "embeddings"))
+    return vector_codes.with_label_error(found.rows).select(
+        "vec_id",
+        F.lower(F.hex("code")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(vector_codes.books_sha256(found.books)).alias("codebooks_sha256"),
+    )
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, path = _read(spark, sf_dir, "documents"), public_tokenizers.path(PACK_TOKENIZER)
+    cut = packing.pieces(docs, path, PACK_END_ID, PACK_CAPACITY)
+    digested = cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "task", "nth")
+    return packing.place(digested, PACK_CAPACITY).withColumn("length", F.col("length").cast("long"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _read(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
@@ -107,6 +137,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_span_dedup": op8_span_dedup,
         "op9_fingerprint": op9_fingerprint,
         "op10_html_text": op10_html_text,
+        "op11_vector_codes": op11_vector_codes,
+        "op12_best_fit_packing": op12_best_fit_packing,
+        "op13_hard_negatives": op13_hard_negatives,
     }
 
 
