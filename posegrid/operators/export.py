@@ -4,20 +4,38 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share (spark.checkpoint.dir).  One of
+    our own is taken only under a local master, where the setting may be absent."""
+    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
+    if not shared and context._jsc.sc().getCheckpointDir().isDefined():
+        shared = context._jsc.sc().getCheckpointDir().get()
+    if not shared:
+        if context.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = os.path.join(tempfile.gettempdir(), "posegrid-checkpoints")
+    return shared
+
+
+def scratch(spark: SparkSession, what: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_dir(spark).rstrip('/')}/posegrid-{what}-{uuid.uuid4().hex}"
+
+
 def _settled(rows: DataFrame) -> DataFrame:
-    """A checkpoint in the cluster's shared folder (spark.checkpoint.dir): what
-    is read twice is then the same both times.  Where the setting is absent, as
-    on one machine, a folder of our own is set."""
+    """A checkpoint in the shared folder: what is read twice is then the same
+    both times."""
     context = rows.sparkSession.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
-        shared = rows.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(shared or os.path.join(tempfile.gettempdir(), "posegrid-checkpoints"))
+        context.setCheckpointDir(shared_dir(rows.sparkSession))
     return rows.checkpoint()
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dialect import Spark
 from ..plans.registry import render
-from ..streaming import tracks
+from ..streaming import sessions, tracks
 from . import export, groups, models
 
 
@@ -69,6 +69,28 @@ def t01_track_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tracks.track(_sql(spark, sf_dir, "select obj_id, frame_idx, matched from track_events"))
 
 
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sessions.session_events(_sql(spark, sf_dir, "select video_id, frame_idx, k, score, x0, y0, x1, y1 from sightings"))
+
+
+def t07_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every video's tracking session with its commands, as one table."""
+    return sessions.sessions(_events(spark, sf_dir))
+
+
+def t06_sessions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same sessions as a stream of files, ten seconds of video a batch, and
+    a last event that moves the watermark beyond them."""
+    path, n = export.scratch(spark, "events"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    events = _events(spark, sf_dir)
+    last = spark.range(1).selectExpr("-1L AS video_id", "0L AS frame_idx", "timestamp_seconds(1800000000) AS ts", "'frame' AS kind")
+    for k in range(6):
+        part = events.where(F.floor(F.col("frame_idx") / 10) == k) if k < 5 else last.unionByName(events.limit(0), allowMissingColumns=True)
+        part.repartition(n if k < 5 else 1).write.mode("append").parquet(path)
+    found = sessions.run_files(spark, path, events.schema, export.scratch(spark, "sessions"), files=n)
+    return found.where("video_id >= 0")
+
+
 def d02_model_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _sql(spark, sf_dir, "select scene_id, stem, ins_id, label, description from descriptions")
     return models.decide(rows, ["scene_id", "stem", "label", "description"], models.longest_wins).drop("description")
@@ -106,6 +128,6 @@ QUERIES = {
     for f in (
         g01_fuse_instances, g02_fuse_regions, g05_box_suppression, g06_overlap_removal, j15_oriented_overlaps, j20_assignment, w08_greedy_pairs,
         w18_least_loaded_slots,
-        t01_track_states, d02_model_decisions, k02_training_records, a09_fit_boxes, a10_principal_boxes, a16_mask_components,
+        t01_track_states, t06_sessions_stream, t07_sessions, d02_model_decisions, k02_training_records, a09_fit_boxes, a10_principal_boxes, a16_mask_components,
     )
 }
