@@ -16,11 +16,12 @@ however many documents.  Pieces then find their places apart from each other: a
 piece is numbered among those of its length (by its task's counts and those of
 earlier tasks), and the patterns' ranges of these numbers give sequence and offset.
 
-The ids come from the tokenizers library: its answers for every distinct run of
+The ids come from the tokenizers library: its answers for distinct runs of
 characters between ASCII white space (which no pre-token crosses) are kept from text to
-text.  Runs of plain letters, digits and marks are split by the file's own
-pattern, and the model asked once for each distinct pre-token; runs that hold a
-special string, a control character or letters beyond ``PLAIN`` go to the library whole.
+text, all but those asked for once when the table is full.  Runs of plain letters, digits
+and marks are normalised by the library, split by the file's own pattern, and the model is asked
+for each distinct pre-token; runs that hold a special string, a control
+character or characters from ``PLAIN`` on go to the library whole.
 
 Null text counts as empty (the end id alone).  Null ids stay null.  Rows that
 repeat are documents of their own.  An empty table gives no rows.  Other columns
@@ -30,11 +31,12 @@ are ignored.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -48,11 +50,54 @@ from .runtime import blocks, held, scratch
 #: Letters up to here are classed alike by all Unicode versions in use.
 PLAIN = "\u0590"
 PIECES = "doc_id long, piece int, start long, length int, ids binary, task int, nth long"
+#: Code points of text encoded at once; larger blocks hold fewer distinct runs in all.
+BLOCK = 1 << 21
 _RANK = 42  # bits of a piece's number among those of its length
 
 
+class Known:
+    """Ids of strings, each distinct one of a block looked up once and learned
+    once.  When full, the table forgets what was in one block only."""
+
+    def __init__(self, learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = 1 << 18):
+        self.learn, self.limit = learn, limit
+        self.keys = pa.array([], type=pa.large_string())
+        self.begin, self.size, self.hits = (np.zeros(0, dtype=np.int64) for _ in range(3))
+        self.flat = np.zeros(0, dtype="<u4")
+
+    def ids(self, strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, how many each string has)."""
+        block = strings.dictionary_encode()
+        place = pc.index_in(block.dictionary, value_set=self.keys)
+        new = place.is_null()
+        fresh = block.dictionary.filter(new)
+        at = place.fill_null(0).to_numpy().astype(np.int64)
+        if len(fresh):
+            at[new.to_numpy(zero_copy_only=False)] = len(self.keys) + np.arange(len(fresh))
+            ids, sizes = self.learn(fresh.to_pylist())
+            self.keys = pa.concat_arrays([self.keys, fresh])
+            self.begin = np.concatenate((self.begin, len(self.flat) + np.cumsum(sizes) - sizes))
+            self.size, self.flat = np.concatenate((self.size, sizes)), np.concatenate((self.flat, ids))
+        self.hits = np.pad(self.hits, (0, len(fresh)))
+        self.hits[at] += 1
+        at = at[block.indices.to_numpy()]
+        begin, size = self.begin[at], self.size[at]
+        ends = np.cumsum(size)
+        out = self.flat[np.repeat(begin - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
+        if len(self.keys) > self.limit:
+            self._forget()
+        return out, size
+
+    def _forget(self) -> None:
+        keep = self.hits > 1
+        begin, size = self.begin[keep], self.size[keep]
+        ends = np.cumsum(size)
+        self.flat = self.flat[np.repeat(begin - ends + size, size) + np.arange(int(size.sum()))]
+        self.keys, self.begin, self.size, self.hits = self.keys.filter(pa.array(keep)), ends - size, size, self.hits[keep] // 2
+
+
 class Runs:
-    """Ids of runs between white space, each asked for once."""
+    """Ids of runs between white space, new ones many at a time."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -62,42 +107,52 @@ class Runs:
         if split["type"] != "Split" or split["behavior"] != "Removed" or not split["invert"]:
             raise ValueError("the file's pre-tokenizer must keep the matches of a pattern")
         self.library = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.find = regex.compile(split["pattern"]["Regex"]).findall
+        special = [regex.escape(t.content) for t in self.library.get_added_tokens_decoder().values()]
+        self.odd = regex.compile("|".join([*special, r"[^\n\p{L}\p{M}\p{N}\p{P}\p{S}]", f"[{PLAIN}-\U0010ffff]"])).search
+        self.find = regex.compile(split["pattern"]["Regex"] + "| ").findall
         self.shown = str.maketrans({chr(b): c for c, b in bpe.byte_alphabet().items()})
-        self.words: dict[str, list[int]] = {}
+        self.words = Known(self._words)
+
+    def _plain(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Plain runs in one text, whose line ends the library makes blanks."""
+        words = pa.array(self.find(self.library.normalizer.normalize_str("\n".join(runs))), type=pa.large_string())
+        blank = np.asarray(pc.equal(words, " ")).astype(bool)
+        ids, sizes = self.words.ids(words.filter(pa.array(~blank)))
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        edges = np.concatenate(([0], np.cumsum(~blank)[blank], [len(sizes)]))
+        return ids, np.diff(ends[edges])
 
-    def _word(self, word: str) -> list[int]:
-        ids = self.words.get(word)
-        if ids is None:
-            if len(self.words) > 1 << 19:
-                self.words.clear()
-            shown = word.encode().decode("latin-1").translate(self.shown)
-            ids = [t.id for t in self.library.model.tokenize(shown)]
-            if len(word) < 64:
-                self.words[word] = ids
-        return ids
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        tokenize = self.library.model.tokenize
+        shown = "\n".join(words).encode().decode("latin-1").translate(self.shown).split(self.shown[10])
+        return _flat([[t.id for t in tokenize(w)] for w in shown])
 
-    def ids(self, run: str) -> list[int]:
-        if run.isprintable() and max(run) < PLAIN and not any(s in run for s in self.special):
-            plain = run.lower() if run.isascii() else self.library.normalizer.normalize_str(run)
-            if plain.isprintable() and max(plain) < PLAIN:
-                return [i for word in self.find(plain) for i in self._word(word)]
-        return self.library.encode(run, add_special_tokens=False).ids
+    def learn(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        plain = np.ones(len(texts), dtype=bool)
+        if "" in texts or self.odd("\n".join(texts)):
+            plain = np.array([bool(t) and self.odd(t) is None for t in texts], dtype=bool)
+        if plain.all():
+            return self._plain(texts)
+        ids, sizes = self._plain([t for t, ok in zip(texts, plain.tolist()) if ok]) if plain.any() else _flat([])
+        easy = iter(np.split(ids, np.cumsum(sizes)[:-1]))
+        return _flat([next(easy).tolist() if ok else self.library.encode(t, add_special_tokens=False).ids for t, ok in zip(texts, plain.tolist())])
 
-    def learn(self, runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        got = [self.ids(r.decode()) for r in runs]
-        sizes = np.array([len(g) for g in got], dtype=np.int64)
-        return np.array([i for g in got for i in g], dtype="<u4"), sizes
 
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    return np.array([i for x in lists for i in x], dtype="<u4"), np.array([len(x) for x in lists], dtype=np.int64)
 
-def encoder(path: str) -> bpe.PieceIds:
-    def split(texts: list[str]) -> tuple[list[bytes], np.ndarray, list[int]]:
-        each = [t.encode().split() for t in texts]  # bytes split at ASCII white space
-        flat = [r for e in each for r in e]
-        return flat, np.arange(len(flat)), [len(e) for e in each]
 
-    return bpe.PieceIds(split, Runs(path).learn, 1 << 18)
+class Codec:
+    """Ids of whole texts, a block at a time."""
+
+    def __init__(self, path: str):
+        self.runs = Known(Runs(path).learn)
+
+    def by_text(self, texts: list[str]) -> list[np.ndarray]:
+        runs = pc.ascii_split_whitespace(pa.array(texts, type=pa.large_string()))  # an empty one at a blank end
+        ids, sizes = self.runs.ids(runs.flatten())
+        edges = np.concatenate(([0], np.cumsum(sizes)))[runs.offsets.to_numpy()].tolist()
+        return [ids[a:b] for a, b in zip(edges, edges[1:])]
 
 
 def pieces(
@@ -107,11 +162,11 @@ def pieces(
     shared folder: ``PIECES``, where ``nth`` numbers a task's pieces of a length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = held(("packing", tokenizer_path), lambda: encoder(tokenizer_path))
+        codec = held(("packing", tokenizer_path), lambda: Codec(tokenizer_path))
         task, seen = TaskContext.get().partitionId(), [0] * (capacity + 1)
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for part in blocks([len(t) for t in texts]):
+            for part in blocks([len(t) for t in texts], BLOCK):
                 rows: list[tuple] = []
                 for doc_id, ids in zip(doc_ids[part], codec.by_text(texts[part])):
                     ids = np.append(ids, np.array([end_id], dtype="<u4"))
