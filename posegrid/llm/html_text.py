@@ -121,14 +121,14 @@ class _Builder:
     def __init__(self) -> None:
         self.root = Node("html")
         self.open = [self.root]
-        self.count = {"html": 1}
+        self.places: dict[str, list[int]] = {}  # of the open elements of a tag, but for the root
         self.tables: list[Node] = []
         self.in_body = False
 
     def push(self, node: Node) -> None:
         self.open[-1].children.append(node)
+        self.places.setdefault(node.tag, []).append(len(self.open))
         self.open.append(node)
-        self.count[node.tag] = self.count.get(node.tag, 0) + 1
         if node.tag == "table":
             if self.tables:
                 self.tables[-1].holds_table = True
@@ -136,22 +136,19 @@ class _Builder:
 
     def pop_to(self, at: int) -> None:
         for node in self.open[at:]:
-            self.count[node.tag] -= 1
+            self.places[node.tag].pop()
             if node.tag == "table":
                 self.tables.pop()
         del self.open[at:]
 
     def find(self, tags, fences) -> int:
         """Place of the innermost open element of these tags within fences."""
-        if not any(self.count.get(t) for t in tags):
-            return -1
-        for at in range(len(self.open) - 1, 0, -1):
-            tag = self.open[at].tag
-            if tag in tags:
-                return at
-            if tag in fences:
-                return -1
-        return -1
+        at = self.last(tags)
+        return at if at > 0 and at >= self.last(fences) else -1
+
+    def last(self, tags) -> int:
+        """Place of the innermost open element of these tags, 0 if there is none."""
+        return max((held[-1] for t in tags if (held := self.places.get(t))), default=0)
 
     def end(self, tags, fences) -> None:
         if (at := self.find(tags, fences)) > 0:
@@ -175,7 +172,7 @@ class _Builder:
             self.root.attrs = {**attrs, **self.root.attrs}
             return
         if tag == "head":
-            if not self.in_body and not self.count.get("head"):
+            if not self.in_body and not self.places.get("head"):
                 self.push(Node("head", attrs))
             return
         if tag == "body":
@@ -183,7 +180,7 @@ class _Builder:
                 self.body()
                 self.open[-1].attrs = attrs
             return
-        if not self.in_body and tag not in HEAD_ONLY and not (tag in ("noscript", "template") and self.count.get("head")):
+        if not self.in_body and tag not in HEAD_ONLY and not (tag in ("noscript", "template") and self.places.get("head")):
             self.body()
         if tag in CLOSES_P:
             self.end(("p",), FENCES)
@@ -193,7 +190,7 @@ class _Builder:
             tags, fences = ENDS[tag]
             while (at := self.find(tags, fences)) > 0:
                 self.pop_to(at)
-        if tag in ("td", "th") and self.count.get("table") and self.open[-1].tag in ("table", "tbody", "thead", "tfoot"):
+        if tag in ("td", "th") and self.places.get("table") and self.open[-1].tag in ("table", "tbody", "thead", "tfoot"):
             self.start("tr", {})
         if tag == "tr" and self.open[-1].tag == "table":
             self.push(Node("tbody"))

@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from . import shingles as sh
 from .components import components
-from .runtime import durable, map_blocks
+from .runtime import durable, map_blocks, unused
 
 BANDS, ROWS = 48, 6
 #: Members of a bucket that one task compares with as many others, and the mean
@@ -243,5 +243,6 @@ def keep_one(docs: DataFrame, *, shingle_words: int = 5, percent: int = 80, id_c
     """All rows but those whose document links, directly or not, to one of a
     lesser id; rows with a null id stay.  All columns pass through."""
     found = near_duplicates(docs, shingle_words=shingle_words, percent=percent, id_col=id_col, text_col=text_col)
-    gone = found.where("not kept").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    name = unused("gone", docs)
+    gone = found.where("not kept").select(F.col("doc_id").alias(name))
+    return docs.join(gone, F.col(id_col).cast("long") == F.col(name), "left_anti")

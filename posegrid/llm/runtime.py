@@ -35,6 +35,14 @@ def shared_dir(spark: SparkSession) -> str:
     return conf
 
 
+def unused(name: str, *frames: DataFrame) -> str:
+    """The name, or a longer one that no column of these tables has."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Cut the lineage with a checkpoint in the shared folder."""
     spark = df.sparkSession

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .runtime import edit_rows, map_blocks
+from .runtime import edit_rows, map_blocks, unused
 
 RUN, LEAST_WORDS, LONG, ENOUGH, WINDOW = 3, 12, 24, 27, 16
 #: Runs that a task keeps from block to block, twice over.
@@ -223,15 +223,16 @@ def stripped(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All rows and columns, with repeated spans removed; a text of which
     nothing is left goes."""
+    own_id, rid, ranges = (unused(c, docs) for c in ("covered_id", "covered_rid", "covered_ranges"))
     covered = _covered(docs, id_col, text_col).select(
-        F.col("doc_id").alias("_id"), F.col("rid").alias("_rid"), F.col("ranges").alias("_ranges")
+        F.col("doc_id").alias(own_id), F.col("rid").alias(rid), F.col("ranges").alias(ranges)
     )
     joined = docs.join(
-        covered, (F.col(id_col).cast("long") == F.col("_id")) & (F.xxhash64(text_col) == F.col("_rid")), "left"
-    ).select(*docs.columns, "_ranges")
+        covered, (F.col(id_col).cast("long") == F.col(own_id)) & (F.xxhash64(text_col) == F.col(rid)), "left"
+    ).drop(own_id, rid)
 
     def cut(texts: list, ranges: list) -> tuple[list, list[bool]]:
         left = [t if r is None else strip(t, r)[0] for t, r in zip(texts, ranges)]
         return left, [r is None or bool(x.strip()) for x, r in zip(left, ranges)]
 
-    return edit_rows(joined, cut, text_col, "_ranges")
+    return edit_rows(joined, cut, text_col, ranges)

@@ -7,7 +7,7 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 
-from posegrid.llm import bpe, byte_bpe, decontaminate, html_text, language_id, pretoken, span_dedup, token_counts
+from posegrid.llm import bpe, byte_bpe, decontaminate, html_text, language_id, minhash, pretoken, span_dedup, token_counts
 
 JSON, RANKS = P.path("byte_bpe_50k.json"), P.path("byte_bpe_multi_50k.tiktoken")
 
@@ -118,3 +118,30 @@ def test_rows_of_one_id_and_wide_scripts(spark):
     rows = [(1, f"{passage} Own end a."), (1, f"{passage} Own end b."), (2, "今天的天气非常好。我们一起去公园散步吧。晚上再回来吃饭。"), (3, "開頭。今天的天气非常好。我们一起去公园散步吧。晚上再回来吃饭。")]
     left = sorted(r.text for r in span_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect())
     assert sum(passage in t for t in left) == 1 and sum("公园" in t for t in left) == 1
+
+
+@pytest.mark.parametrize("head, part, tail", [("<a><button>", "<i>", "</a>"), ("<form><button>", "<b>", "</form>"), ("<p><table><td>", "<u>", "</p>")])
+def test_html_time_grows_with_end_tags_that_a_fence_hides(head, part, tail):
+    began = time.process_time()
+    html_text.extract(head + part * 60_000 + "x" + tail * 60_000)
+    assert time.process_time() - began < 20
+
+
+CLASHING = "_id _rid _ranges _gone gone covered_id covered_rid covered_ranges key node first part tail text_".split()
+
+
+def test_columns_of_any_name_pass_through(spark):
+    """The pipeline's row filters keep columns that are named like their own."""
+    passage = "One sentence of the passage here. Another sentence of the passage there. And a third one that ends the whole passage now."
+    before = "Before it there stood quite some other words that differ from all the words of these."
+    texts = [passage, f"{before} {passage}", passage, "Nothing of the kind stands in this text of some words."]
+    rows = [(i, t, *range(len(CLASHING))) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{c} int" for c in CLASHING))
+    benchmark = spark.createDataFrame([(1, "Nothing of the kind stands in this text")], "item_id long, text string")
+    kept = minhash.keep_one(df)
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [0, 1, 3]
+    left = span_dedup.remove_repeats(df)
+    assert left.columns == df.columns and {r.doc_id: r.text.strip() for r in left.collect()} == {0: passage, 1: before, 3: texts[3]}
+    clean = decontaminate.keep_clean(df, benchmark)
+    assert clean.columns == df.columns and sorted(r.doc_id for r in clean.collect()) == [0, 1, 2]
+    assert [tuple(r)[2:] for r in left.collect()] == [tuple(range(len(CLASHING)))] * 3
