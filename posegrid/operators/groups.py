@@ -13,8 +13,9 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ..functions import kernels, rle
+from ..functions import hull, kernels, rle
 
 
 def fuse_instances(points: DataFrame, *, limit: float = 0.3, every: bool = False, fixpoint: bool = True) -> DataFrame:
@@ -157,17 +158,18 @@ def mask_stats(masks: DataFrame, *, area: int = 16, radius: int = 1) -> DataFram
 
 def fit_boxes(points: DataFrame, *, principal: bool = False) -> DataFrame:
     """One oriented box for each group (group_id, x, y, z) of three points or
-    more: small, or along the principal axes."""
+    more: of least volume, or along the principal axes."""
+    names = ["group_id", "n", "cx", "cy", "cz", "ex", "ey", "ez"]
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         cloud = kernels.trim(rows.sort_values(["x", "y", "z"])[["x", "y", "z"]].to_numpy(dtype=float))
-        names = ["group_id", "n", "cx", "cy", "cz", "ex", "ey", "ez"]
         if len(cloud) < 3:
             return pd.DataFrame([], columns=names)
-        center, _, extents = kernels.pca_box(cloud) if principal else kernels.fit_box(cloud, 8)
+        center, _, extents = kernels.pca_box(cloud) if principal else hull.least_box(cloud)
         return pd.DataFrame([(rows["group_id"].iloc[0], len(cloud), *center, *extents)], columns=names)
 
-    return points.groupBy("group_id").applyInPandas(run, "group_id long, n long, " + ", ".join(f"{c} double" for c in "cx cy cz ex ey ez".split()))
+    cols = points.select("group_id", *[F.col(c).cast("double").alias(c) for c in "xyz"])
+    return by_group(cols, "group_id", "x", run, "group_id long, n long, " + ", ".join(f"{c} double" for c in "cx cy cz ex ey ez".split()))
 
 
 def oriented_overlaps(pairs: DataFrame, *, least: float = 0.3) -> DataFrame:
