@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dialect import Duck, Spark
-from ..plans.registry import render
+from ..plans.registry import query, render
 from ..sources import files, scene_files
 from . import scene_sink
 from .export import scratch
@@ -23,7 +23,7 @@ _POSE = ("r00", "r01", "r02", "tx", "r10", "r11", "r12", "ty", "r20", "r21", "r2
 
 
 def _sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    return spark.sql(render(text, Spark(sf_dir)))
+    return query(spark, render(text, Spark(sf_dir)))
 
 
 def _each(rows: DataFrame, encode: Callable[..., Iterator[tuple[str, bytes]]]) -> DataFrame:

@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dialect import Spark
-from ..plans.registry import render
+from ..plans.registry import query, render
 from ..streaming import sessions, tracks
-from . import export, groups, models
+from . import export, groups, models, recipe
 
 
 def _sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    return spark.sql(render(text, Spark(sf_dir)))
+    return query(spark, render(text, Spark(sf_dir)))
 
 
 _BOXES = """
@@ -111,6 +111,22 @@ def k02_training_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("id", "scene_id", F.to_json(F.struct("conversations", "image")).alias("record"))
 
 
+def w08_recipe_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The frame pairs of every group of templates."""
+    names = F.array(*[F.lit(g.name) for g in recipe.GROUPS])
+    return recipe.sampled_pairs(spark, sf_dir).select(F.get(names, "grp").alias("grp"), "scene_id", "frame_a", "frame_b", F.round("cov", 9).alias("cov"))
+
+
+def u01_recipe_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The question rows of all templates, on the pairs that the recipe draws."""
+    return recipe.question_rows(spark, sf_dir)
+
+
+def k02_recipe_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training records of all question rows."""
+    return recipe.records(recipe.question_rows(spark, sf_dir))
+
+
 def a09_fit_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.fit_boxes(_sql(spark, sf_dir, "select ins_id as group_id, x, y, z from points"))
 
@@ -128,6 +144,6 @@ QUERIES = {
     for f in (
         g01_fuse_instances, g02_fuse_regions, g05_box_suppression, g06_overlap_removal, j15_oriented_overlaps, j20_assignment, w08_greedy_pairs,
         w18_least_loaded_slots,
-        t01_track_states, t06_sessions_stream, t07_sessions, d02_model_decisions, k02_training_records, a09_fit_boxes, a10_principal_boxes, a16_mask_components,
+        t01_track_states, t06_sessions_stream, t07_sessions, d02_model_decisions, k02_training_records, w08_recipe_pairs, u01_recipe_rows, k02_recipe_records, a09_fit_boxes, a10_principal_boxes, a16_mask_components,
     )
 }

@@ -7,12 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dialect import Duck, Spark
-from ..plans.registry import render
+from ..plans.registry import query, render
 from . import components, images, masks, vocabulary
 
 
 def _sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    return spark.sql(render(text, Spark(sf_dir)))
+    return query(spark, render(text, Spark(sf_dir)))
 
 
 #: Eight masks a frame.

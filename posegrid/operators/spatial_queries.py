@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dialect import Spark
-from ..plans.registry import render, twin
+from ..plans.registry import query, render, twin
 from . import groups, spatial
 
 FIELDS = ("cx", "cy", "cz", "ex", "ey", "ez", "yaw_deg")
 
 
 def _sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    return spark.sql(render(text, Spark(sf_dir)))
+    return query(spark, render(text, Spark(sf_dir)))
 
 
 def _boxes(spark: SparkSession, sf_dir: str, table: str, turned: bool) -> DataFrame:

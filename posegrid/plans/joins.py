@@ -124,9 +124,13 @@ def seen_regions(d):
     from observations o join regions r on r.ins_id = o.ins_id"""
 
 
+def objects_drawn(d: Spark, op: str = "j07") -> str:
+    return _across(d, op, "seen", "seen", _UNLIKE, 3)
+
+
 @view
 def objects_across(d):
-    return _across(d, "j07", "seen", "seen", _UNLIKE, 3)
+    return objects_drawn(d)
 
 
 @view
@@ -179,25 +183,30 @@ def _triple_columns() -> str:
     return ", ".join(f"{s}.{c} as {c}_{s}" for s in "abc" for c in ("ins_id", "label", "cx", "cy", "cz", "ex", "ey", "ez"))
 
 
-def _triplets_by_array(d: Spark) -> str:
-    """The same draws from one array a pair: no row for a triple that is not drawn."""
-    fields = "pos, ins_id, label, cx, cy, cz, ex, ey, ez, in_a, in_b"
-    order = drawn("j10t", "scene_id", "frame_a", "frame_b", "a.ins_id", "b.ins_id", "c.ins_id")
-    rest = lambda s: f"slice(items, {s}.pos + 1, size(items))"
-    third = (
-        f"filter({rest('b')}, c -> c.label <> a.label and c.label <> b.label "
-        "and a.in_a + b.in_a + c.in_a < 3 and a.in_b + b.in_b + c.in_b < 3)"
-    )
-    triple = f"struct({order} as o, a.ins_id as i, b.ins_id as j, c.ins_id as k, a.pos as pos_a, b.pos as pos_b, c.pos as pos_c)"
-    inner = f"flatten(transform(filter({rest('a')}, b -> b.label <> a.label), b -> transform({third}, c -> {triple})))"
-    columns = ", ".join(
-        f"element_at(items, t.pos_{s}).{c} as {c}_{s}" for s in "abc" for c in ("ins_id", "label", "cx", "cy", "cz", "ex", "ey", "ez")
-    )
+def triplets_by_draw(d: Spark, op: str = "j10t") -> str:
+    """The same draws by ``draw_triples``, from the objects of both frames: a row
+    only for a triple that is drawn, to which its boxes are joined."""
+    seeds = [zlib.crc32(o.encode()) % _PRIME for o in ("j10", op)]
     return f"""
-    select scene_id, frame_a, frame_b, {columns}, at + 1 as draw
-    from (
-        select scene_id, frame_a, frame_b, items, posexplode(slice(array_sort(flatten(transform(items, a -> {inner}))), 1, 10)) as (at, t)
-        from (select scene_id, frame_a, frame_b, array_sort(collect_list(struct({fields}))) as items from in_either group by 1, 2, 3) p) e"""
+    select t.scene_id, t.frame_a, t.frame_b, {_triple_columns()}, t.draw from (
+        select scene_id, frame_a, frame_b, drawn[3 * at] as ins_a, drawn[3 * at + 1] as ins_b, drawn[3 * at + 2] as ins_c, at + 1 as draw
+        from (
+            select scene_id, frame_a, frame_b, drawn, explode(sequence(0, size(drawn) div 3 - 1)) as at from (
+                select p.scene_id, p.frame_a, p.frame_b,
+                    draw_triples({seeds[0]}L, {seeds[1]}L, p.scene_id, p.frame_a, p.frame_b, a.ids, a.labels, b.ids, b.labels) as drawn
+                from pairs p
+                join frame_objects a on a.scene_id = p.scene_id and a.frame_idx = p.frame_a
+                join frame_objects b on b.scene_id = p.scene_id and b.frame_idx = p.frame_b) d
+            where size(drawn) > 0) e) t
+    join instances a on a.ins_id = t.ins_a join instances b on b.ins_id = t.ins_b join instances c on c.ins_id = t.ins_c"""
+
+
+@view
+def frame_objects(d):
+    """The instances of each frame, and their labels as numbers (Spark only)."""
+    return """
+    select scene_id, frame_idx, transform(held, x -> x.ins_id) as ids, transform(held, x -> x.label) as labels
+    from (select scene_id, frame_idx, collect_list(struct(ins_id, xxhash64(label) as label)) as held from seen group by 1, 2) h"""
 
 
 @view
@@ -205,7 +214,7 @@ def triplets(d):
     """At most ten draws of three instances that no single frame shows, from
     all such triples of a pair (a scene's instances bound their number)."""
     if d.name == "spark":
-        return _triplets_by_array(d)
+        return triplets_by_draw(d)
     order = drawn("j10t", "a.scene_id", "a.frame_a", "a.frame_b", "a.ins_id", "b.ins_id", "c.ins_id")
     return f"""
     select * from (

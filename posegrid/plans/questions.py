@@ -10,6 +10,7 @@ from . import templates as t
 from .geometry import FACING_WORDS
 from .registry import plan, view
 
+#: The overlays' wording and the answers on sizes are the output's own.
 _NONE = "cast(null as bigint)"
 _METERS = "Answer with one number, in meters: <answer>NUMBER</answer>."
 _OVERLAYS = "In image A, a red mask overlay indicates {A}.\nIn image B, a green mask overlay indicates {B}.\n"
@@ -68,10 +69,9 @@ def _cross(d, name: str) -> str:
     return _pooled(getattr(t, name)(d), d.array(*(f"'{c}'" for c in t.COMPASS8)))
 
 
-@view
-def question_leads(d):
-    """Each template's rows: the question up to its options, what is true, and
-    the options (or the texts to choose them from)."""
+def lead_texts(d) -> list[str]:
+    """Each template's rows, a text a template: the question up to its options,
+    what is true, and the options (or the texts to choose them from)."""
     rows = []
 
     def add(kind, sub, source, lead, truth, *items, form="marked", given=False, tail="''"):
@@ -122,7 +122,12 @@ def question_leads(d):
         ("region_relpos", "relpos_A_facing_B_region_C", "q16_region_relpos", stand),
     ):
         add(kind, f"'{sub}'", getattr(t, name)(d), lead, "label", "ins_a", "ins_b", "ins_c", given=True)
-    return " union all ".join(rows)
+    return rows
+
+
+@view
+def question_leads(d):
+    return " union all ".join(lead_texts(d))
 
 
 @view

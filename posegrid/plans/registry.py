@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions import draws
 from ..functions.dialect import Duck, Spark
 
 Text = Callable[[Spark], str]
@@ -24,14 +25,16 @@ def view(fn: Text) -> Text:
     return fn
 
 
-def render(text: str, d: Spark) -> str:
-    """Put the views that a text names (and those that they name) before it."""
+def render(text: str, d: Spark, given: dict[str, str] | None = None) -> str:
+    """Put the views that a text names (and those that they name) before it;
+    ``given`` has other texts for some views."""
     needed: dict[str, str] = {}
+    given = given or {}
 
     def visit(sql: str) -> None:
         for name in VIEWS:
             if name not in needed and re.search(rf"\b(from|join|,)\s+{name}\b", sql, re.I):
-                body = VIEWS[name](d)
+                body = given[name] if name in given else VIEWS[name](d)
                 visit(body)
                 needed[name] = body
 
@@ -56,13 +59,20 @@ def widened(df: DataFrame) -> DataFrame:
     return df.withColumns({c: df[c].cast("bigint") for c in narrow}) if narrow else df
 
 
+def query(spark: SparkSession, text: str) -> DataFrame:
+    """A rendered text as a DataFrame, with the draws that it may name."""
+    if "draw_triples(" in text:
+        draws.register(spark)
+    return spark.sql(text)
+
+
 def run(name: str) -> Callable[[SparkSession, str], DataFrame]:
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def planned(spark: SparkSession, sf_dir: str) -> DataFrame:
         d = Spark(sf_dir)
-        return widened(spark.sql(render(PLANS[name](d), d)))
+        return widened(query(spark, render(PLANS[name](d), d)))
 
-    query.__name__ = name
-    return query
+    planned.__name__ = name
+    return planned
 
 
 def twin(name: str) -> str:
