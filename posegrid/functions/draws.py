@@ -15,65 +15,95 @@ PRIME, FACTOR = 2147483647, 48271
 #: Triples of a pair that are drawn, and those looked at for them.
 MOST, AHEAD = 10, 24
 #: Candidate triples held at once.
-CELLS = 1 << 20
+CELLS = 1 << 17
 
 
-def hashed(seed: np.ndarray, *keys: np.ndarray, last: bool = True) -> np.ndarray:
-    """The draw's number for keys, taken in turn; not yet squared unless ``last``."""
-    for k in keys:
-        seed = (seed + k % PRIME) * FACTOR % PRIME
-    return seed * seed % PRIME if last else seed
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """Numbers below 2^62 modulo 2^31 - 1, by folding."""
+    x = (x & PRIME) + (x >> 31)
+    x = (x & PRIME) + (x >> 31)
+    return np.where(x >= PRIME, x - PRIME, x)
 
 
-@functools.lru_cache(maxsize=256)
-def _places(n: int) -> np.ndarray:
-    return np.array(list(itertools.combinations(range(n), 3)), dtype=np.int16).reshape(-1, 3).T
+def hashed(seed: np.ndarray, *keys: np.ndarray) -> np.ndarray:
+    """The draw's number for keys (below the modulus), taken in turn; not yet squared."""
+    for k in keys:
+        seed = _reduced((seed + k) * FACTOR)
+    return seed
 
 
-def _first(order: np.ndarray, i: np.ndarray, j: np.ndarray, k: np.ndarray) -> np.ndarray:
-    """Places of the first valid triples by draw, then ids (invalid ones are at the modulus)."""
-    if len(order) > AHEAD:
-        some = np.argpartition(order, AHEAD - 1)[:AHEAD]
-        if order[some].max() == np.sort(order[some])[MOST - 1] < PRIME:  # ties reach beyond them
-            some = np.arange(len(order))
-    else:
-        some = np.arange(len(order))
-    some = some[order[some] < PRIME]
-    return some[np.lexsort((k[some], j[some], i[some], order[some]))[:MOST]]
+@functools.lru_cache(maxsize=256)
+def _places(n: int) -> tuple[np.ndarray, ...]:
+    """Of n objects: both places of all pairs, and of all triples the third place
+    and the numbers of its pairs (first and second, first and third, second and third)."""
+    low, high = np.triu_indices(n, 1)
+    number = np.zeros((n, n), dtype=np.intp)
+    number[low, high] = np.arange(len(low))
+    x, y, z = np.array(list(itertools.combinations(range(n), 3)), dtype=np.intp).reshape(-1, 3).T
+    return low, high, x, y, z, number[x, y], number[x, z], number[y, z]
+
+
+def _block(numbers: list[np.ndarray], first: int, second: int, ids: np.ndarray, labels: np.ndarray, where: np.ndarray) -> list[list[int]]:
+    """The triples of pairs with equally many objects (ids ascending; ``where``: 1
+    in frame a, 2 in b, 3 in both)."""
+    keys = [v[:, None] for v in numbers]
+    seed = np.full((len(ids), 1), first, dtype=np.int64)
+    draw = hashed(seed, *keys, ids % PRIME)
+    turn = np.argsort(_reduced(draw * draw), axis=1, kind="stable")  # ties by id
+    ids, labels, where = (np.take_along_axis(v, turn, axis=1) for v in (ids, labels, where))
+    low, high, x, y, z, xy, xz, yz = _places(ids.shape[1])
+    take = functools.partial(np.take, axis=1)
+    small = ids % PRIME
+    head = hashed(np.full((len(ids), 1), second, dtype=np.int64), *keys, small)
+    two = hashed(take(head, low), take(small, high))
+    order = hashed(take(two, xy), take(small, z))
+    order = _reduced(order * order)
+    unlike = take(labels, low) != take(labels, high)
+    shared = take(where, low) & take(where, high)
+    fits = take(unlike, xy) & take(unlike, xz) & take(unlike, yz) & ((take(shared, xy) & take(where, z)) == 0)
+    order = np.where(fits, order, PRIME).astype(np.int32)
+
+    few = min(AHEAD, order.shape[1])
+    some = np.argpartition(order, few - 1, axis=1)[:, :few]
+    value = np.take_along_axis(order, some, axis=1)
+    rank = np.lexsort((*(np.take_along_axis(ids, p[some], axis=1) for p in (z, y, x)), value), axis=1)[:, :MOST]
+    best, value = np.take_along_axis(some, rank, axis=1), np.take_along_axis(value, rank, axis=1)
+    if few < order.shape[1]:  # where ties reach beyond those looked at, look at all
+        last = np.take_along_axis(order, some, axis=1).max(axis=1)
+        for r in np.flatnonzero((last == value[:, -1]) & (last < PRIME)):
+            best[r] = np.lexsort((ids[r][z], ids[r][y], ids[r][x], order[r]))[:MOST]
+            value[r] = order[r][best[r]]
+    drawn = np.stack([np.take_along_axis(ids, p[best], axis=1) for p in (x, y, z)], axis=2).reshape(len(ids), -1)
+    n = 3 * (value < PRIME).sum(axis=1)
+    return [d[:k] for d, k in zip(drawn.tolist(), n.tolist())]
 
 
 def triples(first: int, second: int, scene: np.ndarray, a: np.ndarray, b: np.ndarray, ids_a, labels_a, ids_b, labels_b) -> list[list[int]]:
     """For each pair of frames a and b of a scene, at most ten triples, end to end:
     objects of either frame in a drawn order (seed ``first``), three unlike labels, not
     all in a frame; by a second draw (``second``)."""
-    out: list[list[int]] = [[] for _ in range(len(scene))]
-    groups: dict[int, list[tuple]] = {}
-    for row in range(len(scene)):
-        ids, at = np.unique(np.concatenate((ids_a[row], ids_b[row])), return_index=True)
-        if len(ids) < 3:
-            continue
-        labels = np.concatenate((labels_a[row], labels_b[row]))[at]
-        groups.setdefault(len(ids), []).append((row, ids, labels, np.isin(ids, ids_a[row]), np.isin(ids, ids_b[row])))
-    for n, rows in groups.items():
-        x, y, z = _places(n)
-        step = max(1, CELLS // len(x))
+    out: list[list[int]] = [[]] * len(scene)
+    groups: dict[int, tuple[list[int], list[int], list[int], list[int]]] = {}
+    for row, (ia, la, ib, lb) in enumerate(zip(ids_a, labels_a, ids_b, labels_b)):
+        held = {i: (label, 1) for i, label in zip(ia.tolist(), la.tolist())}
+        for i, label in zip(ib.tolist(), lb.tolist()):
+            held[i] = (label, 3 if i in held else 2)
+        if len(held) > 2:
+            rows, ids, labels, where = groups.setdefault(len(held), ([], [], [], []))
+            rows.append(row)
+            for i in sorted(held):
+                ids.append(i)
+                labels.append(held[i][0])
+                where.append(held[i][1])
+    numbers = [v.astype(np.int64) % PRIME for v in (scene, a, b)]
+    for n, (rows, *columns) in groups.items():
+        ids, labels, where = (np.array(c, dtype=t).reshape(-1, n) for c, t in zip(columns, (np.int64, np.int64, np.uint8)))
+        step = max(1, CELLS // max(1, n * (n - 1) * (n - 2) // 6))
         for at in range(0, len(rows), step):
             part = rows[at : at + step]
-            place = np.array([r[0] for r in part])
-            ids, labels, in_a, in_b = (np.stack([r[k] for r in part]) for k in (1, 2, 3, 4))
-            keys = [v[place].astype(np.int64)[:, None] for v in (scene, a, b)]
-            seed = np.full((len(part), 1), first, dtype=np.int64)
-            turn = np.argsort(hashed(seed, *keys, ids), axis=1, kind="stable")  # ids are sorted: ties by id
-            ids, labels, in_a, in_b = (np.take_along_axis(v, turn, axis=1) for v in (ids, labels, in_a, in_b))
-            head = hashed(np.full((len(part), 1), second, dtype=np.int64), *keys, ids, last=False)
-            i, j, k = ids[:, x], ids[:, y], ids[:, z]
-            order = hashed(head[:, x], j, k)
-            fits = (labels[:, x] != labels[:, y]) & (labels[:, x] != labels[:, z]) & (labels[:, y] != labels[:, z])
-            fits &= ~(in_a[:, x] & in_a[:, y] & in_a[:, z]) & ~(in_b[:, x] & in_b[:, y] & in_b[:, z])
-            order = np.where(fits, order, PRIME)
-            for r in range(len(part)):
-                best = _first(order[r], i[r], j[r], k[r])
-                out[part[r][0]] = np.column_stack((i[r][best], j[r][best], k[r][best])).ravel().tolist()
+            found = _block([v[part] for v in numbers], first, second, ids[at : at + step], labels[at : at + step], where[at : at + step])
+            for row, drawn in zip(part, found):
+                out[row] = drawn
     return out
 
 
