@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dialect import Spark
-from ..plans.registry import query, render
+from ..plans.registry import PLANS, query, render
 from ..streaming import sessions, tracks
 from . import export, groups, models, recipe
 
@@ -127,6 +127,18 @@ def k02_recipe_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recipe.records(recipe.question_rows(spark, sf_dir))
 
 
+def u01_recipe_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plan of this name, a template at a time."""
+    return recipe.each_template(spark, sf_dir, PLANS["u01_recipe_union"](Spark(sf_dir)), "union")
+
+
+def a13_type_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plan of this name, a template at a time."""
+    text = "select question_type, sub_question_type, count(*) as n from question_leads group by 1, 2"
+    counts = recipe.each_template(spark, sf_dir, text, "rollup").rollup("question_type", "sub_question_type").agg(F.sum("n").alias("n"))
+    return counts.select(F.coalesce("question_type", F.lit("*")).alias("type"), F.coalesce("sub_question_type", F.lit("*")).alias("sub"), "n")
+
+
 def a09_fit_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.fit_boxes(_sql(spark, sf_dir, "select ins_id as group_id, x, y, z from points"))
 
@@ -144,6 +156,6 @@ QUERIES = {
     for f in (
         g01_fuse_instances, g02_fuse_regions, g05_box_suppression, g06_overlap_removal, j15_oriented_overlaps, j20_assignment, w08_greedy_pairs,
         w18_least_loaded_slots,
-        t01_track_states, t06_sessions_stream, t07_sessions, d02_model_decisions, k02_training_records, w08_recipe_pairs, u01_recipe_rows, k02_recipe_records, a09_fit_boxes, a10_principal_boxes, a16_mask_components,
+        t01_track_states, t06_sessions_stream, t07_sessions, d02_model_decisions, k02_training_records, w08_recipe_pairs, u01_recipe_rows, u01_recipe_union, a13_type_rollup, k02_recipe_records, a09_fit_boxes, a10_principal_boxes, a16_mask_components,
     )
 }
