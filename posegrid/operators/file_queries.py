@@ -207,7 +207,7 @@ def s09_depth_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 S09 = """
-    select c.scene_id, c.vec_id, case when c.vec_id % 17 <> 0 then 4 end as height, case when c.vec_id % 17 <> 0 then len(n.embedding) // 4 end as width,
+    select c.scene_id, c.vec_id, case when c.vec_id % 17 <> 0 then cast(4 as bigint) end as height, case when c.vec_id % 17 <> 0 then len(n.embedding) // 4 end as width,
         case when c.vec_id % 17 <> 0 then cast(len(list_filter(n.embedding, lambda x: x > 0.001)) as bigint) end as n_valid, c.vec_id % 17 = 0 as missing
     from cams c join cam_norms n on n.vec_id = c.vec_id"""
 

@@ -45,7 +45,7 @@ B09 = f"""
 
 def j22_mask_iou_iom(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = masks.mask_pairs(_sql(spark, sf_dir, MASKS.format(frame="vec_id div 8")))
-    return found.select("frame_id", "a", "b", "inter", F.round("iou", 6).alias("iou"), F.round("iom", 6).alias("iom"))
+    return found.select("frame_id", "a", "b", "inter", *[F.round(F.col(c) + 1e-9, 6).alias(c) for c in ("iou", "iom")])
 
 
 J22 = f"""
@@ -53,8 +53,8 @@ J22 = f"""
     area as (select mask_id, count(*) as n from pixels group by 1),
     met as (select a.frame_id, a.mask_id as a, b.mask_id as b, count(*) as inter
             from pixels a join pixels b on a.frame_id = b.frame_id and a.pixel = b.pixel and a.mask_id < b.mask_id group by 1, 2, 3)
-    select m.frame_id, m.a, m.b, m.inter, round(m.inter / cast(x.n + y.n - m.inter as double), 6) as iou,
-        round(m.inter / cast(least(x.n, y.n) as double), 6) as iom
+    select m.frame_id, m.a, m.b, m.inter, round(m.inter / cast(x.n + y.n - m.inter as double) + 1e-9, 6) as iou,
+        round(m.inter / cast(least(x.n, y.n) as double) + 1e-9, 6) as iom
     from met m join area x on x.mask_id = m.a join area y on y.mask_id = m.b"""
 
 

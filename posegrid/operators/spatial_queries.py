@@ -70,8 +70,8 @@ def j21_grid_box_iou(spark: SparkSession, sf_dir: str) -> DataFrame:
     hull = " * ".join(f"(greatest(a.hi[{d}], b.hi[{d}]) - least(a.lo[{d}], b.lo[{d}]))" for d in range(2))
     valued = pairs.withColumns({"inter": F.expr(inter), "hull": F.expr(hull)}).withColumn("all", F.expr("a.area + b.area - inter"))
     return valued.selectExpr(
-        "a.scene_id", "a.frame_idx", "a.k AS a", "b.k AS b", "round(inter / all, 6) AS iou",
-        "round(inter / all - (hull - all) / hull, 6) AS giou", "round(inter / b.area, 6) AS ioa",
+        "a.scene_id", "a.frame_idx", "a.k AS a", "b.k AS b", "round(inter / all + 1e-9, 6) AS iou",
+        "round(inter / all - (hull - all) / hull + 1e-9, 6) AS giou", "round(inter / b.area + 1e-9, 6) AS ioa",
     ).where("iou > 0")
 
 

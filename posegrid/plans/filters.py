@@ -17,7 +17,11 @@ def f01_valid_frames(d):
 
 @plan
 def f02_ignore_labels(d):
-    return "select ins_id, label from instances where lower(label) not in ('wall', 'floor', 'ceiling')"
+    """Three of a scene's instances stand for its wall, floor and ceiling."""
+    return """
+    select ins_id, label from (
+        select ins_id, case ins_id % 20 when 0 then 'wall' when 1 then 'Floor' when 2 then 'CEILING' else label end as label from instances) i
+    where lower(label) not in ('wall', 'floor', 'ceiling')"""
 
 
 @plan
@@ -142,7 +146,7 @@ def u03_first_wins(d):
 @plan
 def u05_scene_difference(d):
     return """
-    select distinct scene_id from instances except select scene_id from observations where score >= 0.99e0"""
+    select distinct scene_id from instances except select scene_id from observations where ins_id % 20 = 3 and score >= 0.98e0"""
 
 
 @plan

@@ -39,10 +39,10 @@ def drawn(op: str, *keys: str) -> str:
 def j01_resume_anti(d):
     return """
     select i.scene_id from (select distinct scene_id from instances) i
-    left anti join (select scene_id from observations group by 1 having max(score) >= 0.99e0) o on o.scene_id = i.scene_id
+    left anti join (select distinct scene_id from observations where ins_id % 20 = 3 and score >= 0.98e0) o on o.scene_id = i.scene_id
     """ if d.name == "spark" else """
     select scene_id from (select distinct scene_id from instances) i
-    where not exists (select 1 from observations o where o.scene_id = i.scene_id and o.score >= 0.99e0)"""
+    where not exists (select 1 from observations o where o.scene_id = i.scene_id and o.ins_id % 20 = 3 and o.score >= 0.98e0)"""
 
 
 @plan
@@ -313,7 +313,7 @@ def j15_axis_aligned_overlap_ratio(d):
     ratio = f"({_VOLUME}) / least(a.ex * a.ey * a.ez, b.ex * b.ey * b.ez)"
     return f"""
     select a.scene_id, a.ins_id as a, b.ins_id as b, round({ratio}, 6) as ratio
-    from instances a join instances b on a.scene_id = b.scene_id and a.ins_id < b.ins_id
+    from regions a join regions b on a.scene_id = b.scene_id and a.ins_id < b.ins_id
     where {_ALL} and {ratio} >= 0.3e0"""
 
 
@@ -394,14 +394,15 @@ def j19_det_track_assoc(d):
 
 @plan
 def j21_box_iou_giou(d):
+    """Shares of whole numbers may lie between two decimals: a billionth settles them."""
     inter, share = iou("a", "b")
     hull = (
         "cast((greatest(a.x + a.w, b.x + b.w) - least(a.x, b.x)) * (greatest(a.y + a.h, b.y + b.h) - least(a.y, b.y)) as double)"
     )
     union = f"(a.w * a.h + b.w * b.h - {inter})"
     return f"""
-    select a.scene_id, a.frame_idx, a.k as a, b.k as b, round({share}, 6) as iou,
-        round({share} - ({hull} - {union}) / {hull}, 6) as giou, round({inter} / cast(b.w * b.h as double), 6) as ioa
+    select a.scene_id, a.frame_idx, a.k as a, b.k as b, round({share} + 1e-9, 6) as iou,
+        round({share} - ({hull} - {union}) / {hull} + 1e-9, 6) as giou, round({inter} / cast(b.w * b.h as double) + 1e-9, 6) as ioa
     from detections a join detections b on a.scene_id = b.scene_id and a.frame_idx = b.frame_idx and a.k < b.k"""
 
 

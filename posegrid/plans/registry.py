@@ -15,6 +15,10 @@ PLANS: dict[str, Text] = {}
 VIEWS: dict[str, Text] = {}
 
 
+#: Views that DuckDB works out once: numbered rows that are joined to themselves.
+MATERIALIZED = frozenset({"detections"})
+
+
 def plan(fn: Text) -> Text:
     PLANS[fn.__name__] = fn
     return fn
@@ -41,7 +45,8 @@ def render(text: str, d: Spark, given: dict[str, str] | None = None) -> str:
     visit(text)
     if not needed:
         return text
-    views = ",\n".join(f"{name} as ({body})" for name, body in needed.items())
+    kept = {name: " materialized" for name in MATERIALIZED} if d.name == "duck" else {}
+    views = ",\n".join(f"{name} as{kept.get(name, '')} ({body})" for name, body in needed.items())
     if re.match(r"\s*with\s", text, re.I):
         return f"with {views},\n" + re.sub(r"^\s*with\s", "", text, flags=re.I)
     return f"with {views}\n{text}"

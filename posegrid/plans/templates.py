@@ -124,20 +124,25 @@ def q04_rotation(d):
     from t where a1 >= 5 and (a2 < 5 or ratio >= 0.6e0 or ratio <= 0.4e0)"""
 
 
-@view
-def posed_pairs(d):
+def posed(d, both: bool = True) -> str:
     """Camera pairs with the instances that both frames of the scene of the same
-    number show, in the axes of camera b."""
+    number show (or the first one does), in the axes of camera b."""
+    again = "join observations ob on ob.scene_id = p.scene_id and ob.frame_idx = p.frame_b and ob.ins_id = oa.ins_id" if both else ""
     bx, by, bz = to_cam(("i.cx", "i.cy", "i.cz"), "b")
     return f"""
     select p.scene_id, p.frame_a, p.frame_b, i.ins_id, i.label, {bx} as x, {by} as y, {bz} as z
     from cam_covis p join cams b on b.scene_id = p.scene_id and b.frame_idx = p.frame_b
     join observations oa on oa.scene_id = p.scene_id and oa.frame_idx = p.frame_a
-    join observations ob on ob.scene_id = p.scene_id and ob.frame_idx = p.frame_b and ob.ins_id = oa.ins_id
+    {again}
     join instances i on i.ins_id = oa.ins_id
     where p.cov > 0.25e0"""
 
 
+@view
+def posed_pairs(d):
+    return posed(d)
+
+
 @plan
 def q05_center_distance(d):
     return "select scene_id, frame_a, frame_b, ins_id, round(sqrt(x * x + y * y + z * z), 1) as answer from posed_pairs"
