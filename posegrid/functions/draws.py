@@ -1,4 +1,4 @@
-"""Seeded draws of object triples for many frame pairs at once, in numpy."""
+"""Seeded draws of objects for many frame pairs at once, in numpy."""
 
 from __future__ import annotations
 
@@ -107,8 +107,61 @@ def triples(first: int, second: int, scene: np.ndarray, a: np.ndarray, b: np.nda
     return out
 
 
+def _padded(lists: list[np.ndarray], width: int) -> np.ndarray:
+    """Lists as rows of a table, zeros after their ends."""
+    sizes = np.array([len(x) for x in lists])
+    out = np.zeros((len(lists), width), dtype=np.int64)
+    out[np.arange(width) < sizes[:, None]] = np.concatenate([np.zeros(0, dtype=np.int64), *lists])
+    return out
+
+
+def couples(seed: int, most: int, scene: np.ndarray, a: np.ndarray, b: np.ndarray, ids_a, labels_a, ids_b, labels_b) -> list[list[int]]:
+    """For each pair of frames a and b of a scene, at most ``most`` couples of an object of
+    each, end to end: not the same one, unlike labels; by a draw."""
+    sizes = np.array([[len(x), len(y)] for x, y in zip(ids_a, ids_b)]).reshape(-1, 2)
+    out: list[list[int]] = [[]] * len(scene)
+    order = np.argsort(sizes.max(axis=1), kind="stable")  # alike in size together: little padding
+    order = order[sizes[order].min(axis=1) > 0]
+    numbers = [v.astype(np.int64) % PRIME for v in (scene, a, b)]
+    at = 0
+    while at < len(order):
+        widest = int(sizes[order[min(at + 1024, len(order)) - 1]].max())
+        part = order[at : at + max(1, min(1024, CELLS // (widest * widest)))]
+        at += len(part)
+        wide = sizes[part].max(axis=0)
+        ia, la = (_padded([v[r] for r in part], wide[0]) for v in (ids_a, labels_a))
+        ib, lb = (_padded([v[r] for r in part], wide[1]) for v in (ids_b, labels_b))
+        head = hashed(np.full((len(part), 1), seed, dtype=np.int64), *(v[part][:, None] for v in numbers), ia % PRIME)
+        draw = hashed(head[:, :, None], (ib % PRIME)[:, None])
+        draw = _reduced(draw * draw)
+        fits = (np.arange(wide[0]) < sizes[part][:, :1])[:, :, None] & (np.arange(wide[1]) < sizes[part][:, 1:])[:, None]
+        fits &= (ia[:, :, None] != ib[:, None]) & (la[:, :, None] != lb[:, None])
+        flat = np.where(fits, draw, PRIME).reshape(len(part), -1)
+        few = min(most + 5, flat.shape[1])
+        some = np.argpartition(flat, few - 1, axis=1)[:, :few]
+        for r, row in enumerate(part.tolist()):
+            at_r, value = some[r], flat[r][some[r]]
+            if few < flat.shape[1] and np.sort(value)[min(most, few) - 1] == value.max() < PRIME:  # ties reach further
+                at_r, value = np.arange(flat.shape[1]), flat[r]
+            at_r, value = at_r[value < PRIME], value[value < PRIME]
+            left, right = ia[r][at_r // wide[1]], ib[r][at_r % wide[1]]
+            best = np.lexsort((right, left, value))[:most]
+            out[row] = np.column_stack((left[best], right[best])).ravel().tolist()
+    return out
+
+
 def register(spark: SparkSession) -> None:
-    """``draw_triples`` for SQL texts."""
+    """``draw_triples`` and ``draw_couples`` for SQL texts."""
+
+    @pandas_udf("array<bigint>")
+    def draw_couples(
+        seed: pd.Series, most: pd.Series, scene: pd.Series, a: pd.Series, b: pd.Series,
+        ids_a: pd.Series, labels_a: pd.Series, ids_b: pd.Series, labels_b: pd.Series,
+    ) -> pd.Series:
+        if not len(scene):
+            return pd.Series([], dtype=object)
+        numbers = [v.to_numpy() for v in (scene, a, b)]
+        return pd.Series(couples(int(seed.iloc[0]), int(most.iloc[0]), *numbers, *(v.to_list() for v in (ids_a, labels_a, ids_b, labels_b))))
 
     @pandas_udf("array<bigint>")
     def draw_triples(
@@ -121,3 +174,4 @@ def register(spark: SparkSession) -> None:
         return pd.Series(triples(int(first.iloc[0]), int(second.iloc[0]), *numbers, *(v.to_list() for v in (ids_a, labels_a, ids_b, labels_b))))
 
     spark.udf.register("draw_triples", draw_triples)
+    spark.udf.register("draw_couples", draw_couples)

@@ -98,6 +98,8 @@ def _across(d: Spark, op: str, left: str, right: str, residual: str, cap: int) -
     """The least draws of all candidates of a pair: one item of each frame.
 
     Candidates carry ids only; boxes are joined to those that are drawn."""
+    if d.name == "spark" and residual == _UNLIKE:
+        return _across_by_draw(op, left, right, cap)
     order = drawn(op, "scene_id", "frame_a", "frame_b", "ins_a", "ins_b")
     return f"""
     select t.scene_id, t.frame_a, t.frame_b, t.cov, {_BOXES}, t.draw from (
@@ -112,6 +114,24 @@ def _across(d: Spark, op: str, left: str, right: str, residual: str, cap: int) -
     join {_KINDS[left]} a on a.ins_id = t.ins_a join {_KINDS[right]} b on b.ins_id = t.ins_b"""
 
 
+def _across_by_draw(op: str, left: str, right: str, cap: int) -> str:
+    """The same draws by ``draw_couples``, from the lists of both frames."""
+    return f"""
+    select t.scene_id, t.frame_a, t.frame_b, t.cov, {_BOXES}, t.draw from (
+        select scene_id, frame_a, frame_b, cov, drawn[2 * at] as ins_a, drawn[2 * at + 1] as ins_b, at + 1 as draw
+        from (
+            select scene_id, frame_a, frame_b, cov, drawn, explode(sequence(0, size(drawn) div 2 - 1)) as at from (
+                select p.scene_id, p.frame_a, p.frame_b, p.cov, draw_couples({zlib.crc32(op.encode()) % _PRIME}L, {cap}L,
+                    p.scene_id, p.frame_a, p.frame_b, a.ids, a.labels, b.ids, b.labels) as drawn
+                from pairs p
+                join {_LISTS[left]} a on a.scene_id = p.scene_id and a.frame_idx = p.frame_a
+                join {_LISTS[right]} b on b.scene_id = p.scene_id and b.frame_idx = p.frame_b) d
+            where size(drawn) > 0) e) t
+    join {_KINDS[left]} a on a.ins_id = t.ins_a join {_KINDS[right]} b on b.ins_id = t.ins_b"""
+
+
+#: The lists of each kind by frame.
+_LISTS = {"seen": "frame_objects", "seen_regions": "frame_regions"}
 #: What each kind of item by frame is an item of.
 _KINDS = {"seen": "instances", "seen_regions": "regions"}
 _UNLIKE = "a.ins_id <> b.ins_id and a.label <> b.label"
@@ -201,12 +221,21 @@ def triplets_by_draw(d: Spark, op: str = "j10t") -> str:
     join instances a on a.ins_id = t.ins_a join instances b on b.ins_id = t.ins_b join instances c on c.ins_id = t.ins_c"""
 
 
+def _lists(source: str) -> str:
+    return f"""
+    select scene_id, frame_idx, transform(held, x -> x.ins_id) as ids, transform(held, x -> x.label) as labels
+    from (select scene_id, frame_idx, collect_list(struct(ins_id, xxhash64(label) as label)) as held from {source} group by 1, 2) h"""
+
+
 @view
 def frame_objects(d):
     """The instances of each frame, and their labels as numbers (Spark only)."""
-    return """
-    select scene_id, frame_idx, transform(held, x -> x.ins_id) as ids, transform(held, x -> x.label) as labels
-    from (select scene_id, frame_idx, collect_list(struct(ins_id, xxhash64(label) as label)) as held from seen group by 1, 2) h"""
+    return _lists("seen")
+
+
+@view
+def frame_regions(d):
+    return _lists("seen_regions")
 
 
 @view

@@ -66,7 +66,7 @@ def widened(df: DataFrame) -> DataFrame:
 
 def query(spark: SparkSession, text: str) -> DataFrame:
     """A rendered text as a DataFrame, with the draws that it may name."""
-    if "draw_triples(" in text:
+    if "draw_triples(" in text or "draw_couples(" in text:
         draws.register(spark)
     return spark.sql(text)
 

@@ -40,3 +40,21 @@ def test_triples_equal_all_triples(monkeypatch, ties):
 def test_folding_is_the_modulus():
     x = np.array([0, 1, draws.PRIME - 1, draws.PRIME, draws.PRIME + 1, 2 * draws.PRIME, (1 << 62) - 1, (draws.PRIME - 1) ** 2])
     assert (draws._reduced(x) == x % draws.PRIME).all()
+
+
+@pytest.mark.parametrize("ties", [0, 2, 17])
+def test_couples_equal_all_couples(monkeypatch, ties):
+    if ties:
+        monkeypatch.setattr(draws, "_reduced", lambda x: x % ties)
+    rng = random.Random(ties)
+    rows, want = [], []
+    for k in range(80):
+        a, b = ([(rng.randrange(40), rng.randrange(5)) for _ in range(rng.choice((0, 1, 3, 8, 20)))] for _ in range(2))
+        a, b = (list(dict(x).items()) for x in (a, b))
+        rows.append(((k % 3, k, k + 2), a, b))
+        number = lambda *keys: draws._reduced(draws.hashed(np.array([99]), *(np.array([x % draws.PRIME]) for x in keys)) ** 2)[0]
+        all_of = [(number(k % 3, k, k + 2, i, j), i, j) for i, x in a for j, y in b if i != j and x != y]
+        want.append([x for t in sorted(all_of)[:3] for x in t[1:]])
+    columns = [np.array(c) for c in zip(*(r[0] for r in rows))]
+    held = [[np.array([t[f] for t in r[side]], dtype=np.int64) for r in rows] for side, f in ((1, 0), (1, 1), (2, 0), (2, 1))]
+    assert draws.couples(99, 3, *columns, *held) == want and sum(map(len, want)) > 100
