@@ -73,7 +73,9 @@ def by_group(rows: DataFrame, key: str, order: str, fn: Callable[[pd.DataFrame],
         if held and (last := fn(pd.concat(held))) is not None and len(last):
             yield last
 
-    return rows.repartition(key).sortWithinPartitions(key, order).mapInPandas(run, schema)
+    # a number given is kept: work here goes by groups, not by the bytes that partitions are merged by
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, key).sortWithinPartitions(key, order).mapInPandas(run, schema)
 
 
 def suppress(boxes: DataFrame, *, limit: float = 0.1, over: str = "union", least_score: float = 0.0) -> DataFrame:

@@ -450,7 +450,8 @@ def sessions(events: DataFrame, rules: Rules = Rules(), *, lateness: str = "10 s
         if video is not None:
             yield flush(True)
 
-    sorted_rows = events.where("video_id is not null and frame_idx is not null").repartition("video_id").sortWithinPartitions("video_id", "frame_idx")
+    parts = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a number given is not merged by bytes
+    sorted_rows = events.where("video_id is not null and frame_idx is not null").repartition(parts, "video_id").sortWithinPartitions("video_id", "frame_idx")
     return sorted_rows.mapInPandas(run, OUT)
 
 
