@@ -85,7 +85,8 @@ def _one_way(residents: DataFrame, r: str, asking: DataFrame, q: str, levels: li
 
     at_home = split(at_home).withColumn("piece", F.pmod(F.xxhash64(r), F.col("pieces")).cast("int")).drop("pieces")
     visits = split(visits).withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).drop("pieces")
-    met = at_home.join(visits, [*_CELL, "piece"])
+    # copies by cell outgrow what the tables' sizes promise: neither side may be sent whole to the driver
+    met = at_home.hint("merge").join(visits.hint("merge"), [*_CELL, "piece"])
     both = [F.get(f"{r}.lo", F.lit(d)) <= F.get(f"{q}.hi", F.lit(d)) for d in range(dims)]
     both += [F.get(f"{q}.lo", F.lit(d)) <= F.get(f"{r}.hi", F.lit(d)) for d in range(dims)]
     begins = [F.greatest(F.get(f"{r}.lo", F.lit(d)), F.get(f"{q}.lo", F.lit(d))) for d in range(dims)]

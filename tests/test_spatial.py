@@ -110,3 +110,10 @@ def test_rows_compared_grow_with_the_points(spark):
 
     few, many = compared(8_000), compared(64_000)
     assert many / few < 14 and many < 64_000 * 64_000 / 10
+
+
+def test_no_side_is_broadcast_whole(spark):
+    for name in ("j14_grid_overlaps", "j16_grid_containment"):
+        plan = spatial_queries.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        joins = [line for line in plan.splitlines() if "Join" in line and "piece" in line]
+        assert joins and all("SortMergeJoin" in line for line in joins)
