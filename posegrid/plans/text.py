@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .registry import plan
+from .registry import plan, relation
 
 
 @plan
@@ -265,10 +265,11 @@ def m19_proxy_frame(d):
 @plan
 def m25_virtual_camera(d):
     """Midpoints between covisible cameras."""
-    return """
-    select p.scene_id, p.frame_a, p.frame_b, round((a.tx + b.tx) / 2, 6) as tx, round((a.ty + b.ty) / 2, 6) as ty, round((a.tz + b.tz) / 2, 6) as tz
-    from cam_covis p join cams a on a.scene_id = p.scene_id and a.frame_idx = p.frame_a
+    source = f"{relation('cam_close', d)} p" if d.derives else """cam_covis p join cams a on a.scene_id = p.scene_id and a.frame_idx = p.frame_a
     join cams b on b.scene_id = p.scene_id and b.frame_idx = p.frame_b where p.cov > 0.25e0"""
+    return f"""
+    select p.scene_id, p.frame_a, p.frame_b, round((a.tx + b.tx) / 2, 6) as tx, round((a.ty + b.ty) / 2, 6) as ty, round((a.tz + b.tz) / 2, 6) as tz
+    from {source}"""
 
 
 @plan
