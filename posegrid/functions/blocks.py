@@ -87,18 +87,18 @@ def _cameras(spark: SparkSession, sf_dir: str, vectors: bool, seen_only: bool =
 
 
 @derived
-def cam_close(spark: SparkSession, sf_dir: str) -> DataFrame:
+def cam_close(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """Covisible camera pairs with both poses."""
     return block_pairs(_cameras(spark, sf_dir, True), close, "cov")
 
 
 @derived
-def cam_apart(spark: SparkSession, sf_dir: str) -> DataFrame:
+def cam_apart(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """Pairs of cameras at least two meters apart."""
     return block_pairs(_cameras(spark, sf_dir, False), apart, "dist")
 
 
 @derived
-def cam_close_shown(spark: SparkSession, sf_dir: str) -> DataFrame:
+def cam_close_shown(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """Those of cameras whose frames show something in the scene of the same number."""
     return block_pairs(_cameras(spark, sf_dir, True, seen_only=True), close, "cov")
