@@ -173,10 +173,12 @@ def s15_scene_list(d):
 
 @plan
 def s01_camera_frames(d):
-    """Frames numbered by path, with whether the frame is usable."""
+    """Frames numbered by path, with whether the frame is usable; numbers have four
+    digits or more, as many as they need, so that no two frames share a path."""
+    number = f"cast(frame_idx as {d.string})"
     return f"""
     select scene_id, row_number() over (partition by scene_id order by path) - 1 as frame_no, path, is_bad from (
-        select scene_id, concat('f', lpad(cast(frame_idx as {d.string}), 4, '0'), '.jpg') as path, vec_id % 11 = 0 as is_bad from cams) f"""
+        select scene_id, concat('f', lpad({number}, cast(greatest(4, length({number})) as int), '0'), '.jpg') as path, vec_id % 11 = 0 as is_bad from cams) f"""
 
 
 @plan
