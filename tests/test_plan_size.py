@@ -11,3 +11,9 @@ SF = "/root/testdata/sf0.001"
 def test_poses_are_spelled_out_once(spark, name):
     plan = run(name)(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("r02") < 40
+
+
+@pytest.mark.parametrize("name", ["q13_proxy_direction", "q14_region_proxy_direction", "q15_relpos", "q16_region_relpos"])
+def test_fixed_options_need_no_lambdas(spark, name):
+    plan = run(name)(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction" not in plan and plan.count("md5(") < 16
