@@ -18,6 +18,14 @@ SAMPLES, NARROWED, STEPS = 9, 48, 40
 _GOLD = (5**0.5 - 1) / 2
 
 
+def _cross(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``np.cross`` of rows of three, without its handling of axes."""
+    out = np.empty(np.broadcast_shapes(a.shape, b.shape))
+    for k, i, j in ((0, 1, 2), (1, 2, 0), (2, 0, 1)):
+        np.subtract(a[..., i] * b[..., j], a[..., j] * b[..., i], out=out[..., k])
+    return out
+
+
 def _spanning(points: np.ndarray, flat: float) -> list[int]:
     """Places of up to four points that span as much as the points do."""
     out = [int(np.lexsort(points.T[::-1])[0])]
@@ -50,7 +58,7 @@ def convex_hull(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
     def planes(tri: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         a, b, c = (points[tri[:, k]] for k in range(3))
-        normal = np.cross(b - a, c - a)
+        normal = _cross(b - a, c - a)
         normal /= np.maximum(np.linalg.norm(normal, axis=1, keepdims=True), 1e-300)
         inward = ((a - middle) * normal).sum(axis=1) < 0
         tri = np.where(inward[:, None], tri[:, [0, 2, 1]], tri)
@@ -86,7 +94,7 @@ def _rectangles(points: np.ndarray, normals: np.ndarray, edges: np.ndarray) -> l
         u = u[size > 1e-9] / size[size > 1e-9, None]
         if not len(u):
             continue
-        v = np.cross(n, u)
+        v = _cross(n, u)
         area = np.ptp(points @ u.T, axis=0) * np.ptp(points @ v.T, axis=0)
         k = int(area.argmin())
         out.append(np.stack((n, u[k], v[k])))
@@ -95,10 +103,10 @@ def _rectangles(points: np.ndarray, normals: np.ndarray, edges: np.ndarray) -> l
 
 def _volumes(points: np.ndarray, first: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Volumes and axes of the boxes of a first normal and another edge."""
-    second = np.cross(first, other)
+    second = _cross(first, other)
     size = np.linalg.norm(second, axis=1)
     second = second / np.maximum(size, 1e-300)[:, None]
-    axes = np.stack((first, second, np.cross(first, second)), axis=1)
+    axes = np.stack((first, second, _cross(first, second)), axis=1)
     volume = np.ptp(axes.reshape(-1, 3) @ points.T, axis=1).reshape(-1, 3).prod(axis=1)
     return np.where(size > 1e-9, volume, np.inf), axes
 

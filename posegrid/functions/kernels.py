@@ -40,19 +40,28 @@ def fit_box(points: np.ndarray, steps: int = 24) -> tuple[np.ndarray, np.ndarray
     best = min((_enclose(points, np.eye(3)), pca_box(points)), key=lambda b: b[2].prod())
     width = np.pi / 4
     for _ in range(6):
-        tries = [best]
-        for axis in range(3):
-            for angle in np.linspace(-width, width, steps):
-                c, s = np.cos(angle), np.sin(angle)
-                turn = np.eye(3)
-                i, j = [k for k in range(3) if k != axis]
-                turn[i, i], turn[i, j], turn[j, i], turn[j, j] = c, -s, s, c
-                tries.append(_enclose(points, best[1] @ turn))
-        best = min(tries, key=lambda b: b[2].prod())
+        axes = best[1] @ _turns(np.linspace(-width, width, steps))
+        local = points @ axes  # all turns at once
+        low, high = local.min(axis=1), local.max(axis=1)
+        volume = (high - low).prod(axis=1)
+        k = int(volume.argmin())
+        if volume[k] < best[2].prod():
+            best = axes[k] @ ((low[k] + high[k]) / 2), axes[k], high[k] - low[k]
         width /= 3
     return best
 
 
+def _turns(angles: np.ndarray) -> np.ndarray:
+    """Rotations about each axis by each angle, one after another."""
+    c, s = np.cos(angles), np.sin(angles)
+    turns = np.zeros((3, len(angles), 3, 3))
+    for axis in range(3):
+        i, j = [k for k in range(3) if k != axis]
+        turns[axis, :, axis, axis] = 1.0
+        turns[axis, :, i, i], turns[axis, :, i, j], turns[axis, :, j, i], turns[axis, :, j, j] = c, -s, s, c
+    return turns.reshape(-1, 3, 3)
+
+
 def _clip(faces: list[np.ndarray], normal: np.ndarray, limit: float) -> list[np.ndarray]:
     """The part of a convex solid on the inner side of a plane."""
     if max(float((face @ normal).max()) for face in faces) <= limit + 1e-12:

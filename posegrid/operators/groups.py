@@ -41,7 +41,9 @@ def fuse_instances(points: DataFrame, *, limit: float = 0.3, every: bool = False
         return pd.DataFrame(out, columns=names)
 
     schema = "group_id long, instance int, n_items int, items string, " + ", ".join(f"{c} double" for c in "cx cy cz ex ey ez".split())
-    return points.groupBy("group_id").applyInPandas(run, schema)
+    # a number given is kept: a few bytes of points are much work
+    parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return points.repartition(parts, "group_id").groupBy("group_id").applyInPandas(run, schema)
 
 
 def by_group(rows: DataFrame, key: str, order: str, fn: Callable[[pd.DataFrame], pd.DataFrame | None], schema: str) -> DataFrame:
