@@ -7,6 +7,7 @@ two blocks and the pairs of a few rows.  Rows shuffled grow with a label's block
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -14,21 +15,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.bindings import of_cameras
 from ..plans.registry import derived, query, render
 from .dialect import Spark
 
 #: Cameras of a block, and those whose pairs are held at once.
 BLOCK, ROWS = 2048, 64
 POSE = ["tx", "ty", "tz", *(f"r{i}{j}" for i in range(3) for j in range(3))]
-_HELD = f"struct<{', '.join(f'{c}: double' for c in POSE)}>"
 
 Side = dict[str, np.ndarray]
 
 
-def block_pairs(cameras: DataFrame, found: Callable[[Side, Side, slice], tuple[np.ndarray, np.ndarray, pa.Array]], last: str) -> DataFrame:
+def block_pairs(cameras: DataFrame, found: Callable[[Side, Side, slice], tuple[np.ndarray, np.ndarray, pa.Array]], last: str, text: str) -> DataFrame:
     """(scene_id, frame_a, frame_b, ``last``, a, b): for each pair of cameras, a before b by
-    ``vec_id``, that ``found`` names by their places in both blocks, with a value; a and b are their poses."""
+    ``vec_id``, that ``found`` names by their places in both blocks, with a value; a and b are
+    their poses, of which only what the text names is made (a side it does not name is left out)."""
     size, step = BLOCK, ROWS
+    named = {side: [c for c in POSE if re.search(rf"\b{side}\.{c}\b", text)] for side in "ab"}
+    named = {side: held for side, held in named.items() if held}
     block = F.expr(f"frame_idx div {size}")
     of_all = "count(*) over (partition by scene_id)"
     keys = F.transform(F.sequence(F.lit(0), F.expr(f"(n - 1) div {size}")), lambda x: F.struct(F.least(x, block).alias("i"), F.greatest(x, block).alias("j")))
@@ -46,11 +50,13 @@ def block_pairs(cameras: DataFrame, found: Callable[[Side, Side, slice], tuple[n
         for low in range(0, len(a["vec_id"]), step):
             x, y, value = found(a, b, slice(low, low + step))
             if len(x):
-                poses = [pa.StructArray.from_arrays([pa.array(side[c][at]) for c in POSE], POSE) for side, at in ((a, x), (b, y))]
+                sides = {"a": (a, x), "b": (b, y)}
+                poses = [pa.StructArray.from_arrays([pa.array(sides[s][0][c][sides[s][1]]) for c in held], held) for s, held in named.items()]
                 columns = [pa.array(a["scene_id"][x]), pa.array(a["frame_idx"][x]), pa.array(b["frame_idx"][y]), pa.array(value), *poses]
-                yield pa.RecordBatch.from_arrays(columns, names=["scene_id", "frame_a", "frame_b", last, "a", "b"])
+                yield pa.RecordBatch.from_arrays(columns, names=["scene_id", "frame_a", "frame_b", last, *named])
 
-    schema = f"scene_id long, frame_a long, frame_b long, {last} double, a {_HELD}, b {_HELD}"
+    poses = [f"{side} struct<{', '.join(f'{c}: double' for c in held)}>" for side, held in named.items()]
+    schema = ", ".join([f"scene_id long, frame_a long, frame_b long, {last} double", *poses])
     return copies.groupBy("scene_id", "i", "j").applyInArrow(run, schema)
 
 
@@ -81,7 +87,7 @@ def _cameras(spark: SparkSession, sf_dir: str, vectors: bool, seen_only: bool =
     poses = ", ".join(f"c.{x}" for x in POSE)
     also = ", slice(n.embedding, 1, 64) as embedding, n.norm" if vectors else ""
     source = "cams c join cam_norms n on n.vec_id = c.vec_id and n.scene_id = c.scene_id and n.frame_idx = c.frame_idx" if vectors else "cams c"
-    shown = "left semi join frame_sizes f on f.scene_id = c.scene_id and f.frame_idx = c.frame_idx" if seen_only else ""
+    shown = f"left semi join {of_cameras(Spark(sf_dir))} f on f.scene_id = c.scene_id and f.frame_idx = c.frame_idx" if seen_only else ""
     where = "where n.norm is not null" if vectors else "where c.tx is not null and c.ty is not null and c.tz is not null"
     return query(spark, render(f"select c.scene_id, cast(c.frame_idx as bigint) as frame_idx, c.vec_id, {poses}{also} from {source} {shown} {where}", Spark(sf_dir)))
 
@@ -89,16 +95,16 @@ def _cameras(spark: SparkSession, sf_dir: str, vectors: bool, seen_only: bool =
 @derived
 def cam_close(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """Covisible camera pairs with both poses."""
-    return block_pairs(_cameras(spark, sf_dir, True), close, "cov")
+    return block_pairs(_cameras(spark, sf_dir, True), close, "cov", text)
 
 
 @derived
 def cam_apart(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """Pairs of cameras at least two meters apart."""
-    return block_pairs(_cameras(spark, sf_dir, False), apart, "dist")
+    return block_pairs(_cameras(spark, sf_dir, False), apart, "dist", text)
 
 
 @derived
 def cam_close_shown(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """Those of cameras whose frames show something in the scene of the same number."""
-    return block_pairs(_cameras(spark, sf_dir, True, seen_only=True), close, "cov")
+    return block_pairs(_cameras(spark, sf_dir, True, seen_only=True), close, "cov", text)

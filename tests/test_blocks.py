@@ -6,7 +6,7 @@ from posegrid.functions import blocks
 from posegrid.functions.dialect import Spark
 from posegrid.plans.filters import f05_motion
 from posegrid.plans.geometry import cam_pairs
-from posegrid.plans.registry import query, render
+from posegrid.plans.registry import query, render, run
 
 SF = "/root/testdata/sf0.001"
 
@@ -19,3 +19,17 @@ def test_pairs_of_blocks_are_all_pairs(spark, monkeypatch, size):
         rows = [sorted(map(tuple, query(spark, render(text(d), d)).collect())) for d in (Spark(SF), Spark(SF, derives=False))]
         assert rows[0] == rows[1] and rows[0]
 
+
+def test_only_named_poses_are_made(spark):
+    cameras = blocks._cameras(spark, SF, True)
+    made = blocks.block_pairs(cameras, blocks.close, "cov", "select a.tx, b.tz from t").schema.simpleString()
+    assert "a:struct<tx:double>,b:struct<tz:double>" in made
+    made = blocks.block_pairs(cameras, blocks.close, "cov", "select cov from t")
+    assert made.columns == ["scene_id", "frame_a", "frame_b", "cov"] and made.count() > 0
+
+
+def test_scenes_without_cameras_are_dropped_before_they_are_grouped(spark):
+    plan = run("q06_center_direction")(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    below = [lines[k + 1] for k, line in enumerate(lines) if "Aggregate [_groupingexpression" in line]
+    assert len(below) == 3 and all("Join LeftSemi" in line for line in below)
