@@ -13,6 +13,9 @@ laid out along a Morton curve and cut into blocks; distances inside a block boun
 how far its points' neighbours can be; blocks whose boxes come within that bound
 (a box join) are compared, and the best over all of them win.  A point whose bound
 is far beyond its block's others asks for itself.
+
+``mean_nearest`` has the mean squared distance to them: parts of few points are worked
+out whole, many at once, after one shuffle; only larger ones go through ``nearest``.
 """
 
 from __future__ import annotations
@@ -23,10 +26,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.dialect import Spark
+from ..plans.registry import derived, query, render
 from .export import scratch
 
 #: Residents of a cell beyond which it is split.
@@ -34,6 +39,8 @@ SPLIT = 2_000
 LOW, HIGH = -30, 60  # exponents of the grids' cell widths
 #: Points of a block.
 BLOCK = 64
+#: Points of a part that is worked out whole, distances held at once, and rows of a batch.
+FEW, CELLS, ROWS = 2048, 1 << 18, 1 << 16
 _CELL = ("part", "level", "cell")
 
 
@@ -244,3 +251,100 @@ def nearest(points: DataFrame, k: int = 3) -> DataFrame:
     pairs = candidates(whole, k).select("part", "a.ids", "a.xyz", "a.bounds", F.col("b.ids").alias("others"), F.col("b.xyz").alias("places"))
     order = Window.partitionBy("part", "id").orderBy(F.round("d2", 9), "other")
     return pairs.mapInArrow(run, _FOUND).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("part", "id", "rank", "other", "d2")
+
+
+def _means(xyz: np.ndarray, void: np.ndarray, starts: np.ndarray, sizes: np.ndarray, k: int) -> np.ndarray:
+    """The mean squared distance of each point to the k nearest others of its part, parts of
+    a size at once: distances rounded to 9 places (halves up), ties by place; of void
+    points unknown (NaN), and last."""
+    out = np.full(len(xyz), np.nan)
+    for n in np.unique(sizes[sizes > 1]).tolist():
+        of_size = starts[sizes == n]
+        step = max(1, CELLS // (n * n))
+        for low in range(0, len(of_size), step):
+            at = of_size[low : low + step, None] + np.arange(n)
+            away = np.zeros((len(at), n, n))
+            for c in range(3):
+                x = xyz[at, c]
+                d = x[:, :, None] - x[:, None]
+                away += d * d
+            key = np.where(away < 2.0**22, np.floor(away * 1e9 + 0.5), away * 1e9)
+            key = np.where(np.isnan(key), 1e300, np.minimum(key, 9e299))
+            gone = void[at]
+            key[np.broadcast_to(gone[:, None], key.shape)] = 2e300
+            key[:, np.arange(n), np.arange(n)] = np.inf
+            total, count = np.zeros(at.shape), np.zeros(at.shape)
+            g, i = np.ogrid[: len(at), :n]
+            for _ in range(min(k, n - 1)):
+                j = key.argmin(axis=2)  # the first among equals
+                known = ~(gone | gone[g, j])
+                total += np.where(known, away[g, i, j], 0.0)
+                count += known
+                key[g, i, j] = np.inf
+            with np.errstate(invalid="ignore"):
+                out[at] = total / count
+    return out
+
+
+def mean_nearest(points: DataFrame, order: list[str], k: int = 3) -> DataFrame:
+    """(part, id, mean_d2): for each point (part, x, y, z and the columns of the order) of a part with
+    others, the mean squared distance to its k nearest others (all, if fewer), as ``nearest`` has them; its id
+    is its place in its part by the order, from 1.  A distance to a point with a null is
+    unknown: it comes last and does not count."""
+    rows = points.where("part is not null").select(F.col("part").cast("long").alias("part"), *order, *[F.col(c).cast("double").alias(c) for c in "xyz"])
+    by = [*order, *"xyz"]
+    many = rows.groupBy("part").agg(F.count("*").alias("n")).where(F.col("n") > FEW).select(F.col("part").alias("of"))
+    some = not many.isEmpty()
+    # at most a part in FEW rows
+    few = rows.join(F.broadcast(many), F.col("part") == F.col("of"), "left_anti") if some else rows
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+
+        def found(whole: pa.Table) -> pa.RecordBatch:
+            part = whole["part"].to_numpy()
+            starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+            sizes = np.diff(np.r_[starts, len(part)])
+            void = np.logical_or.reduce([whole[c].is_null().to_numpy() for c in "xyz"])
+            means = _means(np.column_stack([whole[c].to_numpy() for c in "xyz"]), void, starts, sizes, k)
+            place = np.arange(len(part)) - np.repeat(starts, sizes) + 1
+            unknown = void | (np.isnan(means) & _lonely(void, starts, sizes))
+            others = np.repeat(sizes, sizes) > 1
+            columns = [pa.array(part[others]), pa.array(place[others]), pa.array(means[others], mask=unknown[others])]
+            return pa.RecordBatch.from_arrays(columns, names=["part", "id", "mean_d2"])
+
+        for batch in batches:
+            whole = pa.Table.from_batches([batch])
+            held = pa.concat_tables([held, whole]) if held is not None else whole
+            part = held["part"].to_numpy()
+            if held.num_rows >= ROWS and part[0] != part[-1]:
+                cut = int(np.searchsorted(part, part[-1]))
+                yield found(held.slice(0, cut))
+                held = held.slice(cut)
+        if held is not None and held.num_rows:
+            yield found(held)
+
+    # a number given is kept: a few bytes of points are much work
+    parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    laid = few.repartition(parts, "part").sortWithinPartitions("part", *by).select("part", *"xyz")
+    out = laid.mapInArrow(run, "part long, id long, mean_d2 double")
+    if not some:
+        return out
+    large = rows.join(F.broadcast(many), F.col("part") == F.col("of"), "left_semi")
+    large = large.withColumn("id", F.row_number().over(Window.partitionBy("part").orderBy(*by)).cast("long")).select("part", "id", *"xyz")
+    means = nearest(large, k).groupBy("part", "id").agg(F.avg("d2").alias("mean_d2"))
+    return out.unionByName(large.select("part", "id").join(means, ["part", "id"], "left"))
+
+
+def _lonely(void: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether a point's part has no other point without a null."""
+    known = np.add.reduceat((~void).astype(np.int64), starts)
+    return np.repeat(known, sizes) - ~void == 0
+
+
+@derived
+def near_means(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+    """Each point's mean squared distance to the three nearest of its part."""
+    order = ["l_orderkey", "l_linenumber", "l_suppkey"]
+    text = f"select ins_id as part, {', '.join(order)}, x, y, z from points"
+    return mean_nearest(query(spark, render(text, Spark(sf_dir))), order)

@@ -77,10 +77,7 @@ def j21_grid_box_iou(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def j18_nearest_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean squared distance to the three nearest points of the same part."""
-    points = _sql(spark, sf_dir, """
-        select ins_id as part, row_number() over (partition by ins_id order by l_orderkey, l_linenumber, l_suppkey, x, y, z) as id,
-            cast(x as double) as x, cast(y as double) as y, cast(z as double) as z from points""")
-    return spatial.nearest(points).groupBy("part", F.col("id").alias("k")).agg(F.round(F.avg("d2"), 6).alias("mean_d2"))
+    return spatial.near_means(spark, sf_dir, "").select("part", F.col("id").alias("k"), F.round("mean_d2", 6).alias("mean_d2"))
 
 
 QUERIES = {

@@ -4,6 +4,7 @@ import duckdb
 import numpy as np
 import pytest
 
+from posegrid import plans
 from posegrid.operators import queries, spatial, spatial_queries
 
 SF = "/root/testdata/sf0.001"
@@ -117,3 +118,25 @@ def test_no_side_is_broadcast_whole(spark):
         plan = spatial_queries.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         joins = [line for line in plan.splitlines() if "Join" in line and "piece" in line]
         assert joins and all("SortMergeJoin" in line for line in joins)
+
+
+@pytest.mark.parametrize("few", [2048, 200])
+def test_mean_of_nearest_is_exact(spark, monkeypatch, few):
+    monkeypatch.setattr(spatial, "FEW", few)
+    rows = clouds(np.random.default_rng(few)) + [(8, i, *p) for i, p in enumerate([(0.0, 0.0, 0.0), (1.0, 0.0, 0.0), (None, 1.0, 1.0)])] + [(9, 0, None, 0.0, 0.0), (9, 1, 2.0, 0.0, 0.0)]
+    df = spark.createDataFrame(rows + [(None, 1, 0.0, 0.0, 0.0)], "part long, at long, x double, y double, z double")
+    got = {(r.part, r.id): r.mean_d2 for r in spatial.mean_nearest(df, ["at"]).collect()}
+    want = {}
+    for (part, i, _), (_, d2) in plain_nearest([r for r in rows if r[0] < 8], 3).items():
+        want.setdefault((part, i + 1), []).append(d2)
+    want = {key: sum(v) / len(v) for key, v in want.items()}
+    want |= {(8, 1): 1.0, (8, 2): 1.0, (8, 3): None, (9, 1): None, (9, 2): None}
+    assert got.keys() == want.keys()
+    for key, d2 in want.items():
+        assert got[key] == (None if d2 is None else pytest.approx(d2, rel=1e-9, abs=3e-9)), key
+
+
+@pytest.mark.parametrize("query", [plans.run("j18_knn3_points"), spatial_queries.j18_nearest_points])
+def test_small_parts_take_no_rows_a_pair(spark, query):
+    plan = query(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan and "Window" not in plan
