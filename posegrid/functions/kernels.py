@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 
 import numpy as np
 
@@ -162,16 +163,17 @@ def greedy_keep(iou: np.ndarray, scores: np.ndarray, limit: float) -> list[int]:
     """Suppression: by score (first among equals), keep what overlaps no kept
     one beyond the limit."""
     kept: list[int] = []
+    free = iou <= limit  # what is not comparable is beyond it
+    left = np.ones(len(scores), dtype=bool)
     for i in np.argsort(-scores, kind="stable").tolist():
-        if not kept or iou[i, kept].max() <= limit:
+        if left[i]:
             kept.append(i)
+            left &= free[:, i]
     return kept
 
 
-def assign(cost: np.ndarray) -> list[tuple[int, int]]:
-    """Least-cost one-to-one assignment, by shortest augmenting paths."""
-    turned = cost.shape[0] > cost.shape[1]
-    c = cost.T if turned else cost
+def _paths(c: np.ndarray) -> np.ndarray:
+    """The row (from 1) of each column (from 1), or 0."""
     n, m = c.shape
     u, v = np.zeros(n + 1), np.zeros(m + 1)
     match, way = np.zeros(m + 1, dtype=int), np.zeros(m + 1, dtype=int)
@@ -192,6 +194,48 @@ def assign(cost: np.ndarray) -> list[tuple[int, int]]:
             at = nxt
         while at:
             match[at], at = match[way[at]], way[at]
+    return match
+
+
+def _few_paths(c: list[list[float]], n: int, m: int) -> list[int]:
+    """As ``_paths``, step by step."""
+    u, v = [0.0] * (n + 1), [0.0] * (m + 1)
+    match, way = [0] * (m + 1), [0] * (m + 1)
+    for row in range(1, n + 1):
+        match[0], at = row, 0
+        least, done = [math.inf] * (m + 1), [False] * (m + 1)
+        while match[at]:
+            done[at] = True
+            i = match[at]
+            costs, ui, nxt, step = c[i - 1], u[i], 0, math.inf
+            for j in range(1, m + 1):
+                if not done[j]:
+                    slack = costs[j - 1] - ui - v[j]
+                    if slack < least[j]:
+                        least[j], way[j] = slack, at
+                    if least[j] < step:
+                        nxt, step = j, least[j]
+            for j in range(m + 1):
+                if done[j]:
+                    u[match[j]] += step
+                    v[j] -= step
+                else:
+                    least[j] -= step
+            at = nxt
+        while at:
+            match[at], at = match[way[at]], way[at]
+    return match
+
+
+def assign(cost: np.ndarray) -> list[tuple[int, int]]:
+    """Least-cost one-to-one assignment, by shortest augmenting paths."""
+    turned = cost.shape[0] > cost.shape[1]
+    c = cost.T if turned else cost
+    n, m = c.shape
+    if n * m > 1024:
+        match = _paths(c)
+    else:  # plain numbers are faster than arrays of a few
+        match = _few_paths(c.tolist(), n, m)
     pairs = [(match[j] - 1, j - 1) for j in range(1, m + 1) if match[j]]
     return sorted((b, a) if turned else (a, b) for a, b in pairs)
 

@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -80,36 +81,72 @@ def by_group(rows: DataFrame, key: str, order: str, fn: Callable[[pd.DataFrame],
     return rows.repartition(parts, key).sortWithinPartitions(key, order).mapInPandas(run, schema)
 
 
+def by_group_arrays(rows: DataFrame, key: str, order: str, fn: Callable[[dict[str, np.ndarray]], tuple[np.ndarray, ...] | None], schema: str) -> DataFrame:
+    """As ``by_group``, with a group's columns as arrays (numbers, without nulls as such) and the result's as well:
+    nothing is made of a group but slices."""
+    names, kinds = [c.split()[0] for c in schema.split(", ")], [{"long": pa.int64(), "double": pa.float64()}[c.split()[1]] for c in schema.split(", ")]
+    columns = rows.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+
+        def found(whole: pa.Table) -> pa.RecordBatch:
+            values = {c: whole[c].to_numpy() for c in columns}
+            keys = values[key]
+            edges = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+            out = [x for a, b in zip(edges, edges[1:]) if (x := fn({c: v[a:b] for c, v in values.items()})) is not None]
+            made = [np.concatenate(c) for c in zip(*out)] if out else [[] for _ in names]
+            return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(made, kinds)], names=names)
+
+        for batch in batches:
+            whole = pa.Table.from_batches([batch])
+            held = pa.concat_tables([held, whole]) if held is not None else whole
+            keys = held[key].to_numpy()
+            if len(keys) and keys[0] != keys[-1]:
+                cut = int(np.flatnonzero(keys[1:] != keys[:-1])[-1]) + 1
+                yield found(held.slice(0, cut))
+                held = held.slice(cut)
+        if held is not None and held.num_rows:
+            yield found(held)
+
+    # a number given is kept: work here goes by groups, not by the bytes that partitions are merged by
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.where(f"{key} is not null").repartition(parts, key).sortWithinPartitions(key, order).mapInArrow(run, schema)
+
+
+_CORNERS = ("x0", "y0", "x1", "y1")
+
+
 def suppress(boxes: DataFrame, *, limit: float = 0.1, over: str = "union", least_score: float = 0.0) -> DataFrame:
     """Boxes (group_id, box_id, score, x0, y0, x1, y1) kept by suppression over
     the union or the smaller one."""
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows[rows["score"] > least_score]
-        xyxy = rows[["x0", "y0", "x1", "y1"]].to_numpy(dtype=float)
-        kept = kernels.greedy_keep(kernels.box_iou(xyxy, xyxy, over), rows["score"].to_numpy(), limit)
-        return rows.iloc[sorted(kept)][["group_id", "box_id", "score"]]
+    def run(rows: dict[str, np.ndarray]) -> tuple[np.ndarray, ...] | None:
+        at = np.flatnonzero(rows["score"] > least_score)
+        xyxy = np.column_stack([rows[c][at] for c in _CORNERS])
+        kept = at[sorted(kernels.greedy_keep(kernels.box_iou(xyxy, xyxy, over), rows["score"][at], limit))] if len(at) else at
+        return rows["group_id"][kept], rows["box_id"][kept], rows["score"][kept]
 
-    cols = boxes.select("group_id", "box_id", "score", "x0", "y0", "x1", "y1")
-    return by_group(cols, "group_id", "box_id", run, "group_id long, box_id long, score double")
+    cols = boxes.select("group_id", "box_id", F.col("score").cast("double").alias("score"), *[F.col(c).cast("double").alias(c) for c in _CORNERS])
+    alone = cols.where(F.col("group_id").isNull() & (F.col("score") > least_score)).select("group_id", "box_id", "score")  # in no group: nothing hides them
+    return by_group_arrays(cols, "group_id", "box_id", run, "group_id long, box_id long, score double").unionByName(alone)
 
 
 def assign_tracks(boxes: DataFrame, *, least_iou: float = 0.1) -> DataFrame:
     """One-to-one matches of detections and tracks (``is_track``) of a group."""
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        sides = [rows[~rows["is_track"]], rows[rows["is_track"]]]
-        a, b = (s[["x0", "y0", "x1", "y1"]].to_numpy(dtype=float) for s in sides)
-        out = []
-        if len(a) and len(b):
-            iou = kernels.box_iou(a, b)
-            for i, j in kernels.assign(1 - iou):
-                if iou[i, j] >= least_iou:
-                    out.append((rows["group_id"].iloc[0], sides[0]["box_id"].iloc[i], sides[1]["box_id"].iloc[j], iou[i, j]))
-        return pd.DataFrame(out, columns=["group_id", "det", "track", "iou"])
-
-    cols = boxes.select("group_id", "box_id", "is_track", "x0", "y0", "x1", "y1")
-    return by_group(cols, "group_id", "box_id", run, "group_id long, det long, track long, iou double")
+    def run(rows: dict[str, np.ndarray]) -> tuple[np.ndarray, ...] | None:
+        tracks = rows["is_track"] == 1
+        if tracks.all() or not tracks.any():
+            return None
+        xyxy = np.column_stack([rows[c] for c in _CORNERS])
+        iou = kernels.box_iou(xyxy[~tracks], xyxy[tracks])
+        matched = np.array(kernels.assign(1 - iou), dtype=np.int64).reshape(-1, 2)
+        i, j = matched[iou[matched[:, 0], matched[:, 1]] >= least_iou].T
+        return np.full(len(i), rows["group_id"][0]), rows["box_id"][~tracks][i], rows["box_id"][tracks][j], iou[i, j]
+
+    cols = boxes.select("group_id", "box_id", F.col("is_track").cast("int").alias("is_track"), *[F.col(c).cast("double").alias(c) for c in _CORNERS])
+    return by_group_arrays(cols, "group_id", "box_id", run, "group_id long, det long, track long, iou double")
 
 
 def sample_pairs(pairs: DataFrame, *, most: int = 100, seed: int = 42) -> DataFrame:

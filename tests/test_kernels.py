@@ -3,6 +3,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from posegrid.functions import kernels as k_
 from posegrid.functions import kernels as k
 from posegrid.functions import rle
 
@@ -97,3 +98,22 @@ def test_components_and_cleaning():
     assert len(np.unique(labels)) == 4 and areas[0, 0] == 11 and areas[3, 4] == 1
     clean = rle.fill_and_clean(mask, 2)
     assert clean[3, 1] and not clean[3, 4] and not clean[0, 4]
+
+
+def test_assignments_of_few_are_those_of_arrays():
+    rng = np.random.default_rng(5)
+    for n, m in [(1, 1), (1, 5), (4, 4), (3, 9), (8, 8)] * 20:
+        cost = rng.integers(0, 6, (n, m)) / 5  # many ties
+        assert k_._few_paths(cost.tolist(), n, m)[1:] == k_._paths(cost)[1:].tolist()
+
+
+def test_suppression_looks_at_a_kept_box_once():
+    class Counted(np.ndarray):
+        n = 0
+
+        def max(self, *args, **kwargs):
+            Counted.n += 1
+            return super().max(*args, **kwargs)
+
+    like = np.eye(50).view(Counted)
+    assert k_.greedy_keep(like, np.arange(50.0), 0.1) == list(range(49, -1, -1)) and Counted.n == 0
