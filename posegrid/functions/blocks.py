@@ -108,3 +108,38 @@ def cam_apart(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
 def cam_close_shown(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """Those of cameras whose frames show something in the scene of the same number."""
     return block_pairs(_cameras(spark, sf_dir, True, seen_only=True), close, "cov", text)
+
+
+@derived
+def mask_pairs(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+    """(a, b, inter, uni): all pairs of masks of a label, by their words' common bits."""
+    d = Spark(sf_dir)
+    words = query(spark, render("select vec_id, label, area, words from rle_words", d))
+    size = BLOCK
+    masks = words.where("label is not null and vec_id is not null")
+    # a label's masks are dealt to blocks by a number in it, whatever their ids
+    masks = masks.selectExpr("*", "row_number() over (partition by label order by vec_id) - 1 as place", "count(*) over (partition by label) as n")
+    block = F.expr(f"place div {size}")
+    keys = F.transform(F.sequence(F.lit(0), F.expr(f"(n - 1) div {size}")), lambda x: F.struct(F.least(x, block).alias("i"), F.greatest(x, block).alias("j")))
+    copies = masks.withColumn("key", F.explode(keys)).select("vec_id", "area", "words", "label", block.alias("own"), "key.i", "key.j")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(list(batches)).combine_chunks().sort_by("vec_id")
+        lists = rows["words"].combine_chunks()
+        sizes = np.diff(lists.offsets.to_numpy())
+        bits = np.zeros((len(sizes), int(sizes.max())), dtype=np.uint64)
+        bits[np.arange(bits.shape[1]) < sizes[:, None]] = lists.flatten().to_numpy().view(np.uint64)
+        ids, area, own = (rows[c].to_numpy() for c in ("vec_id", "area", "own"))
+        at_a, at_b = np.flatnonzero(own == rows["i"][0].as_py()), np.flatnonzero(own == rows["j"][0].as_py())
+        for low in range(0, len(at_a), ROWS):
+            part = at_a[low : low + ROWS]
+            common = np.zeros((len(part), len(at_b)), dtype=np.int64)
+            for w in range(bits.shape[1]):
+                common += np.bitwise_count(bits[part, w, None] & bits[at_b, w])
+            x, y = np.nonzero(ids[part, None] < ids[at_b])
+            inter = common[x, y]
+            uni = area[part][x] + area[at_b][y] - inter
+            if len(x):
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in (ids[part][x], ids[at_b][y], inter, uni)], names=["a", "b", "inter", "uni"])
+
+    return copies.groupBy("label", "i", "j").applyInArrow(run, "a long, b long, inter long, uni long")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .registry import plan, view
+from .registry import plan, relation, view
 
 
 @plan
@@ -150,7 +150,9 @@ def rle_words(d):
 @plan
 def j22_rle_iou(d):
     """Intersection and union of all pairs of masks of a label: by overlapping
-    runs, or (Spark) by the common bits of their words."""
+    runs, or (Spark) by the common bits of their words, in blocks of masks."""
+    if d.derives:
+        return f"select a, b, inter, uni from {relation('mask_pairs', d)}"
     if d.name == "spark":
         common = "aggregate(zip_with(a.words, b.words, (x, y) -> bit_count(x & y)), 0L, (n, x) -> n + coalesce(x, 0))"
         return f"""

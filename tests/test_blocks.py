@@ -4,6 +4,7 @@ import pytest
 
 from posegrid.functions import blocks
 from posegrid.functions.dialect import Spark
+from posegrid.plans.aggregates import j22_rle_iou
 from posegrid.plans.filters import f05_motion
 from posegrid.plans.geometry import cam_pairs
 from posegrid.plans.registry import query, render, run
@@ -33,3 +34,14 @@ def test_scenes_without_cameras_are_dropped_before_they_are_grouped(spark):
     lines = plan.splitlines()
     below = [lines[k + 1] for k, line in enumerate(lines) if "Aggregate [_groupingexpression" in line]
     assert len(below) == 3 and all("Join LeftSemi" in line for line in below)
+
+
+@pytest.mark.parametrize("size", [7, 2048])
+def test_pairs_of_masks_are_all_pairs(spark, monkeypatch, size):
+    monkeypatch.setattr(blocks, "BLOCK", size)
+    monkeypatch.setattr(blocks, "ROWS", 5)
+    made = run("j22_rle_iou")(spark, SF)
+    assert "Join" not in made._jdf.queryExecution().optimizedPlan().toString()
+    d = Spark(SF, derives=False)
+    want = sorted(map(tuple, query(spark, render(j22_rle_iou(d), d)).collect()))
+    assert sorted(map(tuple, made.collect())) == want and want
