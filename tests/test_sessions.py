@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 from datetime import datetime, timedelta, timezone
 
+import pandas as pd
 import pytest
 
 from posegrid.operators import queries
@@ -254,3 +255,24 @@ def test_rows_without_a_key_and_none(spark):
 def test_queries_agree(spark):
     table, stream = queries.t07_sessions(spark, SF).collect(), queries.t06_sessions_stream(spark, SF).collect()
     assert len(table) > 2000 and comparable(table) == comparable(stream)
+
+
+def test_rows_of_many_videos_leave_together(spark, monkeypatch):
+    made = []
+    frame = pd.DataFrame
+    monkeypatch.setattr(sessions.pd, "DataFrame", lambda *args, **named: made.append(1) or frame(*args, **named))
+    videos = frame([(v, f, "frame", None, None, None, None, None, None, None) for v in range(30) for f in range(20)],
+                   columns=["video_id", "frame_idx", "kind", "k", "obj_id", "score", "x0", "y0", "x1", "y1"])
+    run = []
+
+    class Rows:
+        """A table whose sessions are run here."""
+
+        isStreaming, sparkSession = False, spark
+        where = repartition = sortWithinPartitions = lambda self, *args: self
+
+        def mapInPandas(self, fn, schema):
+            run.extend(fn(iter([videos])))
+
+    sessions.sessions(Rows())
+    assert len(made) == len(run) == 1 and len(run[0]) == 30 * 21
