@@ -98,6 +98,12 @@ def cam_close(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     return block_pairs(_cameras(spark, sf_dir, True), close, "cov", text)
 
 
+def cam_near(spark: SparkSession, sf_dir: str, text: str, least: float) -> DataFrame:
+    """As ``cam_close``, with a bound of its own, which pairs may reach."""
+    below = float(np.nextafter(least, -np.inf))
+    return block_pairs(_cameras(spark, sf_dir, True), lambda a, b, rows: close(a, b, rows, below), "cov", text)
+
+
 @derived
 def cam_apart(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """Pairs of cameras at least two meters apart."""

@@ -303,9 +303,7 @@ def sample_pairs(pairs: list[tuple], order, most: int) -> list[tuple]:
     for a in sorted(partners, key=lambda x: order("i", x)):
         if a in used:
             continue
-        for b, *rest in sorted(partners[a], key=lambda x: order("j", a, x[0])):
-            if b in used:
-                continue
+        for b, *rest in sorted((x for x in partners[a] if x[0] not in used), key=lambda x: order("j", a, x[0])):
             out.append((a, b, *rest))
             used.update((a, b))
             if len(out) >= most:
