@@ -87,60 +87,108 @@ def convex_hull(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _rectangles(points: np.ndarray, normals: np.ndarray, edges: np.ndarray) -> list[np.ndarray]:
     """For each normal the axes (as rows) of its best box with a side along an edge."""
-    out = []
-    for n in normals:
-        u = edges - np.outer(edges @ n, n)
-        size = np.linalg.norm(u, axis=1)
-        u = u[size > 1e-9] / size[size > 1e-9, None]
-        if not len(u):
-            continue
-        v = _cross(n, u)
-        area = np.ptp(points @ u.T, axis=0) * np.ptp(points @ v.T, axis=0)
-        k = int(area.argmin())
-        out.append(np.stack((n, u[k], v[k])))
-    return out
+    u = edges - (normals @ edges.T)[:, :, None] * normals[:, None]
+    size = np.linalg.norm(u, axis=2)
+    fits = size > 1e-9
+    u = u / np.where(fits, size, 1.0)[:, :, None]
+    v = _cross(normals[:, None], u)
+    area = _width(points, u.reshape(-1, 3)) * _width(points, v.reshape(-1, 3))
+    k = np.where(fits, area.reshape(fits.shape), np.inf).argmin(axis=1)
+    return [np.stack((normals[r], u[r, k[r]], v[r, k[r]])) for r in np.flatnonzero(fits.any(axis=1))]
+
+
+def _width(points: np.ndarray, axes: np.ndarray) -> np.ndarray:
+    """How far points (or each set of points) reach along axes."""
+    local = points @ axes.swapaxes(-1, -2)
+    return local.max(axis=-2) - local.min(axis=-2)
 
 
 def _volumes(points: np.ndarray, first: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Volumes and axes of the boxes of a first normal and another edge."""
+    """Volumes and axes of the boxes of a first normal and another edge; points may be a
+    set for each of the first axis of both."""
     second = _cross(first, other)
-    size = np.linalg.norm(second, axis=1)
-    second = second / np.maximum(size, 1e-300)[:, None]
-    axes = np.stack((first, second, _cross(first, second)), axis=1)
-    volume = np.ptp(axes.reshape(-1, 3) @ points.T, axis=1).reshape(-1, 3).prod(axis=1)
+    size = np.linalg.norm(second, axis=-1)
+    second = second / np.maximum(size, 1e-300)[..., None]
+    axes = np.stack((first, second, _cross(first, second)), axis=-2)
+    volume = _width(points, axes.reshape(*axes.shape[:-3], -1, 3)).reshape(axes.shape[:-1]).prod(axis=-1)
     return np.where(size > 1e-9, volume, np.inf), axes
 
 
-def _edge_pairs(points: np.ndarray, edges: np.ndarray, sides: np.ndarray) -> np.ndarray:
-    """The axes of the best box that two edges hold; ``sides`` are the normals
-    of each edge's two faces."""
+def _between(a: np.ndarray, b: np.ndarray, t: np.ndarray) -> np.ndarray:
+    n = (1 - t)[..., None] * a + t[..., None] * b
+    return n / np.maximum(np.linalg.norm(n, axis=-1, keepdims=True), 1e-300)
+
+
+def _best_pairs(points: np.ndarray, edges: np.ndarray, sides: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the pairs of edges that may hold a box, those of the least sampled volumes (the last one
+    again, if fewer): the normals of the first edge's faces, the second edge, and the sample's place.
+    ``sides`` are the normals of each edge's two faces."""
     a, b = sides[:, 0], sides[:, 1]
     corners = np.stack([x @ y.T for x in (a, b) for y in (a, b)])
     i, j = np.nonzero((corners.min(axis=0) <= 1e-12) & (corners.max(axis=0) >= -1e-12) & ~np.eye(len(edges), dtype=bool))
-
-    def at(which: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        n = (1 - t)[:, None] * a[i[which]] + t[:, None] * b[i[which]]
-        n = n / np.maximum(np.linalg.norm(n, axis=1, keepdims=True), 1e-300)
-        return _volumes(points, n, edges[j[which]])
-
-    every = np.arange(len(i))
     ts = np.linspace(0, 1, SAMPLES)
     step = max(1, (1 << 22) // (3 * len(points)))
-    sampled = np.array([np.concatenate([at(every[k : k + step], np.full(len(every[k : k + step]), t))[0] for k in range(0, len(every), step)]) for t in ts])
+    sampled = np.empty((SAMPLES, len(i)))
+    for row, t in zip(sampled, ts):
+        n = _between(a, b, np.full(len(a), t))
+        for k in range(0, len(i), step):
+            row[k : k + step] = _volumes(points, n[i[k : k + step]], edges[j[k : k + step]])[0]
     chosen = np.argsort(sampled.min(axis=0), kind="stable")[:NARROWED]
-    middle = ts[sampled[:, chosen].argmin(axis=0)]
-    low, high = np.clip(middle - ts[1], 0, 1), np.clip(middle + ts[1], 0, 1)
+    chosen = np.r_[chosen, np.repeat(chosen[-1:], NARROWED - len(chosen))]
+    return a[i[chosen]], b[i[chosen]], edges[j[chosen]], ts[sampled[:, chosen].argmin(axis=0)]
+
+
+def _edge_pairs(sets: list[np.ndarray], pairs: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> np.ndarray:
+    """The axes of the best box of each set of points that two edges (``_best_pairs``) hold; all sets
+    are narrowed down at once, with their first points again where others have more."""
+    most = max(map(len, sets))
+    points = np.stack([np.concatenate((s, np.repeat(s[:1], most - len(s), axis=0))) for s in sets])
+    a, b, other, middle = (np.stack(c) for c in zip(*pairs))
+    width = 1 / (SAMPLES - 1)
+    low, high = np.clip(middle - width, 0, 1), np.clip(middle + width, 0, 1)
+    sides = [np.concatenate((x, x), axis=1) for x in (a, b, other)]
     for _ in range(STEPS):
         x, y = high - _GOLD * (high - low), low + _GOLD * (high - low)
-        less = at(chosen, x)[0] <= at(chosen, y)[0]
+        both = _volumes(points, _between(*sides[:2], np.concatenate((x, y), axis=1)), sides[2])[0]
+        less = both[:, : x.shape[1]] <= both[:, x.shape[1] :]
         low, high = np.where(less, low, x), np.where(less, y, high)
-    tries = [at(chosen, t) for t in (middle, (low + high) / 2)]
-    volume, axes = np.concatenate([t[0] for t in tries]), np.concatenate([t[1] for t in tries])
-    return axes[int(volume.argmin())]
+    volume, axes = _volumes(points, _between(*sides[:2], np.concatenate((middle, (low + high) / 2), axis=1)), sides[2])
+    return axes[np.arange(len(sets)), volume.argmin(axis=1)]
+
+
+Box = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
-def least_box(points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def least_box(points: np.ndarray) -> Box:
     """(centre, axes as columns, full extents) of a box of least volume."""
+    return least_boxes([points])[0]
+
+
+def least_boxes(sets: list[np.ndarray]) -> list[Box]:
+    """The box of each set of points; what is iterative is done for all of them at once."""
+    tried = [_tries(points) for points in sets]
+    at = [k for k, (_, solid, _) in enumerate(tried) if solid is not None]
+    if at:
+        found = _edge_pairs([tried[k][1] for k in at], [tried[k][2] for k in at])
+        for k, axes in zip(at, found):
+            tried[k][0].append(axes)
+    return [_least(points, np.stack(tries)) for points, (tries, _, _) in zip(sets, tried)]
+
+
+def _least(points: np.ndarray, axes: np.ndarray) -> Box:
+    """Of several axes (as rows) those of the least box: by volume, then by its largest face, then the first."""
+    axes = axes * np.sign(np.linalg.det(axes))[:, None, None]  # a right-handed frame
+    local = points @ axes.swapaxes(1, 2)
+    low, high = local.min(axis=1), local.max(axis=1)
+    size = high - low
+    volume = size.prod(axis=1)
+    at = np.flatnonzero(volume == volume.min()) if not np.isnan(volume[0]) else np.zeros(1, dtype=int)
+    k = int(at[np.sort(size[at], axis=1)[:, 1:].prod(axis=1).argmin()])
+    return (low[k] + high[k]) / 2 @ axes[k], axes[k].T, size[k]
+
+
+def _tries(points: np.ndarray) -> tuple[list[np.ndarray], np.ndarray | None, tuple | None]:
+    """Axes to try, and for a solid its corners and the pairs of edges to narrow down."""
     tri, normals = convex_hull(points)
     tries = [fit_box(points, 8)[1].T]
     if len(tri):
@@ -154,31 +202,22 @@ def least_box(points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         bent = (normals[pairs[:, 0]] * normals[pairs[:, 1]]).sum(axis=1) < 1 - 1e-12
         edges = points[ends[bent, 1]] - points[ends[bent, 0]]
         edges /= np.linalg.norm(edges, axis=1, keepdims=True)
-        sides = normals[pairs[bent]]
         tries += _rectangles(solid, np.unique(np.round(normals, 12), axis=0), edges)
-        tries.append(_edge_pairs(solid, edges, sides))
-    else:  # points of a plane, a line or a place: the least rectangle, if there is one
-        span = _spanning(points, 1e-9 * max(float(np.ptp(points, axis=0).max()), 1e-300))
-        if len(span) == 3:
-            n = np.cross(points[span[1]] - points[span[0]], points[span[2]] - points[span[0]])
-            few = points[_rim(points, n / np.linalg.norm(n))]
-            edges = np.diff(np.vstack((few, few[:1])), axis=0)
-            tries = _rectangles(few, (n / np.linalg.norm(n))[None], edges)
-        elif len(span) == 2:
-            u = points[span[1]] - points[span[0]]
-            u /= np.linalg.norm(u)
-            v = np.cross(u, np.eye(3)[int(np.abs(u).argmin())])
-            v /= np.linalg.norm(v)
-            tries = [np.stack((u, v, np.cross(u, v)))]
-    best, key = None, None
-    for axes in tries:
-        axes = axes * np.sign(np.linalg.det(axes))  # a right-handed frame
-        local = points @ axes.T
-        low, high = local.min(axis=0), local.max(axis=0)
-        size = ((high - low).prod(), np.sort(high - low)[1:].prod())
-        if key is None or size < key:
-            best, key = ((low + high) / 2 @ axes, axes.T, high - low), size
-    return best
+        return tries, solid, _best_pairs(solid, edges, normals[pairs[bent]])
+    # points of a plane, a line or a place: the least rectangle, if there is one
+    span = _spanning(points, 1e-9 * max(float(np.ptp(points, axis=0).max()), 1e-300))
+    if len(span) == 3:
+        n = np.cross(points[span[1]] - points[span[0]], points[span[2]] - points[span[0]])
+        few = points[_rim(points, n / np.linalg.norm(n))]
+        edges = np.diff(np.vstack((few, few[:1])), axis=0)
+        tries = _rectangles(few, (n / np.linalg.norm(n))[None], edges)
+    elif len(span) == 2:
+        u = points[span[1]] - points[span[0]]
+        u /= np.linalg.norm(u)
+        v = np.cross(u, np.eye(3)[int(np.abs(u).argmin())])
+        v /= np.linalg.norm(v)
+        tries = [np.stack((u, v, np.cross(u, v)))]
+    return tries, None, None
 
 
 def _rim(points: np.ndarray, normal: np.ndarray) -> list[int]:

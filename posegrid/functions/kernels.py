@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 
@@ -41,7 +42,7 @@ def fit_box(points: np.ndarray, steps: int = 24) -> tuple[np.ndarray, np.ndarray
     best = min((_enclose(points, np.eye(3)), pca_box(points)), key=lambda b: b[2].prod())
     width = np.pi / 4
     for _ in range(6):
-        axes = best[1] @ _turns(np.linspace(-width, width, steps))
+        axes = best[1] @ _turns(width, steps)
         local = points @ axes  # all turns at once
         low, high = local.min(axis=1), local.max(axis=1)
         volume = (high - low).prod(axis=1)
@@ -52,8 +53,10 @@ def fit_box(points: np.ndarray, steps: int = 24) -> tuple[np.ndarray, np.ndarray
     return best
 
 
-def _turns(angles: np.ndarray) -> np.ndarray:
-    """Rotations about each axis by each angle, one after another."""
+@functools.lru_cache(maxsize=64)
+def _turns(width: float, steps: int) -> np.ndarray:
+    """Rotations about each axis by each of some angles up to a width, one after another."""
+    angles = np.linspace(-width, width, steps)
     c, s = np.cos(angles), np.sin(angles)
     turns = np.zeros((3, len(angles), 3, 3))
     for axis in range(3):
@@ -63,8 +66,47 @@ def _turns(angles: np.ndarray) -> np.ndarray:
     return turns.reshape(-1, 3, 3)
 
 
-def _clip(faces: list[np.ndarray], normal: np.ndarray, limit: float) -> list[np.ndarray]:
-    """The part of a convex solid on the inner side of a plane."""
+Point = tuple[float, float, float]
+
+
+def _clip(faces: list[list[Point]], normal: Point, limit: float) -> list[list[Point]]:
+    """The part of a convex solid on the inner side of a plane, in plain numbers: faces have a few corners."""
+    nx, ny, nz = normal
+    sides = [[x * nx + y * ny + z * nz for x, y, z in face] for face in faces]
+    if max(map(max, sides)) <= limit + 1e-12:
+        return faces
+    out, rim = [], []
+    for face, side in zip(faces, sides):
+        side = [0.0 if abs(s - limit) < 1e-12 else s - limit for s in side]
+        kept = []
+        a, da = face[-1], side[-1]
+        for b, db in zip(face, side):  # the edge from a to b, then b
+            if (da < 0 < db) or (db < 0 < da):
+                t = da / (da - db)
+                cut = (a[0] + (b[0] - a[0]) * t, a[1] + (b[1] - a[1]) * t, a[2] + (b[2] - a[2]) * t)
+                kept.append(cut)
+                rim.append(cut)
+            if db <= 0:
+                kept.append(b)
+                if db == 0:
+                    rim.append(b)
+            a, da = b, db
+        if len(kept) > 2 and min(side) < 0:
+            out.append(kept)
+    if len(rim) > 2:
+        rim = sorted({(round(x, 12), round(y, 12), round(z, 12)) for x, y, z in rim})
+        if len(rim) > 2:
+            n = len(rim)
+            mx, my, mz = (sum(p[k] for p in rim) / n for k in range(3))
+            ux, uy, uz = rim[0][0] - mx, rim[0][1] - my, rim[0][2] - mz
+            vx, vy, vz = ny * uz - nz * uy, nz * ux - nx * uz, nx * uy - ny * ux
+            turn = lambda p: math.atan2((p[0] - mx) * vx + (p[1] - my) * vy + (p[2] - mz) * vz, (p[0] - mx) * ux + (p[1] - my) * uy + (p[2] - mz) * uz)
+            out.append(sorted(rim, key=turn))
+    return out
+
+
+def _clip_flat(faces: list[np.ndarray], normal: np.ndarray, limit: float) -> list[np.ndarray]:
+    """As ``_clip``, in arrays."""
     if max(float((face @ normal).max()) for face in faces) <= limit + 1e-12:
         return faces
     out, rim = [], []
@@ -104,12 +146,38 @@ def intersection_volume(a, b) -> float:
     (ca, ra, ea), (cb, rb, eb) = a, b
     if np.linalg.norm(ca - cb) > (np.linalg.norm(ea) + np.linalg.norm(eb)) / 2:
         return 0.0
+    if min(ea.min(), eb.min()) <= 1e-9 * max(ea.max(), eb.max()):
+        return _flat_volume(a, b)
+    solid = list(map(tuple, corners(ca, ra, ea).tolist()))
+    faces = [[solid[k] for k in f] for f in _FACES]
+    center, half = np.asarray(cb, dtype=float).tolist(), (np.asarray(eb, dtype=float) / 2).tolist()
+    for k, axis in enumerate(np.asarray(rb, dtype=float).T.tolist()):
+        for sign in (1.0, -1.0):
+            normal = (sign * axis[0], sign * axis[1], sign * axis[2])
+            faces = _clip(faces, normal, sum(n * c for n, c in zip(normal, center)) + half[k])
+            if not faces:
+                return 0.0
+    every = [p for face in faces for p in face]
+    mx, my, mz = (sum(p[k] for p in every) / len(every) for k in range(3))
+    volume = 0.0
+    for face in faces:
+        moved = [(x - mx, y - my, z - mz) for x, y, z in face]
+        ax, ay, az = moved[0]
+        for (bx, by, bz), (cx, cy, cz) in zip(moved[1:], moved[2:]):
+            volume += abs(ax * (by * cz - bz * cy) - ay * (bx * cz - bz * cx) + az * (bx * cy - by * cx)) / 6
+    return volume
+
+
+def _flat_volume(a, b) -> float:
+    """As ``intersection_volume``, for boxes without thickness, whose volumes are of the order of what
+    is rounded off: these sums are not to be done in another order."""
+    (ca, ra, ea), (cb, rb, eb) = a, b
     solid = corners(ca, ra, ea)
     faces = [solid[f] for f in _FACES]
     for k in range(3):
         for sign in (1.0, -1.0):
             normal = sign * rb[:, k]
-            faces = _clip(faces, normal, float(normal @ cb) + eb[k] / 2)
+            faces = _clip_flat(faces, normal, float(normal @ cb) + eb[k] / 2)
             if not faces:
                 return 0.0
     mid = np.concatenate(faces).mean(axis=0)
@@ -251,28 +319,41 @@ def box_iou(a: np.ndarray, b: np.ndarray, over: str = "union") -> np.ndarray:
     return inter / np.maximum(size(a)[:, None] + size(b)[None] - inter, 1e-12)
 
 
+Fused = tuple[list[int], np.ndarray, tuple]
+
+
 def fuse(tracks: list[np.ndarray], limit: float, every: bool = False) -> list[list[int]]:
+    """The members of each group of ``fused``."""
+    return [g[0] for g in fused(tracks, limit, every)]
+
+
+def fused(tracks: list[np.ndarray], limit: float, every: bool = False) -> list[Fused]:
     """Online greedy fusion of point sets, in order: each joins the best-
     overlapping group (or all beyond the limit), which moves to the end."""
-    groups: list[tuple[list[int], np.ndarray, tuple]] = []
+    groups: list[Fused] = []
     for i, points in enumerate(tracks):
         box = fit_box(points, 8)
         ratios = [overlap_ratio(box, g[2]) for g in groups]
         hits = [k for k, r in enumerate(ratios) if r >= limit]
         if hits and not every:
             hits = [max(hits, key=lambda k: (ratios[k], -k))]
-        members, merged = [i], points
+        members, together = [i], points
         for k in hits:
-            members, merged = groups[k][0] + members, np.concatenate((groups[k][1], merged))
+            members, together = groups[k][0] + members, np.concatenate((groups[k][1], together))
         groups = [g for k, g in enumerate(groups) if k not in hits]
-        groups.append((members, merged, fit_box(merged, 8) if hits else box))
-    return [g[0] for g in groups]
+        groups.append((members, together, fit_box(together, 8) if hits else box))
+    return groups
 
 
 def merge_to_fixpoint(tracks: list[np.ndarray], limit: float) -> list[list[int]]:
+    """The members of each group of ``merged``, of point sets."""
+    return [g[0] for g in merged([([i], p, fit_box(p, 8)) for i, p in enumerate(tracks)], limit)]
+
+
+def merged(groups: list[Fused], limit: float) -> list[Fused]:
     """Merge the strongest pair (first among equals) until none reaches the
     limit; only the merged group's row of the pair matrix is worked out anew."""
-    groups = [([i], p, fit_box(p, 8)) for i, p in enumerate(tracks)]
+    groups = list(groups)
     n = len(groups)
     ratio = np.full((n, n), -1.0)
     for i, j in itertools.combinations(range(n), 2):
@@ -289,7 +370,7 @@ def merge_to_fixpoint(tracks: list[np.ndarray], limit: float) -> list[list[int]]
         for k in alive:
             if k != i:
                 ratio[min(i, k), max(i, k)] = overlap_ratio(groups[i][2], groups[k][2])
-    return [groups[i][0] for i in alive]
+    return [groups[i] for i in alive]
 
 
 def sample_pairs(pairs: list[tuple], order, most: int) -> list[tuple]:

@@ -21,30 +21,38 @@ from ..functions import hull, kernels, rle
 
 def fuse_instances(points: DataFrame, *, limit: float = 0.3, every: bool = False, fixpoint: bool = True) -> DataFrame:
     """Points (group_id, item_pos, x, y, z) to fused instances: trimmed point
-    sets fused in item order, then merged to a fixpoint."""
+    sets fused in item order, then merged to a fixpoint.  Points without a group are one of their own."""
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
+    def run(rows: dict[str, np.ndarray]) -> tuple[np.ndarray, ...] | None:
+        order = np.lexsort([rows[c] for c in ("z", "y", "x", "item_pos")])
+        pos, xyz = rows["item_pos"][order], np.column_stack([rows[c][order] for c in "xyz"])
+        edges = [0, *(np.flatnonzero(pos[1:] != pos[:-1]) + 1).tolist(), len(pos)]
         items, sets = [], []
-        for pos, part in rows.sort_values(["item_pos", "x", "y", "z"]).groupby("item_pos"):
-            cloud = kernels.trim(part[["x", "y", "z"]].to_numpy())
+        for a, b in zip(edges, edges[1:]):
+            cloud = kernels.trim(xyz[a:b])
             if len(cloud) >= 3:
-                items.append(pos)
+                items.append(int(pos[a]))
                 sets.append(cloud)
-        groups = kernels.fuse(sets, limit, every) if sets else []
-        if fixpoint and groups:
-            merged = kernels.merge_to_fixpoint([np.concatenate([sets[i] for i in g]) for g in groups], limit)
-            groups = [[i for k in m for i in groups[k]] for m in merged]
-        out = []
-        for number, members in enumerate(groups):
-            center, _, extents = kernels.fit_box(np.concatenate([sets[i] for i in members]), 8)
-            out.append((rows["group_id"].iloc[0], number, len(members), ",".join(str(items[i]) for i in sorted(members)), *center, *extents))
-        names = ["group_id", "instance", "n_items", "items", "cx", "cy", "cz", "ex", "ey", "ez"]
-        return pd.DataFrame(out, columns=names)
+        if not sets:
+            return None
+        found = kernels.fused(sets, limit, every)
+        if fixpoint:
+            found = kernels.merged(found, limit)
+        n = len(found)
+        listed = np.array([",".join(str(items[i]) for i in sorted(members)) for members, _, _ in found], dtype=object)
+        values = np.array([(*box[0], *box[2]) for _, _, box in found])
+        return np.full(n, rows["group_id"][0]), np.arange(n), np.array([len(m) for m, _, _ in found]), listed, *values.T
 
     schema = "group_id long, instance int, n_items int, items string, " + ", ".join(f"{c} double" for c in "cx cy cz ex ey ez".split())
-    # a number given is kept: a few bytes of points are much work
-    parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return points.repartition(parts, "group_id").groupBy("group_id").applyInPandas(run, schema)
+    cols = points.where("item_pos is not null").select(
+        F.coalesce("group_id", F.lit(_NO_GROUP)).alias("group_id"), F.col("item_pos").cast("long").alias("item_pos"), *[F.col(c).cast("double").alias(c) for c in "xyz"]
+    )
+    made = by_group_arrays(cols, "group_id", "item_pos", run, schema)
+    return made.withColumn("group_id", F.nullif("group_id", F.lit(_NO_GROUP)))
+
+
+#: The number that stands for no group.
+_NO_GROUP = -(2**63)
 
 
 def by_group(rows: DataFrame, key: str, order: str, fn: Callable[[pd.DataFrame], pd.DataFrame | None], schema: str) -> DataFrame:
@@ -81,10 +89,13 @@ def by_group(rows: DataFrame, key: str, order: str, fn: Callable[[pd.DataFrame],
     return rows.repartition(parts, key).sortWithinPartitions(key, order).mapInPandas(run, schema)
 
 
-def by_group_arrays(rows: DataFrame, key: str, order: str, fn: Callable[[dict[str, np.ndarray]], tuple[np.ndarray, ...] | None], schema: str) -> DataFrame:
+_ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string()}
+
+
+def by_group_arrays(rows: DataFrame, key: str, order: str, fn: Callable[..., tuple[np.ndarray, ...] | None], schema: str, *, many: int = 0) -> DataFrame:
     """As ``by_group``, with a group's columns as arrays (numbers, without nulls as such) and the result's as well:
-    nothing is made of a group but slices."""
-    names, kinds = [c.split()[0] for c in schema.split(", ")], [{"long": pa.int64(), "double": pa.float64()}[c.split()[1]] for c in schema.split(", ")]
+    nothing is made of a group but slices.  With ``many`` the function takes lists of so many groups."""
+    names, kinds = [c.split()[0] for c in schema.split(", ")], [_ARROW[c.split()[1]] for c in schema.split(", ")]
     columns = rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,7 +105,10 @@ def by_group_arrays(rows: DataFrame, key: str, order: str, fn: Callable[[dict[st
             values = {c: whole[c].to_numpy() for c in columns}
             keys = values[key]
             edges = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
-            out = [x for a, b in zip(edges, edges[1:]) if (x := fn({c: v[a:b] for c, v in values.items()})) is not None]
+            groups = [{c: v[a:b] for c, v in values.items()} for a, b in zip(edges, edges[1:])]
+            if many:
+                groups = [groups[low : low + many] for low in range(0, len(groups), many)]
+            out = [x for group in groups if (x := fn(group)) is not None]
             made = [np.concatenate(c) for c in zip(*out)] if out else [[] for _ in names]
             return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(made, kinds)], names=names)
 
@@ -200,17 +214,20 @@ def mask_stats(masks: DataFrame, *, area: int = 16, radius: int = 1) -> DataFram
 def fit_boxes(points: DataFrame, *, principal: bool = False) -> DataFrame:
     """One oriented box for each group (group_id, x, y, z) of three points or
     more: of least volume, or along the principal axes."""
-    names = ["group_id", "n", "cx", "cy", "cz", "ex", "ey", "ez"]
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        cloud = kernels.trim(rows.sort_values(["x", "y", "z"])[["x", "y", "z"]].to_numpy(dtype=float))
-        if len(cloud) < 3:
-            return pd.DataFrame([], columns=names)
-        center, _, extents = kernels.pca_box(cloud) if principal else hull.least_box(cloud)
-        return pd.DataFrame([(rows["group_id"].iloc[0], len(cloud), *center, *extents)], columns=names)
+    def run(groups: list[dict[str, np.ndarray]]) -> tuple[np.ndarray, ...] | None:
+        clouds = [np.column_stack([rows[c] for c in "xyz"])[np.lexsort([rows[c] for c in "zyx"])] for rows in groups]
+        clouds = [kernels.trim(cloud) for cloud in clouds]
+        at = [k for k, cloud in enumerate(clouds) if len(cloud) >= 3]
+        if not at:
+            return None
+        clouds, ids = [clouds[k] for k in at], [groups[k]["group_id"][0] for k in at]
+        boxes = [kernels.pca_box(cloud) for cloud in clouds] if principal else hull.least_boxes(clouds)
+        return np.array(ids), np.array([len(cloud) for cloud in clouds]), *np.array([(*b[0], *b[2]) for b in boxes]).T
 
     cols = points.select("group_id", *[F.col(c).cast("double").alias(c) for c in "xyz"])
-    return by_group(cols, "group_id", "x", run, "group_id long, n long, " + ", ".join(f"{c} double" for c in "cx cy cz ex ey ez".split()))
+    schema = "group_id long, n long, " + ", ".join(f"{c} double" for c in "cx cy cz ex ey ez".split())
+    return by_group_arrays(cols, "group_id", "x", run, schema, many=128)
 
 
 def oriented_overlaps(pairs: DataFrame, *, least: float = 0.3) -> DataFrame:
