@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,20 +60,62 @@ def j16_grid_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.where(" and ".join(held)).selectExpr("part AS scene_id", "a.ins_id AS inner_id", "b.ins_id AS outer_id")
 
 
+#: Boxes of a frame that is worked out whole.
+FEW = 256
+
+
 def j21_grid_box_iou(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs of boxes of a frame that overlap, with their shares."""
+    """Pairs of boxes of a frame that overlap, with their shares: frames of few boxes are worked out
+    whole where their boxes are, only larger ones go through the grid."""
     rows = _sql(spark, sf_dir, """
         select scene_id * 100 + frame_idx as part, scene_id, frame_idx, cast(k as bigint) as k, cast(w * h as double) as area,
-            array(cast(x as double), cast(y as double)) as lo, array(cast(x + w as double), cast(y + h as double)) as hi
+            cast(x as double) as x0, cast(y as double) as y0, cast(x + w as double) as x1, cast(y + h as double) as y1,
+            count(*) over (partition by scene_id, frame_idx) as n
         from detections""")
-    pairs = spatial.box_pairs(rows, rows, 2).where("a.k < b.k")
+    valued = _few_boxes(rows.where(f"n <= {FEW}"))
+    crowded = _sql(spark, sf_dir, f"select scene_id, frame_idx from masks group by 1, 2 having count(*) > {FEW}")
+    if crowded.limit(1).count():
+        valued = valued.unionByName(_many_boxes(rows.where(f"n > {FEW}")))
+    return valued.selectExpr(
+        "scene_id", "frame_idx", "a", "b", "round(inter / all + 1e-9, 6) AS iou",
+        "round(inter / all - (hull - all) / hull + 1e-9, 6) AS giou", "round(inter / area_b + 1e-9, 6) AS ioa",
+    ).where("iou > 0")
+
+
+def _few_boxes(rows: DataFrame) -> DataFrame:
+    """Pairs of boxes of a part that share some area, many parts at once."""
+
+    def run(parts: list[dict[str, np.ndarray]]) -> tuple[np.ndarray, ...]:
+        held = {c: np.concatenate([p[c] for p in parts]) for c in parts[0]}
+        sizes = np.array([len(p["k"]) for p in parts])
+        firsts = np.cumsum(sizes) - sizes
+        i, j = [], []
+        for n in np.unique(sizes).tolist():
+            low, high = np.triu_indices(n, 1)
+            at = firsts[sizes == n][:, None]
+            i.append((at + low).ravel())
+            j.append((at + high).ravel())
+        i, j = np.concatenate(i), np.concatenate(j)
+        wide = np.minimum(held["x1"][i], held["x1"][j]) - np.maximum(held["x0"][i], held["x0"][j])
+        high = np.minimum(held["y1"][i], held["y1"][j]) - np.maximum(held["y0"][i], held["y0"][j])
+        meet = (wide > 0) & (high > 0)
+        i, j, inter = i[meet], j[meet], (wide * high)[meet]
+        hull = (np.maximum(held["x1"][i], held["x1"][j]) - np.minimum(held["x0"][i], held["x0"][j])) * (np.maximum(held["y1"][i], held["y1"][j]) - np.minimum(held["y0"][i], held["y0"][j]))
+        area = held["area"]
+        return held["scene_id"][i], held["frame_idx"][i], held["k"][i], held["k"][j], inter, hull, area[i] + area[j] - inter, area[j]
+
+    schema = "scene_id long, frame_idx long, a long, b long, inter double, hull double, all double, area_b double"
+    return groups.by_group_arrays(rows.drop("n"), "part", "k", run, schema, many=64)
+
+
+def _many_boxes(rows: DataFrame) -> DataFrame:
+    """The same through the grid."""
+    boxes = rows.select("part", "scene_id", "frame_idx", "k", "area", F.array("x0", "y0").alias("lo"), F.array("x1", "y1").alias("hi"))
+    pairs = spatial.box_pairs(boxes, boxes, 2).where("a.k < b.k")
     inter = " * ".join(f"(least(a.hi[{d}], b.hi[{d}]) - greatest(a.lo[{d}], b.lo[{d}]))" for d in range(2))
     hull = " * ".join(f"(greatest(a.hi[{d}], b.hi[{d}]) - least(a.lo[{d}], b.lo[{d}]))" for d in range(2))
     valued = pairs.withColumns({"inter": F.expr(inter), "hull": F.expr(hull)}).withColumn("all", F.expr("a.area + b.area - inter"))
-    return valued.selectExpr(
-        "a.scene_id", "a.frame_idx", "a.k AS a", "b.k AS b", "round(inter / all + 1e-9, 6) AS iou",
-        "round(inter / all - (hull - all) / hull + 1e-9, 6) AS giou", "round(inter / b.area + 1e-9, 6) AS ioa",
-    ).where("iou > 0")
+    return valued.selectExpr("a.scene_id", "a.frame_idx", "a.k AS a", "b.k AS b", "inter", "hull", "all", "b.area AS area_b")
 
 
 def j18_nearest_points(spark: SparkSession, sf_dir: str) -> DataFrame:
