@@ -17,3 +17,9 @@ def test_poses_are_spelled_out_once(spark, name):
 def test_fixed_options_need_no_lambdas(spark, name):
     plan = run(name)(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "lambdafunction" not in plan and plan.count("md5(") < 16
+
+
+@pytest.mark.parametrize("name", ["q15_relpos", "q16_region_relpos", "m14_ego8", "m18_local_frame"])
+def test_steps_of_the_local_frame_are_spelled_out_once(spark, name):
+    plan = run(name)(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("sqrt(") < 30
