@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.dialect import Spark
 from ..plans.registry import query, render, twin
 from . import groups, spatial
+from .export import scratch
 
 FIELDS = ("cx", "cy", "cz", "ex", "ey", "ez", "yaw_deg")
 
@@ -72,10 +73,11 @@ def j21_grid_box_iou(spark: SparkSession, sf_dir: str) -> DataFrame:
             cast(x as double) as x0, cast(y as double) as y0, cast(x + w as double) as x1, cast(y + h as double) as y1,
             count(*) over (partition by scene_id, frame_idx) as n
         from detections""")
-    valued = _few_boxes(rows.where(f"n <= {FEW}"))
-    crowded = _sql(spark, sf_dir, f"select scene_id, frame_idx from masks group by 1, 2 having count(*) > {FEW}")
-    if crowded.limit(1).count():
-        valued = valued.unionByName(_many_boxes(rows.where(f"n > {FEW}")))
+    path = scratch(spark, "crowded")
+    _sql(spark, sf_dir, f"select scene_id, frame_idx from masks group by 1, 2 having count(*) > {FEW}").write.parquet(path)
+    # the join by frame goes below the numbering: rows of other frames are not numbered for the grid
+    many = rows.join(F.broadcast(spark.read.parquet(path)), ["scene_id", "frame_idx"], "left_semi")
+    valued = _few_boxes(rows.where(f"n <= {FEW}")).unionByName(_many_boxes(many))
     return valued.selectExpr(
         "scene_id", "frame_idx", "a", "b", "round(inter / all + 1e-9, 6) AS iou",
         "round(inter / all - (hull - all) / hull + 1e-9, 6) AS giou", "round(inter / area_b + 1e-9, 6) AS ioa",
